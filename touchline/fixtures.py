@@ -32,6 +32,8 @@ FIXED_NOW = "2024-01-15 12:00:00"  # stands in for now() in freshness checks
 FRESH_MINUTES = 10
 WINDOW_TO = "1998-08-02 00:00:00"  # date window: last 7 days before this instant
 WINDOW_DAYS = 7
+INGEST_BASE = "2024-01-13 00:00:00"      # first landing run of the raw versions
+STANDINGS_INGEST = "2024-01-15 00:00:00"  # landing run of the standings documents
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,9 +116,12 @@ def _iso_offset(ts: Column) -> Column:
 def match_versions(spark: SparkSession, sf_dir: str, n_teams: int = N_TEAMS) -> DataFrame:
     """Every raw version of every match, one scan of ``orders``.
 
-    * primary: every match, in its own source, ingested one day after kick-off;
-    * resend (k % 5): the same match from the *other* source, two days after;
-    * older (k % 7): an earlier scheduled, unscored copy, ingested at kick-off;
+    Landing runs are days 0, 1, 2 after ``INGEST_BASE``; within a run a match
+    lands ``k % 86400`` seconds in.
+
+    * primary: every match, in its own source, landed on day 1;
+    * resend (k % 5): the same match from the *other* source, day 2;
+    * older (k % 7): an earlier scheduled, unscored copy, day 0;
     * tie (k % 23): same source and ingest time as the primary, matchday + 1.
     """
     m = _keyed_matches(spark, sf_dir, n_teams)
@@ -147,7 +152,9 @@ def match_versions(spark: SparkSession, sf_dir: str, n_teams: int = N_TEAMS) ->
         F.when(older, F.lit(None)).otherwise(F.col("home_score")).cast("int").alias("home_score"),
         F.when(older, F.lit(None)).otherwise(F.col("away_score")).cast("int").alias("away_score"),
         "source",
-        F.timestamp_add("DAY", F.col("days"), F.col("utc_date")).alias("ingested_ts"),
+        F.timestamp_add("SECOND", F.col("k") % 86400,
+                        F.timestamp_add("DAY", F.col("days"), F.lit(INGEST_BASE).cast("timestamp_ntz")))
+        .alias("ingested_ts"),
     )
 
 
@@ -235,8 +242,8 @@ def standings_docs(spark: SparkSession, sf_dir: str, n_teams: int = N_TEAMS,
                    with_date: bool = False) -> DataFrame:
     """One standings document per match: TOTAL (both teams), HOME and AWAY tables.
 
-    Unscored matches carry empty tables.  Ingest time is kick-off plus
-    ``k % 86400`` seconds, so most documents of a day differ in time.
+    Unscored matches carry empty tables.  Documents land in one run, ``k %
+    86400`` seconds after ``STANDINGS_INGEST``.
     """
     m = _keyed_matches(spark, sf_dir, n_teams)
     hs, as_ = F.col("home_score"), F.col("away_score")
@@ -259,7 +266,8 @@ def standings_docs(spark: SparkSession, sf_dir: str, n_teams: int = N_TEAMS,
         return F.when(scored, F.array(*rows)).otherwise(
             F.filter(F.array(rows[0]), lambda _: F.lit(False)))
 
-    ingested = F.timestamp_add("SECOND", F.col("k") % 86400, F.col("utc_date"))
+    ingested = F.timestamp_add("SECOND", F.col("k") % 86400,
+                               F.lit(STANDINGS_INGEST).cast("timestamp_ntz"))
     doc = m.select(
         F.array(
             F.struct(F.lit("TOTAL").alias("type"), table(home_row, away_row).alias("table")),

@@ -156,7 +156,8 @@ v AS (
          home_team_id, home_team_name, away_team_id, away_team_name,
          CASE WHEN older THEN NULL ELSE home_score END AS home_score,
          CASE WHEN older THEN NULL ELSE away_score END AS away_score,
-         src AS source, utc_date + to_days(days) AS ingested_ts
+         src AS source,
+         TIMESTAMP '2024-01-13 00:00:00' + to_days(days) + to_seconds(k % 86400) AS ingested_ts
   FROM mv),
 fl AS (
   SELECT match_id,
@@ -231,7 +232,7 @@ FLAT_JSON = """to_json(struct_pack(
 # ------------------------------------------------------------------ standings documents
 
 SD = """sd AS (
-  SELECT *, utc_date + to_seconds(k % 86400) AS ingested_at FROM m
+  SELECT *, TIMESTAMP '2024-01-15 00:00:00' + to_seconds(k % 86400) AS ingested_at FROM m
   WHERE home_score IS NOT NULL AND away_score IS NOT NULL),
 fs AS (
   SELECT home_team_id AS team_id, home_team_name AS team_name,
@@ -326,8 +327,9 @@ tops AS (SELECT max(CASE WHEN pos = 1 THEN team_name END) AS first_team,
 
 def _ilike(col: str, name_sql: str) -> str:
     """Literal case-insensitive substring match of a name held in SQL."""
-    esc = f"replace(replace(replace({name_sql}, '\\\\', '\\\\\\\\'), '%', '\\\\%'), '_', '\\\\_')"
-    return f"{col} ILIKE ('%' || {esc} || '%') ESCAPE '\\\\'"
+    bs = "\\"
+    esc = f"replace(replace(replace({name_sql}, '{bs}', '{bs}{bs}'), '%', '{bs}%'), '_', '{bs}_')"
+    return f"{col} ILIKE ('%' || {esc} || '%') ESCAPE '{bs}'"
 
 
 def _not_null_checks() -> str:
@@ -428,8 +430,8 @@ WHERE ({_ilike('home_team_name', t1)} AND {_ilike('away_team_name', t2)})
                           "TIMESTAMP '1998-07-26 00:00:00' AND TIMESTAMP '1998-08-02 00:00:00'")
     sql["fresh_rows"] = ("SELECT event_id, ts, event_type FROM events WHERE ts > TIMESTAMP '2024-01-15 11:50:00' "
                          "AND ts <= TIMESTAMP '2024-01-15 12:00:00'")
-    sql["epoch_to_ts"] = ("SELECT event_id, epoch_ms(ts) AS timestamp_ms, epoch_ms(epoch_ms(ts)) AS committed_at "
-                          "FROM events")
+    sql["epoch_to_ts"] = ("SELECT event_id, epoch_us(ts) // 1000 AS timestamp_ms, "
+                          "epoch_ms(epoch_us(ts) // 1000) AS committed_at FROM events")
 
     # silver
     sql["normalize_status"] = f"""WITH {M},

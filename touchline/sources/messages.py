@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 def to_messages(df: DataFrame, topic: str, key_cols: Sequence[str] = ("id", "idEvent"),
                 default_key: str = "unknown") -> DataFrame:
     """``(topic, key, value)``: key is the first non-NULL key column (as text)
-    else ``default_key``; value is the whole row as JSON."""
+    else ``default_key``; value is the whole row as JSON (NULL fields kept)."""
     present = [c for c in key_cols if c in df.columns]
     key = F.coalesce(*[F.col(c).cast("string") for c in present], F.lit(default_key))
     return df.select(F.lit(topic).alias("topic"), key.alias("key"),
-                     F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
+                     F.to_json(F.struct(*[F.col(c) for c in df.columns]),
+                               {"ignoreNullFields": "false"}).alias("value"))
 
 
 def parse_messages(df: DataFrame, value_col: str = "value") -> DataFrame:

@@ -42,5 +42,9 @@ def is_empty(df: DataFrame) -> bool:
 
 
 def write_raw(df: DataFrame, path: str, partition: str = "date") -> None:
-    """Land payload rows as JSON lines under ``<path>/<partition>=.../``."""
-    df.write.mode("append").partitionBy(partition).json(path)
+    """Land payload rows as JSON lines under ``<path>/<partition>=.../``.
+
+    Rows are first clustered by the partition value so every folder gets one
+    file per writing task rather than one per input task (AQE sizes the tasks).
+    """
+    df.repartition(partition).write.mode("append").partitionBy(partition).json(path)
