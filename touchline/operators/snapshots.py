@@ -59,8 +59,8 @@ def write_yearly_snapshots(df: DataFrame, path: str, table_name: str, ts_col: st
     year = F.year(F.col(ts_col))
     years = [r[0] for r in df.select(year.alias("y")).filter("y IS NOT NULL").distinct()
              .orderBy("y").collect()]
-    fan = F.explode(F.filter(F.array(*[F.lit(y) for y in years]), lambda y: y >= year))
-    (df.withColumn(SID, fan.cast("bigint"))
+    fan = F.explode(F.filter(F.array(*[F.lit(y).cast("bigint") for y in years]), lambda y: y >= year))
+    (df.withColumn(SID, fan)
        .write.mode("overwrite").partitionBy(SID).parquet(_data(path)))
     counts = df.groupBy(year.alias("y")).agg(F.count(F.lit(1)).alias("n")).filter("y IS NOT NULL")
     w = Window.orderBy("y").rowsBetween(Window.unboundedPreceding, Window.currentRow)
