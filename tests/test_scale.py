@@ -1,0 +1,88 @@
+"""Skew-safe paths equal the plain ones; plans have the intended shape."""
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_MID, SF_SMALL
+from touchline import fixtures as fx
+from touchline.operators.dedup import keep_latest
+from touchline.operators.form import build_team_form
+from touchline.operators.ranking import global_row_number
+from touchline.operators.reports import date_window, recent_form
+from touchline.operators.standings import league_standings
+
+
+def _same(a, b):
+    assert a.count() == b.count()
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_hot_team_split_equals_plain_window(spark):
+    m = fx.matches(spark, SF_MID)
+    plain = build_team_form(m, keep_unscored=True, split_rows=None)
+    for split in (300, 37):  # a few buckets per team; many tiny buckets
+        _same(build_team_form(m, keep_unscored=True, split_rows=split), plain)
+
+
+def test_hot_team_split_strict_variant(spark):
+    m = fx.matches(spark, SF_SMALL)
+    _same(build_team_form(m, strict=True, split_rows=25),
+          build_team_form(m, strict=True, split_rows=None))
+
+
+def test_global_row_number_equals_single_partition(spark):
+    df = fx.read_table(spark, SF_SMALL, "orders").select("o_orderkey", "o_totalprice", "o_custkey")
+    order = [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()]
+    ours = global_row_number(df, order, "rn", num_partitions=5)
+    ref = df.withColumn("rn", F.row_number().over(Window.orderBy(*order)))
+    _same(ours, ref)
+
+
+def test_keep_latest_idempotent_and_order_free(spark):
+    li = fx.read_table(spark, SF_SMALL, "lineitem")
+    keys, order = ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey"]
+    once = keep_latest(li, keys, order)
+    _same(keep_latest(once, keys, order), once)
+    _same(keep_latest(li.repartition(7, "l_partkey"), keys, order), once)
+
+
+def test_standings_invariants(spark):
+    m = fx.matches(spark, SF_SMALL)
+    form = build_team_form(m)
+    st = league_standings(form)
+    assert st.filter(F.col("played") != F.col("won") + F.col("drawn") + F.col("lost")).isEmpty()
+    assert st.agg(F.sum("goal_difference")).first()[0] == 0
+    assert sorted(r.position for r in st.collect()) == list(range(1, st.count() + 1))
+    assert form.filter((F.col("points_last5") < 0) | (F.col("points_last5") > 15)).isEmpty()
+    fin = m.filter("status = 'finished'")
+    assert build_team_form(m, keep_unscored=True).count() == 2 * fin.count()
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keep_latest_cuts_groups_before_shuffle(spark):
+    li = fx.read_table(spark, SF_SMALL, "lineitem")
+    assert "WindowGroupLimit" in _plan(keep_latest(li, ["l_orderkey"], ["l_shipdate"]))
+
+
+def test_team_form_one_exchange_no_python(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = _plan(build_team_form(fx.matches(spark, SF_SMALL), split_rows=None))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert p.count("Exchange hashpartitioning(team_id") == 1
+    assert "Python" not in p and "ArrowEval" not in p
+    assert p.count("FileScan parquet") == 1  # one scan for both perspectives
+
+
+def test_date_window_reaches_scan(spark):
+    df = date_window(fx.matches(spark, SF_SMALL), "utc_date", "1998-07-26 00:00:00", "1998-08-02 00:00:00")
+    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in _plan(df)
+
+
+def test_recent_form_is_top_k(spark):
+    form = build_team_form(fx.matches(spark, SF_SMALL), keep_unscored=True, split_rows=None)
+    assert "TakeOrderedAndProject" in _plan(recent_form(form, "Team 1"))

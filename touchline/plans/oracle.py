@@ -197,7 +197,7 @@ SELECT {SILVER_COLS}, quality_flag FROM (
                                ORDER BY ingested_at DESC NULLS LAST, {SILVER_TIEBREAK}) AS rn
   FROM flq) WHERE rn = 1"""
 
-NESTED_JSON = """to_json(struct_pack(
+NESTED_JSON = """CAST(to_json(struct_pack(
     id := k,
     utcDate := strftime(utc_date, '%Y-%m-%dT%H:%M:%SZ'),
     status := CASE WHEN status = 'scheduled' AND k % 29 = 0 THEN 'POSTPONED' ELSE upper(status) END,
@@ -210,9 +210,9 @@ NESTED_JSON = """to_json(struct_pack(
     score := struct_pack(fullTime := struct_pack(home := home_score, away := away_score)),
     _metadata := struct_pack(ingested_at := strftime(ingested_ts, '%Y-%m-%dT%H:%M:%SZ'),
                              source := 'football-data.org',
-                             competition_id := CASE WHEN k % 4 = 0 THEN NULL ELSE competition_id END)))"""
+                             competition_id := CASE WHEN k % 4 = 0 THEN NULL ELSE competition_id END))) AS VARCHAR)"""
 
-FLAT_JSON = """to_json(struct_pack(
+FLAT_JSON = """CAST(to_json(struct_pack(
     idEvent := match_id,
     dateEvent := CASE WHEN k % 13 = 0 THEN NULL ELSE strftime(utc_date, '%Y-%m-%d') END,
     strTime := CASE WHEN k % 17 = 0 THEN NULL ELSE strftime(utc_date, '%H:%M:%S') END,
@@ -227,7 +227,7 @@ FLAT_JSON = """to_json(struct_pack(
     intAwayScore := CAST(away_score AS VARCHAR),
     _metadata := struct_pack(ingested_at := strftime(ingested_ts, '%Y-%m-%dT%H:%M:%S.%f+00:00'),
                              source := 'thesportsdb.com',
-                             competition_id := CASE WHEN k % 4 = 0 THEN NULL ELSE competition_id END)))"""
+                             competition_id := CASE WHEN k % 4 = 0 THEN NULL ELSE competition_id END))) AS VARCHAR)"""
 
 # ------------------------------------------------------------------ standings documents
 
