@@ -274,14 +274,21 @@ def q_keep_latest(spark, sf):
     return keep_latest(li, LINEITEM_KEYS, LINEITEM_ORDER)
 
 
-def q_flatten_standings(spark, sf):
+def _docs_table(spark, sf):
+    """Standings documents landed as a Parquet table (a written table in the
+    shared folder, as bronze would be), so the scan feeds the generators."""
     ensure_utc(spark)
-    return flatten_standings(fx.standings_docs(spark, sf))
+    path = scratch_dir(spark, "docs")
+    fx.standings_docs(spark, sf).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def q_flatten_standings(spark, sf):
+    return flatten_standings(_docs_table(spark, sf))
 
 
 def q_keep_latest_standings(spark, sf):
-    ensure_utc(spark)
-    return keep_latest(flatten_standings(fx.standings_docs(spark, sf)), ["team_id"], ["ingested_at"])
+    return keep_latest(flatten_standings(_docs_table(spark, sf)), ["team_id"], ["ingested_at"])
 
 
 def q_silver_standings(spark, sf):
