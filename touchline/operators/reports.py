@@ -97,8 +97,14 @@ def fresh_rows(df: DataFrame, ts_col: str, now: str, minutes: int = 10) -> DataF
     return df.filter((F.col(ts_col) > start) & (F.col(ts_col) <= end))
 
 
-def has_fresh_files(spark: SparkSession, path: str, since, fmt: str = "json") -> bool:
-    """Any file under ``path`` modified after ``since`` (file-source hidden
-    metadata column; no file is opened beyond its footer/listing)."""
-    df = spark.read.format(fmt).load(path).select("_metadata.file_modification_time")
-    return not df.filter(F.col("file_modification_time") > F.lit(since)).isEmpty()
+def has_fresh_files(spark: SparkSession, path: str, since, fmt: str = "text") -> bool:
+    """Any file under ``path`` modified after ``since``.
+
+    Uses the file source's hidden metadata column, reached through
+    ``metadataColumn`` because landed payloads carry a ``_metadata`` field of
+    their own that would shadow it.  The filter on a file-constant column
+    prunes files before they are opened; the probe stops at the first row.
+    """
+    df = spark.read.format(fmt).load(path)
+    mtime = df.metadataColumn("_metadata").getField("file_modification_time")
+    return not df.select(mtime.alias("mtime")).filter(F.col("mtime") > F.lit(since)).isEmpty()

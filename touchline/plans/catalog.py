@@ -345,8 +345,9 @@ def q_stream_upsert(spark, sf):
     root = scratch_dir(spark, "upsert")
     li = fx.read_table(spark, sf, "lineitem")
     for part in range(3):
-        li.filter(F.col("l_orderkey") % 3 == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
-    stream = spark.readStream.schema(li.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        li.filter(F.col("l_orderkey") % 3 == part).write.mode("append").parquet(f"{root}/in")
+    # Micro-batch boundaries do not matter: keep-latest is idempotent and order-free.
+    stream = spark.readStream.schema(li.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/in")
     q = upsert_stream(stream, f"{root}/table", f"{root}/ckpt", LINEITEM_KEYS,
                       [F.col(c).desc_nulls_last() for c in LINEITEM_ORDER])
     q.awaitTermination()

@@ -44,7 +44,8 @@ def is_empty(df: DataFrame) -> bool:
 def write_raw(df: DataFrame, path: str, partition: str = "date") -> None:
     """Land payload rows as JSON lines under ``<path>/<partition>=.../``.
 
-    Rows are first clustered by the partition value so every folder gets one
-    file per writing task rather than one per input task (AQE sizes the tasks).
+    Rows are rebalanced on the partition value first: each folder gets few
+    files instead of one per input task, and AQE splits a day that holds a
+    large share of the rows over several tasks instead of one.
     """
-    df.repartition(partition).write.mode("append").partitionBy(partition).json(path)
+    df.hint("rebalance", partition).write.mode("append").partitionBy(partition).json(path)
