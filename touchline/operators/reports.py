@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from touchline.operators.dedup import keep_latest
 from touchline.operators.rivalry import _name_match, pair_condition
-from touchline.operators.standings import standings_by_name
+from touchline.operators.standings import _rank_key
 
 FORM_REPORT_COLUMNS = ("team_name", "utc_date", "venue", "goals_scored", "goals_conceded",
                        "result", "points", "points_last5", "avg_gf", "avg_gc", "form_trend")
@@ -56,11 +56,18 @@ def latest_form(form: DataFrame) -> DataFrame:
 def top_teams(form: DataFrame) -> DataFrame:
     """Names of the first and second team of the by-name table (one row).
 
-    Positions come from the distributed ranking; the two names are pivoted
-    into one row by a global aggregate (no join)."""
-    ranked = standings_by_name(form).filter(F.col("pos") <= 2)
-    return ranked.agg(F.max(F.when(F.col("pos") == 1, F.col("team_name"))).alias("first_team"),
-                      F.max(F.when(F.col("pos") == 2, F.col("team_name"))).alias("second_team"))
+    Per-team totals by partial aggregation, then a top-2 by the table order
+    (``TakeOrderedAndProject``: each task keeps its own two best), pivoted
+    into one row; no full ranking is needed for two names."""
+    per_team = form.groupBy("team_name").agg(
+        F.sum("points").alias("pts"), F.sum("goals_scored").alias("gf"),
+        (F.sum("goals_scored") - F.sum("goals_conceded")).alias("gd"))
+    top2 = per_team.orderBy(F.col("pts").desc_nulls_last(), F.col("gd").desc_nulls_last(),
+                            F.col("gf").desc_nulls_last(), F.col("team_name").asc_nulls_last()).limit(2)
+    key = _rank_key("pts", "gd", "gf", "team_name")
+    first = F.min_by("team_name", key)
+    second = F.when(F.count(F.lit(1)) > 1, F.max_by("team_name", key))
+    return top2.agg(first.alias("first_team"), second.alias("second_team"))
 
 
 def top_team_form(form: DataFrame, n: int = 20) -> DataFrame:
@@ -71,10 +78,12 @@ def top_team_form(form: DataFrame, n: int = 20) -> DataFrame:
 
 
 def top_two_history(form: DataFrame, results: DataFrame) -> DataFrame:
-    """Mutual history (fuzzy names) of the top two teams, newest first."""
-    tops = top_teams(form)
-    a = tops.select("first_team").scalar()
-    b = tops.select("second_team").scalar()
+    """Mutual history (fuzzy names) of the top two teams, newest first.
+
+    Both names come from one struct-valued scalar subquery (reused wherever
+    it is referenced)."""
+    tops = top_teams(form).select(F.struct("first_team", "second_team")).scalar()
+    a, b = tops.getField("first_team"), tops.getField("second_team")
     return (results.filter(pair_condition(a, b, exact=False))
             .select("utc_date", "home_team_name", "away_team_name", "home_score",
                     "away_score", "result")

@@ -5,6 +5,11 @@ snapshot) with a ledger at ``<path>/ledger`` holding ``table_name,
 snapshot_id, committed_at, operation, summary``.  Data is written first and
 the ledger row second; readers only trust snapshots in the ledger, so a write
 that died half way is invisible.  Reads of one snapshot prune partitions.
+
+With an Iceberg catalog on the classpath the same calls map to
+``df.writeTo(table).createOrReplace()`` (write), ``<table>.snapshots`` (ledger)
+and ``spark.read.option("snapshot-id", n).table(table)`` (read_at); none is
+available here, so the Parquet layout is the one implemented and tested.
 """
 
 from __future__ import annotations
