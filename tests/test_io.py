@@ -89,3 +89,22 @@ def test_run_live_and_full(spark):
     assert by[("gold_team_form", "goals_scored", "not_null")].passed  # the model drops unscored
     assert by[("gold_match_results", "match_id", "unique")].passed
     assert os.path.isdir(f"{root}/bronze")
+
+
+def test_parse_messages_counts_drops(spark):
+    from pyspark.sql import Observation
+    from touchline.sources.messages import parse_messages
+    obs = Observation("msgs")
+    df = spark.createDataFrame([("t", "1", "{bad"), ("t", "2", "5"), ("t", "3", "{")],
+                               "topic string, key string, value string")
+    assert parse_messages(df, observation=obs).count() == 1
+    assert obs.get == {"received": 3, "dropped": 2}
+
+
+def test_valid_only_skips_incomplete(spark):
+    from tests.helpers import match, matches_df
+    from touchline.operators.form import build_team_form
+    from touchline.operators.quality import add_quality_flag
+    m = add_quality_flag(matches_df(spark, [match(1, 1, "1", "2", 1, 0), match(2, 2, None, "2", 1, 0)]))
+    assert build_team_form(m, valid_only=True).count() == 2
+    assert build_team_form(m).count() == 4

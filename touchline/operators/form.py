@@ -101,15 +101,25 @@ def add_form_windows(df: DataFrame, entity: str = "team_id",
         ts_col=order[0], split_rows=split_rows)
 
 
+def valid_rows(matches: DataFrame, valid_only: bool) -> DataFrame:
+    """Keep only ``quality_flag = 'valid'`` rows when asked (and the flag exists)."""
+    if valid_only and "quality_flag" in matches.columns:
+        return matches.filter(F.col("quality_flag") == "valid")
+    return matches
+
+
 def build_team_form(matches: DataFrame, strict: bool = False, keep_unscored: bool = False,
                     n: int = 5, split_rows: int | None = 2_000_000,
-                    extra_partition: Sequence[str] = ()) -> DataFrame:
+                    extra_partition: Sequence[str] = (), valid_only: bool = False) -> DataFrame:
     """Finished matches -> perspectives -> result/points -> windows (16 columns).
 
     ``strict``/``keep_unscored`` select the variant: the DataFrame builder is
     ``strict=False, keep_unscored=True``; the SQL model is ``strict=True,
-    keep_unscored=False``.
+    keep_unscored=False``.  ``valid_only`` skips rows flagged ``incomplete``
+    (the reference computes the flag and never uses it, so it is off by
+    default); ``extra_partition`` (e.g. competition) stops windows crossing it.
     """
-    p = add_result_points(to_perspectives(finished(matches), keep_unscored=keep_unscored))
+    p = add_result_points(to_perspectives(finished(valid_rows(matches, valid_only)),
+                                          keep_unscored=keep_unscored))
     return add_form_windows(p, n=n, strict=strict, split_rows=split_rows,
                             extra_partition=extra_partition)

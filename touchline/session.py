@@ -57,8 +57,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="touchline-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    else:
+        try:
+            if spark.sparkContext.getCheckpointDir() is None:
+                spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # pragma: no cover - no SparkContext (Spark Connect)
+            pass
     return root.rstrip("/")
 
 

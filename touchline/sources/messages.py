@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -19,7 +19,17 @@ def to_messages(df: DataFrame, topic: str, key_cols: Sequence[str] = ("id", "idE
                                {"ignoreNullFields": "false"}).alias("value"))
 
 
-def parse_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
+def parse_messages(df: DataFrame, value_col: str = "value",
+                   observation: Observation | str | None = None) -> DataFrame:
     """Drop messages whose value is not valid JSON (any JSON value is kept,
-    objects or not).  Works the same on a stream."""
-    return df.filter(F.try_parse_json(F.col(value_col)).isNotNull())
+    objects or not).  Works the same on a stream.
+
+    ``observation`` (an ``Observation`` for batch, a name for a stream, whose
+    metrics then appear in the query progress) counts ``received`` and
+    ``dropped`` rows in the same pass, without a second job.
+    """
+    valid = F.try_parse_json(F.col(value_col)).isNotNull()
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("received"),
+                        F.sum(F.when(valid, 0).otherwise(1)).alias("dropped"))
+    return df.filter(valid)

@@ -47,10 +47,11 @@ def read_topics(spark: SparkSession, path: str | None = None, topics: Sequence[s
     return df
 
 
-def landing_rows(stream: DataFrame) -> DataFrame:
+def landing_rows(stream: DataFrame, metrics_name: str | None = "landing") -> DataFrame:
     """Valid messages with their landing folder: ``kind`` by topic name and
-    ``date`` = the message's (ingest) day."""
-    return (parse_messages(stream)
+    ``date`` = the message's (ingest) day.  Received/dropped counts are
+    reported as observed metrics named ``metrics_name`` in the query progress."""
+    return (parse_messages(stream, observation=metrics_name)
             .withColumn("kind", topic_kind("topic"))
             .withColumn("date", F.date_format("timestamp", "yyyy-MM-dd")))
 
