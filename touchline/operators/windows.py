@@ -6,7 +6,8 @@ here only look back a bounded number of rows (``ROWS k PRECEDING`` and
 computed on its own, as long as it also sees the ``lookback`` rows just before
 it (the *halo*).  Only teams above ``split_rows`` are split; the halo is built
 from the last ``lookback`` rows of every bucket (a partial ``WindowGroupLimit``
-keeps that shuffle tiny) and joined to the next bucket by position.
+keeps that shuffle tiny) and handed to the next bucket by one bounded-frame
+window over those tails.
 """
 
 from __future__ import annotations
@@ -89,19 +90,24 @@ def bounded_window_frame(df: DataFrame, partition: Sequence[str], order: Sequenc
                F.least(F.floor((sec - F.col(_T0)) / F.col(_W)).cast("bigint"), F.col(_NB) - 1),
                F.lit(0).cast("bigint"))))
 
-    # Last `lookback` rows of every bucket of the hot groups.
+    # Last `lookback` rows of every bucket of the hot groups (a partial
+    # WindowGroupLimit keeps at most `lookback` rows per bucket per map task).
     rev = [F.col(c).desc_nulls_last() for c in order]
     tails = (b.filter(F.col(_NB).isNotNull())
               .withColumn("__rn", F.row_number().over(Window.partitionBy(*partition, _B).orderBy(*rev)))
               .filter(F.col("__rn") <= lookback).drop("__rn", _NB, _T0, _W))
-    s = tails.withColumn("__p", F.row_number().over(Window.partitionBy(*partition).orderBy(*order_cols)))
-    firsts = (s.groupBy(*partition, _B).agg(F.min("__p").alias("__target"))
-               .withColumnRenamed(_B, "__to"))
-    # Equi-join on (group, position): each tail row meets only the buckets that
-    # start within `lookback` rows after it.
-    halo = (s.withColumn("__target", F.explode(F.sequence(F.col("__p") + 1, F.col("__p") + lookback)))
-             .join(firsts, on=[*partition, "__target"], how="inner")
-             .select(*cols, F.col("__to").alias(_B), F.lit(True).alias(_H)))
+    # In the tails of one group, in order, the `lookback` rows before the first
+    # tail row of a bucket are exactly the rows just before that bucket.  One
+    # window over the tails (a bounded frame: at most `lookback` elements)
+    # hands them to the bucket; no self-join, the tails are computed once.
+    w = Window.partitionBy(*partition).orderBy(*order_cols)
+    row = F.struct(*[F.col(c) for c in cols])
+    halo = (tails
+            .select(_B, F.collect_list(row).over(w.rowsBetween(-lookback, -1)).alias("__prev"),
+                    F.lag(_B, 1).over(w).alias("__prev_b"))
+            .filter(F.col("__prev_b").isNull() | (F.col("__prev_b") != F.col(_B)))
+            .select(F.explode("__prev").alias("__r"), _B)
+            .select("__r.*", _B, F.lit(True).alias(_H)))
 
     body = b.select(*cols, _B, F.lit(False).alias(_H))
     out = _apply(body.unionByName(halo), [*partition, _B], order_cols, preceding, stages)
