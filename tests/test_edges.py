@@ -6,7 +6,6 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tests.helpers import match, matches_df
-from touchline.fixtures import N_TEAMS  # noqa: F401
 from touchline.operators.dedup import keep_latest
 from touchline.operators.flatten import flatten_flat, flatten_nested, flatten_standings
 from touchline.operators.form import build_team_form

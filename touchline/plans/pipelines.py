@@ -32,7 +32,7 @@ from touchline.operators.quality import (
 from touchline.operators.results import match_results
 from touchline.operators.rivalry import head_to_head
 from touchline.operators.setops import teams, unify_sources
-from touchline.operators.snapshots import snapshot_history, write_snapshot
+from touchline.operators.snapshots import write_snapshot
 from touchline.operators.standings import league_standings
 from touchline.schemas import RAW_MATCH, STANDINGS_DOC
 from touchline.sources.raw import read_raw
@@ -135,4 +135,4 @@ def run_live(spark: SparkSession, cfg: LakeConfig, messages_path: str, since: da
 
 
 __all__ = ["build_silver_matches", "build_silver_standings", "build_match_results",
-           "gold_models", "gold_checks", "run_full", "run_live", "LakeConfig", "snapshot_history"]
+           "gold_models", "gold_checks", "run_full", "run_live", "LakeConfig"]
