@@ -101,6 +101,13 @@ def _gold_form(spark, sf):
     return _form(spark, sf, strict=False, keep_unscored=True)
 
 
+def _form_rows(spark, sf, keep_unscored):
+    """The rows of a team-form table without its window columns: enough for
+    anything that only aggregates them (standings, KPIs, names), and it skips
+    the window's hot-team pre-pass."""
+    return add_result_points(to_perspectives(finished(_m(spark, sf)), keep_unscored=keep_unscored))
+
+
 def _gold_results(spark, sf):
     return match_results(_m(spark, sf), keep_unscored=True)
 
@@ -156,11 +163,11 @@ def q_head_to_head(spark, sf):
 
 
 def q_league_standings(spark, sf):
-    return league_standings(_form(spark, sf, strict=True, keep_unscored=False))
+    return league_standings(_form_rows(spark, sf, keep_unscored=False))
 
 
 def q_league_standings_by_name(spark, sf):
-    return standings_by_name(_gold_form(spark, sf))
+    return standings_by_name(_form_rows(spark, sf, keep_unscored=True))
 
 
 def q_teams(spark, sf):
@@ -168,7 +175,7 @@ def q_teams(spark, sf):
 
 
 def q_team_names(spark, sf):
-    return team_names(_gold_form(spark, sf))
+    return team_names(_form_rows(spark, sf, keep_unscored=True))
 
 
 # ---------------------------------------------------------------- reports
@@ -194,7 +201,7 @@ def q_pair_tally(spark, sf):
 
 
 def q_league_kpis(spark, sf):
-    return league_kpis(_gold_form(spark, sf))
+    return league_kpis(_form_rows(spark, sf, keep_unscored=True))
 
 
 def q_latest_form(spark, sf):
@@ -206,7 +213,7 @@ def q_top_team_form(spark, sf):
 
 
 def q_top_two_history(spark, sf):
-    return top_two_history(_gold_form(spark, sf), _gold_results(spark, sf))
+    return top_two_history(_form_rows(spark, sf, keep_unscored=True), _gold_results(spark, sf))
 
 
 def q_form_series(spark, sf):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from touchline.operators.dedup import keep_latest
 from touchline.operators.flatten import flatten_sources, flatten_standings
-from touchline.operators.form import build_team_form
+from touchline.operators.form import add_result_points, build_team_form, finished, to_perspectives
 from touchline.operators.quality import (
     GOLD_ACCEPTED,
     GOLD_NOT_NULL,
@@ -69,6 +69,8 @@ def gold_models(matches: DataFrame, split_rows: int | None = 2_000_000) -> dict[
     """The gold tables of both definitions, built from silver matches."""
     form_builder = build_team_form(matches, strict=False, keep_unscored=True, split_rows=split_rows)
     form_model = build_team_form(matches, strict=True, keep_unscored=False, split_rows=split_rows)
+    # standings aggregate the form rows only; the windows are not needed for them
+    form_model_rows = add_result_points(to_perspectives(finished(matches), keep_unscored=False))
     results_model = build_match_results(matches, keep_unscored=False)
     return {
         "team_form": form_builder,
@@ -77,7 +79,7 @@ def gold_models(matches: DataFrame, split_rows: int | None = 2_000_000) -> dict[
         "gold_team_form": form_model,
         "gold_match_results": results_model,
         "gold_head_to_head": head_to_head(results_model),
-        "gold_league_standings": league_standings(form_model),
+        "gold_league_standings": league_standings(form_model_rows),
     }
 
 
