@@ -52,6 +52,8 @@ def test_standings_invariants(spark):
     st = league_standings(form)
     assert st.filter(F.col("played") != F.col("won") + F.col("drawn") + F.col("lost")).isEmpty()
     assert st.agg(F.sum("goal_difference")).first()[0] == 0
+    totals = st.agg(F.sum("won"), F.sum("lost"), F.sum("drawn")).first()
+    assert totals[0] == totals[1] and totals[2] % 2 == 0  # a W for one side is an L for the other
     assert sorted(r.position for r in st.collect()) == list(range(1, st.count() + 1))
     assert form.filter((F.col("points_last5") < 0) | (F.col("points_last5") > 15)).isEmpty()
     fin = m.filter("status = 'finished'")
