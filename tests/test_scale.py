@@ -90,9 +90,8 @@ def test_recent_form_is_top_k(spark):
     assert "TakeOrderedAndProject" in _plan(recent_form(form, "Team 1"))
 
 
-def test_team_with_a_third_of_rows_is_split(spark):
+def _skewed(spark, same_instant=False):
     from touchline.operators.form import add_result_points, to_perspectives, finished
-    from touchline.operators.windows import hot_groups
     m = fx.matches(spark, SF_MID)
     # team 0 is at home in a third of the matches and away in another third:
     # it holds about a third of all form rows
@@ -100,9 +99,34 @@ def test_team_with_a_third_of_rows_is_split(spark):
     skewed = (m.withColumn("home_team_id", F.when(k % 3 == 0, F.lit("0")).otherwise(F.col("home_team_id")))
                .withColumn("away_team_id", F.when(k % 3 == 1, F.lit("0")).otherwise(F.col("away_team_id"))))
     skewed = skewed.filter(F.col("home_team_id") != F.col("away_team_id"))
-    rows = add_result_points(to_perspectives(finished(skewed)))
-    hot = {r["team_id"]: r["__nb"] for r in hot_groups(rows, ["team_id"], "utc_date", 1500).collect()}
+    if same_instant:  # and every match of team 0 kicks off at the same instant
+        zero = (F.col("home_team_id") == "0") | (F.col("away_team_id") == "0")
+        skewed = skewed.withColumn("utc_date", F.when(zero, F.lit("1995-06-17 15:00:00").cast("timestamp_ntz"))
+                                   .otherwise(F.col("utc_date")))
+    return skewed, add_result_points(to_perspectives(finished(skewed)))
+
+
+def test_team_with_a_third_of_rows_is_split(spark):
+    from touchline.operators.windows import hot_groups
+    skewed, rows = _skewed(spark)
+    hot_df, n_buckets = hot_groups(rows, ["team_id"], 1500)
+    hot = {r["team_id"]: r["__nb"] for r in hot_df.collect()}
     share = rows.filter(F.col("team_id") == "0").count() / rows.count()
-    assert share > 0.3 and hot["0"] >= 4
+    assert share > 0.3 and hot["0"] >= 4 and n_buckets == sum(hot.values())
     _same(build_team_form(skewed, keep_unscored=True, split_rows=1500),
           build_team_form(skewed, keep_unscored=True, split_rows=None))
+
+
+def test_hot_team_on_one_instant_is_split_evenly(spark):
+    from touchline.operators.windows import split_hot_rows
+    skewed, rows = _skewed(spark, same_instant=True)
+    n0 = rows.filter(F.col("team_id") == "0").count()
+    cold, hot = split_hot_rows(rows, ["team_id"], ["utc_date", "match_id"], 1500)
+    sizes = [r["n"] for r in hot.filter(F.col("team_id") == "0").groupBy("__bucket")
+             .agg(F.count(F.lit(1)).alias("n")).collect()]
+    # one instant, yet the team is cut into several buckets of similar size
+    assert len(sizes) >= 4 and max(sizes) < n0 / 2 and sum(sizes) == n0
+    assert cold.count() + hot.count() == rows.count()
+    for strict in (False, True):
+        _same(build_team_form(skewed, strict=strict, keep_unscored=True, split_rows=1500),
+              build_team_form(skewed, strict=strict, keep_unscored=True, split_rows=None))

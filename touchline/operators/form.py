@@ -75,8 +75,9 @@ def add_form_windows(df: DataFrame, entity: str = "team_id",
     (``strict=True``) -> improving; else declining.  Order ties are broken by
     ``match_id`` so results are deterministic.  All three windows share one
     partitioning and one sort.  Teams with more than ``split_rows`` rows are
-    split into time buckets with a halo of the rows that cross the bucket edge,
-    so a hot team never lands in a single task (``None`` disables the split).
+    split into buckets of about ``split_rows`` consecutive rows, each with a
+    halo of the rows just before it, so a hot team never lands in a single
+    task (``None`` disables the split).
     """
     gs, gc = f"goals_scored_rolling_avg_{n}", f"goals_conceded_rolling_avg_{n}"
     pl = f"points_last{n}"
@@ -98,7 +99,7 @@ def add_form_windows(df: DataFrame, entity: str = "team_id",
     return bounded_window_frame(
         df, partition=[entity, *extra_partition], order=list(order),
         preceding=n - 1, stages=[frame_fn, trend_fn], lookback=2 * n - 1,
-        ts_col=order[0], split_rows=split_rows)
+        split_rows=split_rows)
 
 
 def valid_rows(matches: DataFrame, valid_only: bool) -> DataFrame:

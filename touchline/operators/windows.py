@@ -2,12 +2,22 @@
 
 ``Window.partitionBy(team)`` sends every row of a team to one task.  Frames
 here only look back a bounded number of rows (``ROWS k PRECEDING`` and
-``lag(n)``), so a team's rows can be cut into time buckets and each bucket
-computed on its own, as long as it also sees the ``lookback`` rows just before
-it (the *halo*).  Only teams above ``split_rows`` are split; the halo is built
-from the last ``lookback`` rows of every bucket (a partial ``WindowGroupLimit``
-keeps that shuffle tiny) and handed to the next bucket by one bounded-frame
-window over those tails.
+``lag(n)``), so a team's rows can be cut into consecutive buckets and each
+bucket computed on its own, as long as it also sees the ``lookback`` rows just
+before it (the *halo*).
+
+Only groups above ``split_rows`` rows are split.  Their rows are range
+partitioned on the whole order key (group, order columns, then a row id that
+separates exact copies), so every bucket holds about the same number of rows
+however the rows are spread in time -- a single instant holding a third of a
+team's rows is still cut into many buckets.  The bucket is the range partition
+id; the bucketed rows are written once as a table in the shared checkpoint
+folder, so the body and the halo see the same buckets even after a
+recomputation.
+The halo comes from the last ``lookback`` rows of every bucket (a partial
+``WindowGroupLimit`` keeps that shuffle tiny) handed to the next bucket by one
+bounded-frame window over those tails.  Groups below the threshold take the
+plain window path.
 """
 
 from __future__ import annotations
@@ -16,23 +26,19 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
+
+from touchline.session import write_scratch
 
 StageFn = Callable[[Window, Window], list[Column]]
 
-# Hot groups are collected to the driver to build the bucket table; this caps
-# that list (it is the top groups by size, so anything left unsplit holds at
-# most 1/MAX_HOT_GROUPS of all rows).  Results are exact either way: a group
+# Hot groups are collected to the driver to size the range partitioning; this
+# caps that list (it is the top groups by size, so anything left unsplit holds
+# at most 1/MAX_HOT_GROUPS of all rows).  Results are exact either way: a group
 # that is not split simply runs on the plain window path.
 MAX_HOT_GROUPS = 10_000
 
-_B, _H, _NB, _T0, _W = "__bucket", "__halo", "__nb", "__t0", "__width"
-
-
-def wall_seconds(c: Column) -> Column:
-    """Monotonic seconds of a (NTZ or session-UTC) timestamp's wall clock."""
-    days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
-    return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+_B, _H, _NB, _ID = "__bucket", "__halo", "__nb", "__rowid"
 
 
 def _apply(df: DataFrame, partition, order_cols, preceding, stages) -> DataFrame:
@@ -43,16 +49,16 @@ def _apply(df: DataFrame, partition, order_cols, preceding, stages) -> DataFrame
     return df
 
 
-def hot_groups(df: DataFrame, partition: Sequence[str], ts_col: str, split_rows: int,
-               max_groups: int = MAX_HOT_GROUPS) -> DataFrame | None:
-    """Groups with more than ``split_rows`` rows and their time span, or None.
+def hot_groups(df: DataFrame, partition: Sequence[str], split_rows: int,
+               max_groups: int = MAX_HOT_GROUPS) -> tuple[DataFrame, int] | None:
+    """Groups with more than ``split_rows`` rows and their bucket count
+    ``__nb = ceil(rows / split_rows)``, plus the total bucket count; or None.
 
     One partial/final aggregation (a few bytes per group per map task) and a
     bounded top-``max_groups`` collect.
     """
-    sec = wall_seconds(F.col(ts_col))
     stats = (df.groupBy(*partition)
-             .agg(F.count(F.lit(1)).alias("cnt"), F.min(sec).alias("t0"), F.max(sec).alias("t1"))
+             .agg(F.count(F.lit(1)).alias("cnt"))
              .filter(F.col("cnt") > split_rows)
              .orderBy(F.col("cnt").desc())
              .limit(max_groups))
@@ -60,48 +66,62 @@ def hot_groups(df: DataFrame, partition: Sequence[str], ts_col: str, split_rows:
     if not rows:
         return None
     key_fields = [df.schema[c] for c in partition]
-    schema = StructType([*key_fields, StructField(_NB, LongType()), StructField(_T0, LongType()),
-                         StructField(_W, DoubleType())])
-    data = []
-    for r in rows:
-        nb = -(-r["cnt"] // split_rows)
-        span = (r["t1"] - r["t0"] + 1) if r["t0"] is not None else 1
-        data.append((*[r[c] for c in partition], int(nb), r["t0"] or 0, max(span / nb, 1.0)))
-    return df.sparkSession.createDataFrame(data, schema)
+    schema = StructType([*key_fields, StructField(_NB, LongType())])
+    data = [(*[r[c] for c in partition], int(-(-r["cnt"] // split_rows))) for r in rows]
+    return df.sparkSession.createDataFrame(data, schema), sum(d[-1] for d in data)
+
+
+def split_hot_rows(df: DataFrame, partition: Sequence[str], order: Sequence[str],
+                   split_rows: int) -> tuple[DataFrame, DataFrame] | None:
+    """``(cold rows, hot rows with __rowid and __bucket)``, or None if no group
+    is hot.  Buckets are consecutive ranges of (group, order, __rowid)."""
+    found = hot_groups(df, partition, split_rows)
+    if found is None:
+        return None
+    hot, n_buckets = found
+    hk = [f"__hk{i}" for i in range(len(partition))]
+    hot = hot.toDF(*hk, _NB)
+    # The hot table has at most MAX_HOT_GROUPS rows: a proven broadcast bound.
+    # Null-safe, so a hot NULL group is split too.
+    cond = [df[c].eqNullSafe(hot[h]) for c, h in zip(partition, hk)]
+    tagged = df.join(F.broadcast(hot), on=cond, how="left").drop(*hk)
+    cold = tagged.filter(F.col(_NB).isNull()).drop(_NB)
+
+    keys = [*(F.col(c).asc_nulls_first() for c in partition),
+            *(F.col(c).asc_nulls_first() for c in order), F.col(_ID).asc()]
+    hot_rows = write_scratch(
+        tagged.filter(F.col(_NB).isNotNull()).drop(_NB)
+        .withColumn(_ID, F.monotonically_increasing_id())
+        .repartitionByRange(n_buckets, *keys)
+        .withColumn(_B, F.spark_partition_id().cast("bigint")), "hot-buckets")
+    return cold, hot_rows
 
 
 def bounded_window_frame(df: DataFrame, partition: Sequence[str], order: Sequence[str],
                          preceding: int, stages: Sequence[StageFn], lookback: int,
-                         ts_col: str, split_rows: int | None = None) -> DataFrame:
+                         split_rows: int | None = None) -> DataFrame:
     """Apply window ``stages`` over ``partition`` ordered by ``order`` (ascending,
     NULLs first), where no stage looks back more than ``lookback`` rows."""
     order_cols = [F.col(c).asc_nulls_first() for c in order]
-    if split_rows is None:
-        return _apply(df, partition, order_cols, preceding, stages)
-    hot = hot_groups(df, partition, ts_col, split_rows)
-    if hot is None:
+    split = None if split_rows is None else split_hot_rows(df, partition, order, split_rows)
+    if split is None:
         return _apply(df, partition, order_cols, preceding, stages)
-
-    cols = df.columns
-    sec = wall_seconds(F.col(ts_col))
-    # The hot table has at most MAX_HOT_GROUPS rows: a proven broadcast bound.
-    b = (df.join(F.broadcast(hot), on=list(partition), how="left")
-           .withColumn(_B, F.coalesce(
-               F.least(F.floor((sec - F.col(_T0)) / F.col(_W)).cast("bigint"), F.col(_NB) - 1),
-               F.lit(0).cast("bigint"))))
-
-    # Last `lookback` rows of every bucket of the hot groups (a partial
-    # WindowGroupLimit keeps at most `lookback` rows per bucket per map task).
-    rev = [F.col(c).desc_nulls_last() for c in order]
-    tails = (b.filter(F.col(_NB).isNotNull())
-              .withColumn("__rn", F.row_number().over(Window.partitionBy(*partition, _B).orderBy(*rev)))
-              .filter(F.col("__rn") <= lookback).drop("__rn", _NB, _T0, _W))
+    cold, hot_rows = split
+    cols = hot_rows.columns
+
+    hot_order = [*order_cols, F.col(_ID).asc()]
+    rev = [*(F.col(c).desc_nulls_last() for c in order), F.col(_ID).desc()]
+    # Last `lookback` rows of every bucket (partial WindowGroupLimit: at most
+    # `lookback` rows per bucket per map task cross the shuffle).
+    tails = (hot_rows
+             .withColumn("__rn", F.row_number().over(Window.partitionBy(*partition, _B).orderBy(*rev)))
+             .filter(F.col("__rn") <= lookback).drop("__rn"))
     # In the tails of one group, in order, the `lookback` rows before the first
-    # tail row of a bucket are exactly the rows just before that bucket.  One
-    # window over the tails (a bounded frame: at most `lookback` elements)
-    # hands them to the bucket; no self-join, the tails are computed once.
-    w = Window.partitionBy(*partition).orderBy(*order_cols)
-    row = F.struct(*[F.col(c) for c in cols])
+    # tail row of a bucket are exactly the rows just before that bucket (empty
+    # buckets are simply absent).  A group's tails are `lookback / split_rows`
+    # of its rows, so this window stays small for any group size.
+    w = Window.partitionBy(*partition).orderBy(*hot_order)
+    row = F.struct(*[F.col(c) for c in cols if c != _B])
     halo = (tails
             .select(_B, F.collect_list(row).over(w.rowsBetween(-lookback, -1)).alias("__prev"),
                     F.lag(_B, 1).over(w).alias("__prev_b"))
@@ -109,6 +129,8 @@ def bounded_window_frame(df: DataFrame, partition: Sequence[str], order: Sequenc
             .select(F.explode("__prev").alias("__r"), _B)
             .select("__r.*", _B, F.lit(True).alias(_H)))
 
-    body = b.select(*cols, _B, F.lit(False).alias(_H))
-    out = _apply(body.unionByName(halo), [*partition, _B], order_cols, preceding, stages)
-    return out.filter(~F.col(_H)).drop(_B, _H)
+    body = hot_rows.withColumn(_H, F.lit(False))
+    hot_out = (_apply(body.unionByName(halo), [*partition, _B], hot_order, preceding, stages)
+               .filter(~F.col(_H)).drop(_B, _H, _ID))
+    cold_out = _apply(cold, partition, order_cols, preceding, stages)
+    return cold_out.unionByName(hot_out)

@@ -36,6 +36,7 @@ from touchline.operators.snapshots import write_snapshot
 from touchline.operators.standings import league_standings
 from touchline.schemas import RAW_MATCH, STANDINGS_DOC
 from touchline.sources.raw import read_raw
+from touchline.sources.tables import path_exists
 from touchline.streaming.land import land_raw, read_topics
 from touchline.operators.reports import has_fresh_files
 
@@ -102,13 +103,11 @@ def run_full(spark: SparkSession, cfg: LakeConfig, committed_at: datetime) -> Da
     silver_sid = int(committed_at.timestamp())
     write_snapshot(silver, cfg.path("silver", "matches"), "silver.matches", silver_sid, committed_at)
     silver = spark.read.parquet(cfg.path("silver", "matches", "data", f"snapshot_id={silver_sid}"))
-    try:
+    if path_exists(spark, cfg.path("bronze", "standings")):  # else no standings landed yet
         docs = read_raw(spark, cfg.path("bronze", "standings"), STANDINGS_DOC)
         standings = build_silver_standings(docs)
         write_snapshot(standings, cfg.path("silver", "standings"), "silver.standings", silver_sid,
                        committed_at)
-    except Exception:  # no standings landed yet
-        pass
     models = gold_models(silver, cfg.split_rows)
     for name in ("team_form", "match_results"):
         write_snapshot(models[name], cfg.path("gold", name), f"gold.{name}", silver_sid, committed_at)

@@ -69,3 +69,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/touchline/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def write_scratch(df, name: str):
+    """Cut lineage: write ``df`` once as a Parquet table in a fresh folder under
+    the shared checkpoint root and return a read of it.  One job (a reliable
+    ``checkpoint()`` runs the plan and then again to write it); the result
+    survives executor loss like any table."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -22,6 +22,22 @@ def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") ->
     return spark.table(name_or_path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, asked of the Hadoop file system (no
+    failing read, so no failed query reaches the session's listeners)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # pragma: no cover - Spark Connect: fall back to a read
+        try:
+            spark.read.format("binaryFile").load(path).limit(0).collect()
+            return True
+        except Exception:
+            return False
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(conf).exists(p))
+
+
 def ensure_namespaces(spark: SparkSession, names: Sequence[str], location_root: str | None = None) -> None:
     for ns in names:
         loc = f" LOCATION '{location_root.rstrip('/')}/{ns}.db'" if location_root else ""

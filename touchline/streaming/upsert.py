@@ -3,8 +3,8 @@
 The table is stored by ``kb = pmod(xxhash64(keys), n)``.  A batch reads the
 buckets it touches, unions itself, keeps the latest row per key and rewrites
 just those buckets (dynamic partition overwrite).  ``keep_latest`` is
-idempotent, so a replayed batch changes nothing; the merged result is
-checkpointed (shared checkpoint folder) before the overwrite so the job never
+idempotent, so a replayed batch changes nothing; the merged result is written
+once to the shared checkpoint folder before the overwrite so the job never
 reads the files it is replacing.
 """
 
@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.dedup import keep_latest
-from touchline.session import checkpoint_root
+from touchline.session import write_scratch
+from touchline.sources.tables import path_exists
 
 KB = "kb"
 
@@ -28,18 +29,17 @@ def bucket_of(keys: Sequence[str], n: int) -> Column:
 def upsert_latest(batch: DataFrame, table_path: str, keys: Sequence[str],
                   order: Sequence[str | Column], n_buckets: int = 16) -> None:
     spark = batch.sparkSession
-    checkpoint_root(spark)
     b = batch.withColumn(KB, bucket_of(keys, n_buckets))
     # At most n_buckets values: a bounded collect.
     touched = [r[KB] for r in b.select(KB).distinct().collect()]
     if not touched:
         return
-    try:
+    if path_exists(spark, table_path):
         existing = spark.read.parquet(table_path).filter(F.col(KB).isin(touched))
         merged_in = existing.select(*b.columns).unionByName(b)
-    except Exception:  # first batch: no table yet
+    else:  # first batch: no table yet
         merged_in = b
-    merged = keep_latest(merged_in, keys, order, used=[KB]).checkpoint(eager=True)
+    merged = write_scratch(keep_latest(merged_in, keys, order, used=[KB]), "upsert-merge")
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(KB).parquet(table_path))
 
