@@ -5,10 +5,11 @@ one task.  Here the rows are range-partitioned on the sort key, numbered
 inside each partition, and shifted by the row counts of the partitions before
 them (one small table, at most ``num_partitions`` rows, broadcast).
 
-The numbered rows are used twice (counts and the join), so they are written
-once as a table in the shared checkpoint folder: both uses then see the same
-partition ids even if a stage is recomputed after an executor loss, and the
-range bounds are sampled once.
+The numbered rows are used twice (counts and the join), so they are
+checkpointed once into the shared checkpoint folder (one job; the input is one
+row per group, so uncompressed checkpoint files beat a Parquet write): both
+uses then see the same partition ids even if a stage is recomputed after an
+executor loss, and the range bounds are sampled once.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.session import write_scratch
+from touchline.session import checkpoint_root
 
 _PID, _MID, _OFF, _N = "__pid", "__mid", "__off", "__n"
 
@@ -27,10 +28,12 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str,
                       num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1..N following ``order`` (which must be a total order)."""
     spark = df.sparkSession
+    checkpoint_root(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = write_scratch(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                           .withColumn(_PID, F.spark_partition_id())
-                           .withColumn(_MID, F.monotonically_increasing_id()), "row-numbers")
+    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                .withColumn(_PID, F.spark_partition_id())
+                .withColumn(_MID, F.monotonically_increasing_id())
+                .checkpoint(eager=True))
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
     offsets = counts.select(
         _PID,

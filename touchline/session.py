@@ -73,8 +73,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 def write_scratch(df, name: str):
     """Cut lineage: write ``df`` once as a Parquet table in a fresh folder under
-    the shared checkpoint root and return a read of it.  One job (a reliable
-    ``checkpoint()`` runs the plan and then again to write it); the result
+    the shared checkpoint root and return a read of it.  For large
+    intermediates: compressed and columnar, where a reliable ``checkpoint()``
+    stores uncompressed rows (cheaper only for small ones).  The result
     survives executor loss like any table."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
