@@ -126,3 +126,16 @@ def test_upsert_replay_is_idempotent(spark):
     upsert_latest(li.filter(F.col("l_orderkey") % 5 == 0), path, keys, order, n_buckets=8)
     again = spark.read.parquet(path).select(*li.columns)
     assert again.count() == expect.count() and again.exceptAll(expect).isEmpty()
+
+
+def test_first_snapshot_is_append_without_failed_reads(spark):
+    from touchline.operators.snapshots import read_ledger
+    from touchline.sources.tables import path_exists
+    root = scratch_dir(spark, "t-first")
+    assert not path_exists(spark, root)
+    df = fx.matches(spark, SF_SMALL)
+    for sid in (1, 2):
+        write_snapshot(df, root, "silver.matches", sid, datetime(2024, 1, sid))
+    assert path_exists(spark, f"{root}/ledger")
+    ops = {r.snapshot_id: r.operation for r in read_ledger(spark, root).collect()}
+    assert ops == {1: "append", 2: "overwrite"}

@@ -130,3 +130,19 @@ def test_hot_team_on_one_instant_is_split_evenly(spark):
     for strict in (False, True):
         _same(build_team_form(skewed, strict=strict, keep_unscored=True, split_rows=1500),
               build_team_form(skewed, strict=strict, keep_unscored=True, split_rows=None))
+
+
+def test_hot_null_team_is_split_and_exact(spark):
+    from touchline.operators.windows import split_hot_rows
+    skewed, _ = _skewed(spark)
+    # the hot team has no id at all: NULL keys form one group, which is split too
+    nulls = (skewed.withColumn("home_team_id", F.when(F.col("home_team_id") == "0", F.lit(None).cast("string"))
+                               .otherwise(F.col("home_team_id")))
+                   .withColumn("away_team_id", F.when(F.col("away_team_id") == "0", F.lit(None).cast("string"))
+                               .otherwise(F.col("away_team_id"))))
+    rows = build_team_form(nulls, keep_unscored=True, split_rows=None)
+    from touchline.operators.form import add_result_points, finished, to_perspectives
+    p = add_result_points(to_perspectives(finished(nulls)))
+    cold, hot = split_hot_rows(p, ["team_id"], ["utc_date", "match_id"], 1500)
+    assert hot.filter(F.col("team_id").isNull()).select("__bucket").distinct().count() >= 4
+    _same(build_team_form(nulls, keep_unscored=True, split_rows=1500), rows)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from touchline.schemas import (
     FLAT_MATCH,
@@ -36,8 +37,17 @@ INGEST_BASE = "2024-01-13 00:00:00"      # first landing run of the raw versions
 STANDINGS_INGEST = "2024-01-15 00:00:00"  # landing run of the standings documents
 
 
+# Schemas of the (read-only) test tables, learnt on the first read.  Reading
+# Parquet without a schema runs a Spark job to read a footer; with it, none.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = _SCHEMAS.get(path)
+    df = (spark.read if known is None else spark.read.schema(known)).parquet(path)
+    _SCHEMAS.setdefault(path, df.schema)
+    return df
 
 
 def _keyed_matches(spark: SparkSession, sf_dir: str, n_teams: int = N_TEAMS) -> DataFrame:

@@ -42,7 +42,7 @@ def write_snapshot(df: DataFrame, path: str, table_name: str, snapshot_id: int,
     (df.observe(obs, F.count(F.lit(1)).alias("n"))
        .write.mode("overwrite").parquet(f"{_data(path)}/{SID}={snapshot_id}"))
     n = int(obs.get["n"])
-    first = not path_exists(spark, _ledger(path)) or spark.read.parquet(_ledger(path)).isEmpty()
+    first = not path_exists(spark, _ledger(path)) or read_ledger(spark, path).isEmpty()
     op = operation or ("append" if first else "overwrite")
     row = (table_name, int(snapshot_id), committed_at, op,
            {"added-records": str(n), "total-records": str(n)})

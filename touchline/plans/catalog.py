@@ -286,8 +286,9 @@ def _docs_table(spark, sf):
     shared folder, as bronze would be), so the scan feeds the generators."""
     ensure_utc(spark)
     path = scratch_dir(spark, "docs")
-    fx.standings_docs(spark, sf).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    docs = fx.standings_docs(spark, sf)
+    docs.write.mode("overwrite").parquet(path)
+    return spark.read.schema(docs.schema).parquet(path)
 
 
 def q_flatten_standings(spark, sf):
