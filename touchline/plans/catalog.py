@@ -379,7 +379,8 @@ def q_check_gold(spark, sf):
 
 def q_check_not_null(spark, sf):
     m = _m(spark, sf)
-    models = gold_models(m)
+    models = gold_models(m, only=("team_form", "match_results", "gold_head_to_head",
+                                  "gold_league_standings"))
     models["gold_team_form"] = models["team_form"]
     models["gold_match_results"] = models["match_results"]
     parts = [run_checks(models[name], name, [not_null(c) for c in cols])
@@ -454,7 +455,7 @@ def q_list_tables(spark, sf):
     ensure_namespaces(spark, ["silver", "gold"], root)
     m = _m(spark, sf)
     materialize(teams(m), "silver.teams", as_="view")
-    models = gold_models(m)
+    models = gold_models(m, only=("team_form", "match_results"))
     for name in ("team_form", "match_results"):
         materialize(models[name], f"gold.{name}", as_="table", path=f"{root}/gold/{name}")
     return list_tables(spark, ["silver", "gold"])

@@ -7,6 +7,7 @@ upsert is the incremental path and gives the same rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
@@ -66,22 +67,28 @@ class LakeConfig:
         return "/".join([self.root.rstrip("/"), *parts])
 
 
-def gold_models(matches: DataFrame, split_rows: int | None = 2_000_000) -> dict[str, DataFrame]:
-    """The gold tables of both definitions, built from silver matches."""
-    form_builder = build_team_form(matches, strict=False, keep_unscored=True, split_rows=split_rows)
-    form_model = build_team_form(matches, strict=True, keep_unscored=False, split_rows=split_rows)
-    # standings aggregate the form rows only; the windows are not needed for them
-    form_model_rows = add_result_points(to_perspectives(finished(matches), keep_unscored=False))
-    results_model = build_match_results(matches, keep_unscored=False)
-    return {
-        "team_form": form_builder,
-        "match_results": build_match_results(matches, keep_unscored=True),
-        "silver_teams": teams(matches),
-        "gold_team_form": form_model,
-        "gold_match_results": results_model,
-        "gold_head_to_head": head_to_head(results_model),
-        "gold_league_standings": league_standings(form_model_rows),
+def gold_models(matches: DataFrame, split_rows: int | None = 2_000_000,
+                only: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """The gold tables of both definitions, built from silver matches.
+
+    ``only`` names the models wanted; the others are not built (a team-form
+    build runs its hot-team probe when it is built, not when it is read)."""
+    def form_model_rows():
+        # standings aggregate the form rows only; the windows are not needed for them
+        return add_result_points(to_perspectives(finished(matches), keep_unscored=False))
+
+    builders = {
+        "team_form": lambda: build_team_form(matches, strict=False, keep_unscored=True,
+                                             split_rows=split_rows),
+        "match_results": lambda: build_match_results(matches, keep_unscored=True),
+        "silver_teams": lambda: teams(matches),
+        "gold_team_form": lambda: build_team_form(matches, strict=True, keep_unscored=False,
+                                                  split_rows=split_rows),
+        "gold_match_results": lambda: build_match_results(matches, keep_unscored=False),
+        "gold_head_to_head": lambda: head_to_head(build_match_results(matches, keep_unscored=False)),
+        "gold_league_standings": lambda: league_standings(form_model_rows()),
     }
+    return {name: build() for name, build in builders.items() if only is None or name in only}
 
 
 def gold_checks(models: dict[str, DataFrame]) -> DataFrame:
