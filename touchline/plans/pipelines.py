@@ -109,7 +109,8 @@ def run_full(spark: SparkSession, cfg: LakeConfig, committed_at: datetime) -> Da
     silver = build_silver_matches(raw)
     silver_sid = int(committed_at.timestamp())
     write_snapshot(silver, cfg.path("silver", "matches"), "silver.matches", silver_sid, committed_at)
-    silver = spark.read.parquet(cfg.path("silver", "matches", "data", f"snapshot_id={silver_sid}"))
+    silver = spark.read.schema(silver.schema).parquet(
+        cfg.path("silver", "matches", "data", f"snapshot_id={silver_sid}"))
     if path_exists(spark, cfg.path("bronze", "standings")):  # else no standings landed yet
         docs = read_raw(spark, cfg.path("bronze", "standings"), STANDINGS_DOC)
         standings = build_silver_standings(docs)
@@ -122,7 +123,8 @@ def run_full(spark: SparkSession, cfg: LakeConfig, committed_at: datetime) -> Da
         F.lit("silver_matches").alias("model"), F.lit("*").alias("column_name"),
         F.lit("validate_silver").alias("check"),
         (F.col("null_match_ids") + F.col("negative_scores")).alias("violations"), "passed")
-    gold_form = spark.read.parquet(cfg.path("gold", "team_form", "data", f"snapshot_id={silver_sid}"))
+    gold_form = spark.read.schema(models["team_form"].schema).parquet(
+        cfg.path("gold", "team_form", "data", f"snapshot_id={silver_sid}"))
     gold_report = check_gold(gold_form).select(
         F.lit("team_form").alias("model"), F.lit("*").alias("column_name"),
         F.lit("validate_gold").alias("check"),
