@@ -146,3 +146,20 @@ def test_hot_null_team_is_split_and_exact(spark):
     cold, hot = split_hot_rows(p, ["team_id"], ["utc_date", "match_id"], 1500)
     assert hot.filter(F.col("team_id").isNull()).select("__bucket").distinct().count() >= 4
     _same(build_team_form(nulls, keep_unscored=True, split_rows=1500), rows)
+
+
+def test_bucket_count_is_capped_and_exact(spark):
+    from touchline.operators.form import add_result_points, finished, to_perspectives
+    from touchline.operators.windows import BUCKETS_PER_SHUFFLE_PARTITION, split_hot_rows
+    m = fx.matches(spark, SF_MID)
+    rows = add_result_points(to_perspectives(finished(m)))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:  # every team is hot and would want ~30 buckets; the cap allows 8 in all
+        _, hot = split_hot_rows(rows, ["team_id"], ["utc_date", "match_id"], 37)
+        assert 1 < hot.select("__bucket").distinct().count() <= 2 * BUCKETS_PER_SHUFFLE_PARTITION
+        split = build_team_form(m, split_rows=37)
+        plain = build_team_form(m, split_rows=None)
+        _same(split, plain)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

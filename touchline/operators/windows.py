@@ -38,6 +38,12 @@ StageFn = Callable[[Window, Window], list[Column]]
 # that is not split simply runs on the plain window path.
 MAX_HOT_GROUPS = 10_000
 
+# At most this many buckets per shuffle partition of the session.  A third of
+# 10^12 rows at 2M rows per bucket would ask for ~166k range partitions, i.e.
+# (map tasks x 166k) shuffle blocks; past the cap buckets grow beyond
+# split_rows but stay even, so no task holds a hot group.
+BUCKETS_PER_SHUFFLE_PARTITION = 4
+
 _B, _H, _NB, _ID = "__bucket", "__halo", "__nb", "__rowid"
 
 
@@ -74,11 +80,15 @@ def hot_groups(df: DataFrame, partition: Sequence[str], split_rows: int,
 def split_hot_rows(df: DataFrame, partition: Sequence[str], order: Sequence[str],
                    split_rows: int) -> tuple[DataFrame, DataFrame] | None:
     """``(cold rows, hot rows with __rowid and __bucket)``, or None if no group
-    is hot.  Buckets are consecutive ranges of (group, order, __rowid)."""
+    is hot.  Buckets are consecutive ranges of (group, order, __rowid): about
+    ``split_rows`` rows each, capped at ``BUCKETS_PER_SHUFFLE_PARTITION`` x
+    ``spark.sql.shuffle.partitions`` buckets in all."""
     found = hot_groups(df, partition, split_rows)
     if found is None:
         return None
     hot, n_buckets = found
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = max(1, min(n_buckets, BUCKETS_PER_SHUFFLE_PARTITION * width))
     hk = [f"__hk{i}" for i in range(len(partition))]
     hot = hot.toDF(*hk, _NB)
     # The hot table has at most MAX_HOT_GROUPS rows: a proven broadcast bound.
