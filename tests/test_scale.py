@@ -163,3 +163,18 @@ def test_bucket_count_is_capped_and_exact(spark):
         _same(split, plain)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_one_probe_serves_both_form_variants(spark):
+    from touchline.operators.form import form_hot_groups
+    from touchline.plans.pipelines import gold_models
+    skewed, _ = _skewed(spark)
+    hot = form_hot_groups(skewed, 1500)  # probed on the superset (unscored kept)
+    assert hot[0] is not None and hot[1] >= 4
+    for strict, keep in ((True, False), (False, True)):
+        _same(build_team_form(skewed, strict=strict, keep_unscored=keep, split_rows=1500, hot=hot),
+              build_team_form(skewed, strict=strict, keep_unscored=keep, split_rows=None))
+    # a probe that found nothing hot is reused as such: the plain path, no second probe
+    assert form_hot_groups(skewed, 10**9) == (None, 0)
+    models = gold_models(skewed, split_rows=1500, only=("team_form", "gold_team_form"))
+    _same(models["gold_team_form"], build_team_form(skewed, strict=True, split_rows=None))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.expressions import form_points, form_result
-from touchline.operators.windows import bounded_window_frame
+from touchline.operators.windows import HotGroups, bounded_window_frame, hot_groups
 
 PERSPECTIVE_COLUMNS = (
     "match_id", "competition_id", "utc_date", "team_id", "team_name",
@@ -67,7 +67,7 @@ def add_result_points(df: DataFrame) -> DataFrame:
 def add_form_windows(df: DataFrame, entity: str = "team_id",
                      order: Sequence[str] = ("utc_date", "match_id"), n: int = 5,
                      strict: bool = False, extra_partition: Sequence[str] = (),
-                     split_rows: int | None = 2_000_000) -> DataFrame:
+                     split_rows: int | None = 2_000_000, hot: HotGroups | None = None) -> DataFrame:
     """Rolling goals averages and points over the current and ``n-1`` previous
     rows, and the trend against the sum ``n`` rows earlier.
 
@@ -99,7 +99,7 @@ def add_form_windows(df: DataFrame, entity: str = "team_id",
     return bounded_window_frame(
         df, partition=[entity, *extra_partition], order=list(order),
         preceding=n - 1, stages=[frame_fn, trend_fn], lookback=2 * n - 1,
-        split_rows=split_rows)
+        split_rows=split_rows, hot=hot)
 
 
 def valid_rows(matches: DataFrame, valid_only: bool) -> DataFrame:
@@ -109,9 +109,19 @@ def valid_rows(matches: DataFrame, valid_only: bool) -> DataFrame:
     return matches
 
 
+def form_hot_groups(matches: DataFrame, split_rows: int = 2_000_000,
+                    valid_only: bool = False) -> HotGroups:
+    """Hot teams of the form rows with unscored matches kept: a superset of
+    every variant's rows, so one probe can serve all variants built from the
+    same matches (``hot=`` of ``build_team_form``)."""
+    p = to_perspectives(finished(valid_rows(matches, valid_only)), keep_unscored=True)
+    return hot_groups(p, ["team_id"], split_rows) or (None, 0)
+
+
 def build_team_form(matches: DataFrame, strict: bool = False, keep_unscored: bool = False,
                     n: int = 5, split_rows: int | None = 2_000_000,
-                    extra_partition: Sequence[str] = (), valid_only: bool = False) -> DataFrame:
+                    extra_partition: Sequence[str] = (), valid_only: bool = False,
+                    hot: HotGroups | None = None) -> DataFrame:
     """Finished matches -> perspectives -> result/points -> windows (16 columns).
 
     ``strict``/``keep_unscored`` select the variant: the DataFrame builder is
@@ -119,8 +129,11 @@ def build_team_form(matches: DataFrame, strict: bool = False, keep_unscored: boo
     keep_unscored=False``.  ``valid_only`` skips rows flagged ``incomplete``
     (the reference computes the flag and never uses it, so it is off by
     default); ``extra_partition`` (e.g. competition) stops windows crossing it.
+    ``hot`` reuses a ``form_hot_groups`` probe of the same matches.
     """
     p = add_result_points(to_perspectives(finished(valid_rows(matches, valid_only)),
                                           keep_unscored=keep_unscored))
+    if extra_partition:
+        hot = None  # the probe counts per team only
     return add_form_windows(p, n=n, strict=strict, split_rows=split_rows,
-                            extra_partition=extra_partition)
+                            extra_partition=extra_partition, hot=hot)

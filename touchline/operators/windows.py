@@ -77,14 +77,23 @@ def hot_groups(df: DataFrame, partition: Sequence[str], split_rows: int,
     return df.sparkSession.createDataFrame(data, schema), sum(d[-1] for d in data)
 
 
+# A hot_groups probe result: (hot table, total buckets); (None, 0) = probed, none hot.
+HotGroups = tuple[DataFrame | None, int]
+
+
 def split_hot_rows(df: DataFrame, partition: Sequence[str], order: Sequence[str],
-                   split_rows: int) -> tuple[DataFrame, DataFrame] | None:
+                   split_rows: int,
+                   hot: HotGroups | None = None) -> tuple[DataFrame, DataFrame] | None:
     """``(cold rows, hot rows with __rowid and __bucket)``, or None if no group
     is hot.  Buckets are consecutive ranges of (group, order, __rowid): about
     ``split_rows`` rows each, capped at ``BUCKETS_PER_SHUFFLE_PARTITION`` x
-    ``spark.sql.shuffle.partitions`` buckets in all."""
-    found = hot_groups(df, partition, split_rows)
-    if found is None:
+    ``spark.sql.shuffle.partitions`` buckets in all.
+
+    ``hot`` is a ``hot_groups`` result computed earlier (e.g. once for several
+    tables over the same rows); which groups are split never changes the
+    result, only how the work is spread."""
+    found = hot if hot is not None else hot_groups(df, partition, split_rows)
+    if found is None or found[0] is None:
         return None
     hot, n_buckets = found
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -109,11 +118,11 @@ def split_hot_rows(df: DataFrame, partition: Sequence[str], order: Sequence[str]
 
 def bounded_window_frame(df: DataFrame, partition: Sequence[str], order: Sequence[str],
                          preceding: int, stages: Sequence[StageFn], lookback: int,
-                         split_rows: int | None = None) -> DataFrame:
+                         split_rows: int | None = None, hot: HotGroups | None = None) -> DataFrame:
     """Apply window ``stages`` over ``partition`` ordered by ``order`` (ascending,
     NULLs first), where no stage looks back more than ``lookback`` rows."""
     order_cols = [F.col(c).asc_nulls_first() for c in order]
-    split = None if split_rows is None else split_hot_rows(df, partition, order, split_rows)
+    split = None if split_rows is None else split_hot_rows(df, partition, order, split_rows, hot)
     if split is None:
         return _apply(df, partition, order_cols, preceding, stages)
     cold, hot_rows = split

@@ -17,7 +17,13 @@ from pyspark.sql import functions as F
 
 from touchline.operators.dedup import keep_latest
 from touchline.operators.flatten import flatten_sources, flatten_standings
-from touchline.operators.form import add_result_points, build_team_form, finished, to_perspectives
+from touchline.operators.form import (
+    add_result_points,
+    build_team_form,
+    finished,
+    form_hot_groups,
+    to_perspectives,
+)
 from touchline.operators.quality import (
     GOLD_ACCEPTED,
     GOLD_NOT_NULL,
@@ -67,28 +73,38 @@ class LakeConfig:
         return "/".join([self.root.rstrip("/"), *parts])
 
 
+GOLD_MODEL_NAMES = ("team_form", "match_results", "silver_teams", "gold_team_form",
+                    "gold_match_results", "gold_head_to_head", "gold_league_standings")
+
+
 def gold_models(matches: DataFrame, split_rows: int | None = 2_000_000,
                 only: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """The gold tables of both definitions, built from silver matches.
 
     ``only`` names the models wanted; the others are not built (a team-form
-    build runs its hot-team probe when it is built, not when it is read)."""
+    build runs its hot-team probe when it is built, not when it is read).
+    When both team-form variants are built they share one probe."""
+    wanted = set(GOLD_MODEL_NAMES if only is None else only)
+    hot = None
+    if {"team_form", "gold_team_form"} <= wanted and split_rows is not None:
+        hot = form_hot_groups(matches, split_rows)
+
     def form_model_rows():
         # standings aggregate the form rows only; the windows are not needed for them
         return add_result_points(to_perspectives(finished(matches), keep_unscored=False))
 
     builders = {
         "team_form": lambda: build_team_form(matches, strict=False, keep_unscored=True,
-                                             split_rows=split_rows),
+                                             split_rows=split_rows, hot=hot),
         "match_results": lambda: build_match_results(matches, keep_unscored=True),
         "silver_teams": lambda: teams(matches),
         "gold_team_form": lambda: build_team_form(matches, strict=True, keep_unscored=False,
-                                                  split_rows=split_rows),
+                                                  split_rows=split_rows, hot=hot),
         "gold_match_results": lambda: build_match_results(matches, keep_unscored=False),
         "gold_head_to_head": lambda: head_to_head(build_match_results(matches, keep_unscored=False)),
         "gold_league_standings": lambda: league_standings(form_model_rows()),
     }
-    return {name: build() for name, build in builders.items() if only is None or name in only}
+    return {name: build() for name, build in builders.items() if name in wanted}
 
 
 def gold_checks(models: dict[str, DataFrame]) -> DataFrame:
