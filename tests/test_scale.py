@@ -178,3 +178,19 @@ def test_one_probe_serves_both_form_variants(spark):
     assert form_hot_groups(skewed, 10**9) == (None, 0)
     models = gold_models(skewed, split_rows=1500, only=("team_form", "gold_team_form"))
     _same(models["gold_team_form"], build_team_form(skewed, strict=True, split_rows=None))
+
+
+def test_split_path_plan_shape(spark):
+    """The hot table is broadcast (bounded), the hot rows come back from the
+    written bucket table, and no Python runs in the plan."""
+    skewed, _ = _skewed(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = _plan(build_team_form(skewed, keep_unscored=True, split_rows=1500))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "BroadcastHashJoin" in p       # the hot-team table (at most MAX_HOT_GROUPS rows)
+    assert "touchline/hot-buckets-" in p  # the bucketed rows are read from the written table
+    assert "WindowGroupLimit" in p        # tails cut before their shuffle
+    assert "Python" not in p and "ArrowEval" not in p
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
