@@ -7,10 +7,10 @@ agree on a sketch only when they share those k-mers in the same order.  Texts
 that agree on a sketch meet in a bucket, and texts that agree on two or four
 neighbouring sketches also in a finer bucket.  Each bucket's members are
 compared with one hub, the member that meets most others over all its buckets,
-so candidates grow with the rows and not with the square of a bucket.  Members
-that do not match their hub meet a second one among themselves.  A candidate is a link when
+so candidates grow with the rows and not with the square of a bucket.  Where a
+member does not match its hub, the bucket meets further hubs.  A candidate is a link when
 
-* its texts share at least 0.8 of their five-word windows (multisets), and
+* the sets of their five-word windows have a Jaccard similarity of at least 0.8, and
 * a banded alignment of their words gives an edit similarity of at least 0.8.
 
 Classes are the connected components of the links.  Equal texts are one text
@@ -44,8 +44,8 @@ from .textarrays import Texts, mix, prefix_sums, row_of, slices, span_hashes, wo
 KMER_WORDS, SKETCHES, SAMPLED, SIMILARITY = 5, 16, 3, 0.8
 #: Neighbouring sketches that the coarse and the finer buckets agree on.
 LEVELS = (1, 2, 4)
-#: Times that the members of a bucket meet a hub; each new hub comes from those that matched none before.
-PASSES = 2
+#: Hubs that the members of a bucket meet, one after the other, while some do not match.
+PASSES = 3
 
 _U = np.uint64
 _MAX = _U(0xFFFFFFFFFFFFFFFF)
@@ -137,27 +137,24 @@ def shared_buckets(sketched: DataFrame) -> DataFrame:
     return found
 
 
-def with_hubs(shared: DataFrame) -> DataFrame:
-    """``(bucket, content, hub)`` for every member but the hub itself.  The hub is
-    the member that meets most others over all its buckets."""
+def ranked_members(shared: DataFrame) -> DataFrame:
+    """``(bucket, content, met)``: with every member the number of texts that it
+    meets over all its buckets.  The hub of a bucket is its member that meets most."""
     sizes = shared.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = shared.join(sizes, "bucket")
-    meets = shared.groupBy("content").agg(F.sum("n").alias("met"))
-    hubs = shared.join(meets, "content").groupBy("bucket").agg(F.max(F.struct("met", "content"))["content"].alias("hub"))
-    return shared.join(hubs, "bucket").filter("content <> hub").select("bucket", "content", "hub")
+    meets = shared.join(sizes, "bucket").groupBy("content").agg(F.sum("n").alias("met"))
+    return shared.join(meets, "content").select("bucket", "content", "met")
 
 
 def shared_windows(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of the five-word windows of two word sequences, as multisets."""
+    """Jaccard similarity of the sets of five-word windows of two word sequences."""
     def windows(words):
         size = min(KMER_WORDS, len(words))
         first = np.array([0, len(words)])
-        return np.unique(word_windows(words, first, size)[1], return_counts=True)
+        return np.unique(word_windows(words, first, size)[1])
 
-    (x, cx), (y, cy) = windows(a), windows(b)
-    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    both = int(np.minimum(cx[i], cy[j]).sum())
-    return both / (int(cx.sum()) + int(cy.sum()) - both)
+    x, y = windows(a), windows(b)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both)
 
 
 def banded_distance(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
@@ -259,22 +256,28 @@ def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame) -> DataFrame:
-    """Verified links ``(a, b, similarity)`` between contents.  After each pass the
-    members that their hub did not match meet again in the same buckets under a
-    new hub."""
+    """Verified links ``(a, b, similarity)`` between contents.  In each pass all
+    members of a bucket meet its next hub; a bucket whose members all match their
+    hub is done."""
     sketched = write_scratch(sketch_documents(docs).dropDuplicates(["content"]), "sketches")
-    open_rows = write_scratch(shared_buckets(sketched), "buckets")
-    words = write_scratch(word_sequences(docs, open_rows.select("content").distinct()), "words")
-    found = None
+    shared = write_scratch(shared_buckets(sketched), "buckets")
+    words = write_scratch(word_sequences(docs, shared.select("content").distinct()), "words")
+    members = write_scratch(ranked_members(shared).withColumn("was_hub", F.lit(False)), "members")
+    found = tested = None
     for _ in range(PASSES):
-        members = write_scratch(with_hubs(open_rows), "members")
-        pairs = members.select(F.least("content", "hub").alias("a"), F.greatest("content", "hub").alias("b")).distinct()
+        hubs = members.filter("not was_hub").groupBy("bucket").agg(F.max(F.struct("met", "content"))["content"].alias("hub"))
+        meeting = members.join(hubs, "bucket")
+        pair = (F.least("content", "hub").alias("a"), F.greatest("content", "hub").alias("b"))
+        pairs = meeting.filter("content <> hub").select(*pair).distinct()
+        pairs = write_scratch(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         passed = write_scratch(verified(pairs, words), "verified")
+        tested = pairs if tested is None else tested.unionAll(pairs)
         found = passed if found is None else found.unionAll(passed)
-        settled = passed.select("a", "b")
-        matched = (F.least("content", "hub") == settled["a"]) & (F.greatest("content", "hub") == settled["b"])
-        open_rows = members.join(settled, matched, "left_anti").select("bucket", "content")
-    return found.distinct()
+        unmatched = (meeting.filter("content <> hub").select("bucket", *pair)
+                     .join(found.select("a", "b"), ["a", "b"], "left_anti").select("bucket").distinct())
+        members = write_scratch(meeting.join(unmatched, "bucket", "left_semi").select(
+            "bucket", "content", "met", (F.col("was_hub") | (F.col("content") == F.col("hub"))).alias("was_hub")), "members")
+    return found
 
 
 def classes(docs: DataFrame) -> DataFrame:
