@@ -10,11 +10,13 @@ from .repetition import op2_repetition
 from .sharding import op5_byte_shards
 from .substrings import op4_chunk_dedup
 from .tokencounts import op8_token_counts
+from .transducer import op3_transducer
 from .urlfilters import OP7_SQL, op7_url_rules
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_repetition": op2_repetition,
+    "op3_transducer": op3_transducer,
     "op4_chunk_dedup": op4_chunk_dedup,
     "op5_byte_shards": op5_byte_shards,
     "op6_subword_classifier": op6_subword_classifier,

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 
-from .textarrays import Texts, span_hashes
+from .textarrays import Texts, mix, span_hashes
 
 
 def vocabulary(name: str) -> str:
@@ -35,44 +36,56 @@ class PieceEncoder:
     The caller cuts texts where no token can reach across.  Known pieces are
     held by hash in a pool of bounded size, which starts anew when it is full."""
 
-    MOST_PIECES, MOST_IDS = 400_000, 4_000_000
+    MOST_PIECES, MOST_IDS = 1_000_000, 10_000_000
 
-    def __init__(self, path: str):
-        self.tokenizer = tokenizer(path)
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
+        self.encode = encode
         self._clear()
 
     def _clear(self) -> None:
         self.known: dict[int, int] = {}
-        self.pool = np.zeros(1 << 16, np.int32)
-        self.begin, self.used = [0], 0
+        self.pool, self.used = np.zeros(1 << 16, np.int32), 0
+        self.begin = np.zeros(1 << 16, np.int64)  # piece r has the ids from begin[r] to begin[r + 1]
 
     def _learn(self, hashes: list[int], strings: list[str]) -> None:
-        for key, found in zip(hashes, self.tokenizer.encode_batch_fast(strings, add_special_tokens=False), strict=True):
-            ids = found.ids
+        room = len(self.known) + len(hashes) + 1
+        if room > len(self.begin):
+            self.begin = np.concatenate([self.begin, np.zeros(max(room, len(self.begin)), np.int64)])
+        for key, ids in zip(hashes, self.encode(strings), strict=True):
             end = self.used + len(ids)
             if end > len(self.pool):
                 self.pool = np.concatenate([self.pool, np.zeros(max(end, len(self.pool)), np.int32)])
             self.pool[self.used:end] = ids
-            self.known[key] = len(self.begin) - 1
-            self.begin.append(end)
-            self.used = end
+            self.known[key] = rank = len(self.known)
+            self.begin[rank + 1] = self.used = end
 
-    def pieces(self, texts: Texts, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The pool of ids, and where in it each piece's ids begin and end."""
+    def pieces(self, texts: Texts, starts: np.ndarray, ends: np.ndarray, led: np.ndarray | None = None, lead: str = "") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pool of ids, and where in it each piece's ids begin and end.  The
+        pieces marked in ``led`` are encoded with ``lead`` before them."""
         if len(self.known) > self.MOST_PIECES or self.used > self.MOST_IDS:
             self._clear()
-        keys, at, which = np.unique(span_hashes(texts.byte_prefix(), starts, ends), return_index=True, return_inverse=True)
+        hashes = span_hashes(texts.byte_prefix(), starts, ends)
+        if led is not None:
+            hashes[led] = mix(hashes[led])
+        keys, at, which = np.unique(hashes, return_index=True, return_inverse=True)
         known, keys = self.known, keys.tolist()
         new = [i for i, k in enumerate(keys) if k not in known]
         if new:
-            raw = texts.buf.tobytes()
-            self._learn([keys[i] for i in new],
-                        [raw[a:b].decode() for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)])
+            raw, first = texts.buf.tobytes(), at[new]
+            before = [lead if x else "" for x in led[first]] if led is not None else [""] * len(new)
+            self._learn([keys[i] for i in new], [x + raw[a:b].decode() for x, a, b in
+                                                 zip(before, starts[first].tolist(), ends[first].tolist(), strict=True)])
         rank = np.fromiter((known[k] for k in keys), np.int64, len(keys))[which]
-        begin = np.array(self.begin, np.int64)
-        return self.pool, begin[rank], begin[rank + 1]
+        return self.pool, self.begin[rank], self.begin[rank + 1]
 
 
 @lru_cache(maxsize=4)
 def piece_encoder(path: str) -> PieceEncoder:
-    return PieceEncoder(path)
+    held = tokenizer(path)
+    return PieceEncoder(lambda strings: [x.ids for x in held.encode_batch_fast(strings, add_special_tokens=False)])
+
+
+def gather(pool: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The ids of all pieces, one after the other."""
+    size = end - begin
+    return pool[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())]
