@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import table, text_or_empty
 from .textarrays import Texts, mix, row_of, slices, span_hashes
@@ -145,7 +146,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     sample = training_sample(docs, labels).select("doc_id", F.col("label").cast("int").alias("label"), "text")
     # the sample is bounded, so one task may hold it; the folded model is 1 MB
-    return Model.from_bytes(sample.repartition(1).mapInArrow(run, "model binary").first()["model"])
+    trained = sample.repartition(1).mapInArrow(run, "model binary").first()
+    return Model.from_bytes(trained["model"]) if trained else fit([], np.zeros(0, np.int64))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -158,7 +160,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(held.scores(Texts(batch.column("text"))))],
                                              [*batch.schema.names, "score"])
 
-    return docs.mapInArrow(run, docs.schema.add("score", "double"))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("score", DoubleType())]))
 
 
 def held_out(doc_id: str = "doc_id"):

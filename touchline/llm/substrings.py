@@ -40,12 +40,12 @@ _KEEP_LAST = 1 << 62
 def chunk_starts(words: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Mask of the words that begin a chunk; every text's first word does."""
     n = len(words)
-    h = words.copy()  # h = (h << GEAR_SHIFT) + G[word] mod 2^64
+    row = row_of(first)
+    h = words.copy()  # h = (h << GEAR_SHIFT) + G[word] mod 2^64, anew in every text
     for back in range(1, 64 // GEAR_SHIFT):
-        h[back:] += words[:-back] << np.uint64(back * GEAR_SHIFT)
+        h[back:] += np.where(row[back:] == row[:-back], words[:-back] << np.uint64(back * GEAR_SHIFT), np.uint64(0))
     begin = np.zeros(n, bool)
     begin[first[:-1][np.diff(first) > 0]] = True
-    row = row_of(first)
     least = np.ones(n, bool)
     for step in range(1, LOOK + 1):
         same = row[step:] == row[:-step]
