@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once inside a task.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1

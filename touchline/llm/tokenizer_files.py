@@ -36,7 +36,7 @@ class PieceEncoder:
     The caller cuts texts where no token can reach across.  Known pieces are
     held by hash in a pool of bounded size, which starts anew when it is full."""
 
-    MOST_PIECES, MOST_IDS = 1_000_000, 10_000_000
+    MOST_PIECES, MOST_IDS = 500_000, 5_000_000
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
         self.encode = encode
