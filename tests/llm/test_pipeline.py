@@ -34,3 +34,17 @@ def test_registered_queries():
 
     names = entry.queries()
     assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10 and "pipeline" in names
+
+
+def test_url_rules_match_sql(spark):
+    import duckdb
+
+    from touchline.llm.queries import ORACLE_SQL, QUERIES
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{SF_SMALL}/pages.parquet')")
+    for key, sql in ORACLE_SQL.items():
+        got = QUERIES[key](spark, SF_SMALL)
+        found = con.execute(sql)
+        names = [c[0] for c in found.description]
+        assert sorted(map(str, found.fetchall())) == sorted(str(tuple(r[c] for c in names)) for r in got.collect())
