@@ -53,9 +53,10 @@ def parse_utc(col: str | Column) -> Column:
     """Parse ISO-8601 (``Z``/offset/micros), ``date time`` or date-only text.
 
     Returns a TIMESTAMP_NTZ holding UTC wall-clock time (the session time zone
-    is pinned to UTC); unparsable text gives NULL.
+    is pinned to UTC); unparsable text, and text without a date, gives NULL.
     """
-    return F.try_to_timestamp(_c(col)).cast("timestamp_ntz")
+    dated = _c(col).rlike(r"^\s*\d{4,6}-\d{1,2}-\d{1,2}")  # a time alone would be read as today's
+    return F.when(dated, F.try_to_timestamp(_c(col))).cast("timestamp_ntz")
 
 
 def epoch_ms_to_ts(col: str | Column) -> Column:

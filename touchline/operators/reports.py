@@ -87,7 +87,7 @@ def top_two_history(form: DataFrame, results: DataFrame) -> DataFrame:
     return (results.filter(pair_condition(a, b, exact=False))
             .select("utc_date", "home_team_name", "away_team_name", "home_score",
                     "away_score", "result")
-            .orderBy(F.col("utc_date").desc_nulls_last()))
+            .orderBy(F.col("utc_date").desc_nulls_last(), "match_id"))
 
 
 def date_window(df: DataFrame, col: str, from_=None, to=None) -> DataFrame:

@@ -44,7 +44,7 @@ def pair_matches(results: DataFrame, a, b, exact: bool = False) -> DataFrame:
     """Matches between two teams, newest first (query-layer columns)."""
     return (results.filter(pair_condition(a, b, exact))
             .select("utc_date", "home_team_name", "away_team_name", "home_score", "away_score", "result")
-            .orderBy(F.col("utc_date").desc_nulls_last()))
+            .orderBy(F.col("utc_date").desc_nulls_last(), "match_id"))
 
 
 def pair_matches_exact(results: DataFrame, a: str, b: str) -> DataFrame:
@@ -53,7 +53,7 @@ def pair_matches_exact(results: DataFrame, a: str, b: str) -> DataFrame:
             .select(F.col("utc_date").alias("Date"), F.col("home_team_name").alias("Home"),
                     F.col("away_team_name").alias("Away"), F.col("home_score").alias("HG"),
                     F.col("away_score").alias("AG"), F.col("result").alias("Result"))
-            .orderBy(F.col("Date").desc_nulls_last()))
+            .orderBy(F.col("Date").desc_nulls_last(), "match_id"))
 
 
 def pair_tally(results: DataFrame, a: str, b: str) -> DataFrame:

@@ -464,8 +464,8 @@ def q_list_tables(spark, sf):
 def q_run_full(spark, sf):
     ensure_utc(spark)
     root = scratch_dir(spark, "lake")
-    write_raw(fx.raw_matches(spark, sf, with_date=True), f"{root}/bronze/matches")
-    write_raw(fx.standings_docs(spark, sf, with_date=True), f"{root}/bronze/standings")
+    write_raw(fx.raw_matches(spark, sf, with_date=True), f"{root}/bronze/kind=matches")
+    write_raw(fx.standings_docs(spark, sf, with_date=True), f"{root}/bronze/kind=standings")
     return run_full(spark, LakeConfig(root), committed_at=datetime(2024, 1, 15, 12, 0, 0))
 
 

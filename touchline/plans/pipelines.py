@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from touchline.operators.dedup import keep_latest
 from touchline.operators.flatten import flatten_sources, flatten_standings
@@ -42,9 +43,9 @@ from touchline.operators.setops import teams, unify_sources
 from touchline.operators.snapshots import write_snapshot
 from touchline.operators.standings import league_standings
 from touchline.schemas import RAW_MATCH, STANDINGS_DOC
-from touchline.sources.raw import read_raw
+from touchline.sources.raw import is_empty
 from touchline.sources.tables import path_exists
-from touchline.streaming.land import land_raw, read_topics
+from touchline.streaming.land import land_raw, read_landed, read_topics
 from touchline.operators.reports import has_fresh_files
 
 
@@ -118,47 +119,72 @@ def gold_checks(models: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def run_full(spark: SparkSession, cfg: LakeConfig, committed_at: datetime) -> DataFrame:
-    """Backfill chain over all bronze: silver -> gold -> models -> checks ->
-    snapshots.  Returns the check report (silver, gold, model tests)."""
-    raw = read_raw(spark, cfg.path("bronze", "matches"), RAW_MATCH)
+def read_bronze(spark: SparkSession, cfg: LakeConfig, kind: str, schema: StructType) -> DataFrame | None:
+    """Committed landed payloads of one kind, read through the landing's root so
+    that files of unfinished batches stay hidden; None when none has landed."""
+    if not path_exists(spark, cfg.path("bronze", f"kind={kind}")):
+        return None
+    landed = read_landed(spark, cfg.path("bronze")).filter(F.col("kind") == kind)
+    rows = landed.select(F.from_json("value", schema).alias("row")).select("row.*")
+    return None if is_empty(rows) else rows
+
+
+def _snapshot_id(at: datetime) -> int:
+    """Seconds since the epoch; a time without a zone is UTC."""
+    return int((at if at.tzinfo else at.replace(tzinfo=timezone.utc)).timestamp())
+
+
+def refresh_silver(spark: SparkSession, cfg: LakeConfig, committed_at: datetime) -> DataFrame | None:
+    """Rebuild the silver tables from all landed payloads as one snapshot each;
+    a kind without payloads keeps its table.  Returns the new matches."""
+    sid = _snapshot_id(committed_at)
+    docs = read_bronze(spark, cfg, "standings", STANDINGS_DOC)
+    if docs is not None:
+        write_snapshot(build_silver_standings(docs), cfg.path("silver", "standings"), "silver.standings", sid, committed_at)
+    raw = read_bronze(spark, cfg, "matches", RAW_MATCH)
+    if raw is None:
+        return None
     silver = build_silver_matches(raw)
-    silver_sid = int(committed_at.timestamp())
-    write_snapshot(silver, cfg.path("silver", "matches"), "silver.matches", silver_sid, committed_at)
-    silver = spark.read.schema(silver.schema).parquet(
-        cfg.path("silver", "matches", "data", f"snapshot_id={silver_sid}"))
-    if path_exists(spark, cfg.path("bronze", "standings")):  # else no standings landed yet
-        docs = read_raw(spark, cfg.path("bronze", "standings"), STANDINGS_DOC)
-        standings = build_silver_standings(docs)
-        write_snapshot(standings, cfg.path("silver", "standings"), "silver.standings", silver_sid,
-                       committed_at)
+    write_snapshot(silver, cfg.path("silver", "matches"), "silver.matches", sid, committed_at)
+    return spark.read.schema(silver.schema).parquet(cfg.path("silver", "matches", "data", f"snapshot_id={sid}"))
+
+
+def run_full(spark: SparkSession, cfg: LakeConfig, committed_at: datetime) -> DataFrame:
+    """Backfill chain over all that the landing wrote: silver -> gold -> models ->
+    checks.  Every table is written once and checked from storage; a rerun with
+    the same time changes nothing.  Returns the check report, which is empty when
+    no match has landed (all tables stay as they are)."""
+    silver = refresh_silver(spark, cfg, committed_at)
+    if silver is None:
+        return spark.createDataFrame([], "model string, column_name string, check string, violations bigint, passed boolean")
+    sid = _snapshot_id(committed_at)
     models = gold_models(silver, cfg.split_rows)
-    for name in ("team_form", "match_results"):
-        write_snapshot(models[name], cfg.path("gold", name), f"gold.{name}", silver_sid, committed_at)
+    stored = {}
+    for name, model in models.items():
+        write_snapshot(model, cfg.path("gold", name), f"gold.{name}", sid, committed_at)
+        stored[name] = spark.read.schema(model.schema).parquet(cfg.path("gold", name, "data", f"snapshot_id={sid}"))
     silver_report = check_silver(silver).select(
         F.lit("silver_matches").alias("model"), F.lit("*").alias("column_name"),
         F.lit("validate_silver").alias("check"),
         (F.col("null_match_ids") + F.col("negative_scores")).alias("violations"), "passed")
-    gold_form = spark.read.schema(models["team_form"].schema).parquet(
-        cfg.path("gold", "team_form", "data", f"snapshot_id={silver_sid}"))
-    gold_report = check_gold(gold_form).select(
+    gold_report = check_gold(stored["team_form"]).select(
         F.lit("team_form").alias("model"), F.lit("*").alias("column_name"),
         F.lit("validate_gold").alias("check"),
         (F.col("invalid_trends") + F.col("invalid_points")).alias("violations"), "passed")
-    return silver_report.unionByName(gold_report).unionByName(gold_checks(models))
+    return silver_report.unionByName(gold_report).unionByName(gold_checks(stored))
 
 
 def run_live(spark: SparkSession, cfg: LakeConfig, messages_path: str, since: datetime) -> DataFrame:
-    """Live chain: land new messages -> fresh? -> silver -> silver check."""
+    """Live chain: land new messages -> fresh? -> silver (matches and standings) -> silver check."""
+    nothing = spark.createDataFrame([], "total_rows bigint, null_match_ids bigint, negative_scores bigint, passed boolean")
     q = land_raw(read_topics(spark, messages_path), cfg.path("bronze"),
                  cfg.path("checkpoints", "land"))
     q.awaitTermination()
     if not has_fresh_files(spark, cfg.path("bronze"), since - timedelta(minutes=cfg.fresh_minutes)):
-        return spark.createDataFrame([], "total_rows bigint, null_match_ids bigint, "
-                                         "negative_scores bigint, passed boolean")
-    raw = read_raw(spark, cfg.path("bronze", "kind=matches"), RAW_MATCH)
-    return check_silver(build_silver_matches(raw.drop("date")))
+        return nothing
+    silver = refresh_silver(spark, cfg, datetime.now(timezone.utc).replace(tzinfo=None))
+    return nothing if silver is None else check_silver(silver)
 
 
 __all__ = ["build_silver_matches", "build_silver_standings", "build_match_results",
-           "gold_models", "gold_checks", "run_full", "run_live", "LakeConfig"]
+           "gold_models", "gold_checks", "read_bronze", "refresh_silver", "run_full", "run_live", "LakeConfig"]

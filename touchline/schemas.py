@@ -40,11 +40,11 @@ INGEST_META = _s(
     _f("competition_id", StringType()),
 )
 
-TEAM_REF = _s(_f("id", LongType()), _f("name", StringType()))
+TEAM_REF = _s(_f("id", StringType()), _f("name", StringType()))
 
 # 1.1 nested match source
 NESTED_MATCH = _s(
-    _f("id", LongType()),
+    _f("id", StringType()),
     _f("utcDate", StringType()),
     _f("status", StringType()),
     _f("matchday", IntegerType()),

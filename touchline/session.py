@@ -53,6 +53,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover
             root = None
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         # Unset (tests, laptops): pick our own, once per session.
         root = tempfile.mkdtemp(prefix="touchline-ckpt-")
         spark.sparkContext.setCheckpointDir(root)

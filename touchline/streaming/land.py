@@ -51,7 +51,9 @@ def landing_rows(stream: DataFrame, metrics_name: str | None = "landing") -> Dat
     """Valid messages with their landing folder: ``kind`` by topic name and
     ``date`` = the message's (ingest) day.  Received/dropped counts are
     reported as observed metrics named ``metrics_name`` in the query progress."""
+    # a valid payload has raw line breaks between its tokens only; one payload is one line
     return (parse_messages(stream, observation=metrics_name)
+            .withColumn("value", F.regexp_replace("value", r"[\r\n]+", " "))
             .withColumn("kind", topic_kind("topic"))
             .withColumn("date", F.date_format("timestamp", "yyyy-MM-dd")))
 
