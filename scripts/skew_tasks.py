@@ -1,8 +1,8 @@
-"""Per-task shuffle-read records of the team-form window, plain vs split, on an
+"""Per-task shuffle-read records of the team-form window, on an
 input where one team holds about a third of all rows.  Uses Spark's event log
 in a fresh scratch folder (no UI).
 
-Usage: python scripts/skew_tasks.py [sf_dir] [split_rows]
+Usage: python scripts/skew_tasks.py [sf_dir] [buckets]
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    split = int(sys.argv[2]) if len(sys.argv) > 2 else 20000
+    buckets = int(sys.argv[2]) if len(sys.argv) > 2 else 16
     logdir = tempfile.mkdtemp(prefix="run-eventlog-")
     from pyspark.sql import SparkSession
     from pyspark.sql import functions as F
@@ -38,9 +38,8 @@ def main():
                .withColumn("away_team_id", F.when(k % 3 == 1, F.lit("0")).otherwise(F.col("away_team_id")))
                .filter(F.col("home_team_id") != F.col("away_team_id")))
     sc = spark.sparkContext
-    for label, rows in (("plain", None), ("split", split)):
-        sc.setJobGroup(label, label)
-        build_team_form(skewed, keep_unscored=True, split_rows=rows).write.format("noop").mode("overwrite").save()
+    sc.setJobGroup("form", "form")
+    build_team_form(skewed, keep_unscored=True, buckets=buckets).write.format("noop").mode("overwrite").save()
     spark.stop()
 
     # job group -> stages -> task shuffle-read records

@@ -150,7 +150,7 @@ def test_malformed_and_bare_messages(spark):
 def test_empty_tables_do_not_pass(spark):
     empty_m = matches_df(spark, [])
     assert check_silver(empty_m).first().passed is False
-    empty_f = build_team_form(empty_m, split_rows=None)
+    empty_f = build_team_form(empty_m)
     assert check_gold(empty_f).first().passed is False
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.expressions import form_points, form_result
-from touchline.operators.windows import HotGroups, bounded_window_frame, hot_groups
+from touchline.operators.windows import bounded_window_frame, range_rows
 
 PERSPECTIVE_COLUMNS = (
     "match_id", "competition_id", "utc_date", "team_id", "team_name",
@@ -32,28 +32,15 @@ def _side(prefix: str, other: str, venue: str):
     )
 
 
-def to_perspectives(matches: DataFrame, keep_unscored: bool = True,
-                    method: str = "inline") -> DataFrame:
-    """One match -> two team rows (home, away) with scores swapped.
+def to_perspectives(matches: DataFrame, keep_unscored: bool = True) -> DataFrame:
+    """One match -> two team rows (home, away) with scores swapped, in one read.
 
-    ``method="inline"`` reads the input once (``inline(array(home, away))``);
-    ``method="union"`` is two projections of the same input, which lets a
-    filter on ``team_id`` reach both scans (use it for single-team reads).
     ``keep_unscored=False`` drops a perspective whose own score is NULL (the
     SQL model's rule; a half-scored match keeps one row).
     """
-    if method == "union":
-        home = matches.select("match_id", "competition_id", "utc_date",
-                              _side("home", "away", "home").alias("s")).select(
-            "match_id", "competition_id", "utc_date", "s.*")
-        away = matches.select("match_id", "competition_id", "utc_date",
-                              _side("away", "home", "away").alias("s")).select(
-            "match_id", "competition_id", "utc_date", "s.*")
-        out = home.unionByName(away)
-    else:
-        out = matches.select("match_id", "competition_id", "utc_date",
-                             F.inline(F.array(_side("home", "away", "home"),
-                                              _side("away", "home", "away"))))
+    out = matches.select("match_id", "competition_id", "utc_date",
+                         F.inline(F.array(_side("home", "away", "home"),
+                                          _side("away", "home", "away"))))
     if not keep_unscored:
         out = out.filter(F.col("goals_scored").isNotNull())
     return out.select(*PERSPECTIVE_COLUMNS)
@@ -66,18 +53,15 @@ def add_result_points(df: DataFrame) -> DataFrame:
 
 def add_form_windows(df: DataFrame, entity: str = "team_id",
                      order: Sequence[str] = ("utc_date", "match_id"), n: int = 5,
-                     strict: bool = False, extra_partition: Sequence[str] = (),
-                     split_rows: int | None = 2_000_000, hot: HotGroups | None = None) -> DataFrame:
+                     strict: bool = False, extra_partition: Sequence[str] = ()) -> DataFrame:
     """Rolling goals averages and points over the current and ``n-1`` previous
     rows, and the trend against the sum ``n`` rows earlier.
 
     Trend: no earlier sum -> improving; ``>=`` (``strict=False``) or ``>``
     (``strict=True``) -> improving; else declining.  Order ties are broken by
-    ``match_id`` so results are deterministic.  All three windows share one
-    partitioning and one sort.  Teams with more than ``split_rows`` rows are
-    split into buckets of about ``split_rows`` consecutive rows, each with a
-    halo of the rows just before it, so a hot team never lands in a single
-    task (``None`` disables the split).
+    ``match_id`` so results are deterministic.  All windows share one
+    partitioning and one sort.  ``df`` comes from ``range_rows`` over the same
+    partition and order, so a hot team never lands in a single task.
     """
     gs, gc = f"goals_scored_rolling_avg_{n}", f"goals_conceded_rolling_avg_{n}"
     pl = f"points_last{n}"
@@ -98,8 +82,7 @@ def add_form_windows(df: DataFrame, entity: str = "team_id",
 
     return bounded_window_frame(
         df, partition=[entity, *extra_partition], order=list(order),
-        preceding=n - 1, stages=[frame_fn, trend_fn], lookback=2 * n - 1,
-        split_rows=split_rows, hot=hot)
+        preceding=n - 1, stages=[frame_fn, trend_fn], lookback=2 * n - 1)
 
 
 def valid_rows(matches: DataFrame, valid_only: bool) -> DataFrame:
@@ -109,19 +92,23 @@ def valid_rows(matches: DataFrame, valid_only: bool) -> DataFrame:
     return matches
 
 
-def form_hot_groups(matches: DataFrame, split_rows: int = 2_000_000,
-                    valid_only: bool = False) -> HotGroups:
-    """Hot teams of the form rows with unscored matches kept: a superset of
-    every variant's rows, so one probe can serve all variants built from the
-    same matches (``hot=`` of ``build_team_form``)."""
-    p = to_perspectives(finished(valid_rows(matches, valid_only)), keep_unscored=True)
-    return hot_groups(p, ["team_id"], split_rows) or (None, 0)
+def form_rows(matches: DataFrame, keep_unscored: bool = False, valid_only: bool = False) -> DataFrame:
+    """Finished matches -> perspectives with result and points."""
+    return add_result_points(to_perspectives(finished(valid_rows(matches, valid_only)),
+                                             keep_unscored=keep_unscored))
+
+
+def ranged_form_rows(matches: DataFrame, keep_unscored: bool = True, valid_only: bool = False,
+                     extra_partition: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+    """Form rows cut into even ranges of (team, time) and written once.  With
+    unscored matches kept they serve every variant of ``build_team_form``."""
+    return range_rows(form_rows(matches, keep_unscored, valid_only),
+                      ["team_id", *extra_partition], ["utc_date", "match_id"], buckets)
 
 
 def build_team_form(matches: DataFrame, strict: bool = False, keep_unscored: bool = False,
-                    n: int = 5, split_rows: int | None = 2_000_000,
-                    extra_partition: Sequence[str] = (), valid_only: bool = False,
-                    hot: HotGroups | None = None) -> DataFrame:
+                    n: int = 5, extra_partition: Sequence[str] = (), valid_only: bool = False,
+                    buckets: int | None = None, ranged: DataFrame | None = None) -> DataFrame:
     """Finished matches -> perspectives -> result/points -> windows (16 columns).
 
     ``strict``/``keep_unscored`` select the variant: the DataFrame builder is
@@ -129,11 +116,11 @@ def build_team_form(matches: DataFrame, strict: bool = False, keep_unscored: boo
     keep_unscored=False``.  ``valid_only`` skips rows flagged ``incomplete``
     (the reference computes the flag and never uses it, so it is off by
     default); ``extra_partition`` (e.g. competition) stops windows crossing it.
-    ``hot`` reuses a ``form_hot_groups`` probe of the same matches.
+    ``ranged`` reuses a ``ranged_form_rows`` table of the same matches and
+    options; without it one is written here, in ``buckets`` parts.
     """
-    p = add_result_points(to_perspectives(finished(valid_rows(matches, valid_only)),
-                                          keep_unscored=keep_unscored))
-    if extra_partition:
-        hot = None  # the probe counts per team only
-    return add_form_windows(p, n=n, strict=strict, split_rows=split_rows,
-                            extra_partition=extra_partition, hot=hot)
+    if ranged is None:
+        ranged = ranged_form_rows(matches, keep_unscored, valid_only, extra_partition, buckets)
+    if not keep_unscored:
+        ranged = ranged.filter(F.col("goals_scored").isNotNull())
+    return add_form_windows(ranged, n=n, strict=strict, extra_partition=extra_partition)

@@ -1,18 +1,11 @@
-"""Unions and distinct sets."""
+"""Distinct sets."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def unify_sources(*dfs: DataFrame) -> DataFrame:
-    """Union flattened sources by column name."""
-    return reduce(lambda a, b: a.unionByName(b), dfs)
-
-
 def teams(matches: DataFrame) -> DataFrame:
     """Team dimension: distinct (team_id, team_name, competition_id) over home and
     away sides, ids non-null.  One scan (``inline`` of both sides) and one

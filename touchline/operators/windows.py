@@ -1,155 +1,91 @@
-"""Bounded-frame windows that do not put a hot group into one task.
+"""Bounded-frame windows that never put a whole group into one task.
 
 ``Window.partitionBy(team)`` sends every row of a team to one task.  Frames
 here only look back a bounded number of rows (``ROWS k PRECEDING`` and
-``lag(n)``), so a team's rows can be cut into consecutive buckets and each
-bucket computed on its own, as long as it also sees the ``lookback`` rows just
-before it (the *halo*).
-
-Only groups above ``split_rows`` rows are split.  Their rows are range
-partitioned on the whole order key (group, order columns, then a row id that
-separates exact copies), so every bucket holds about the same number of rows
-however the rows are spread in time -- a single instant holding a third of a
-team's rows is still cut into many buckets.  The bucket is the range partition
-id; the bucketed rows are written once as a table in the shared checkpoint
-folder, so the body and the halo see the same buckets even after a
-recomputation.
-The halo comes from the last ``lookback`` rows of every bucket (a partial
-``WindowGroupLimit`` keeps that shuffle tiny) handed to the next bucket by one
-bounded-frame window over those tails.  Groups below the threshold take the
-plain window path.
+``lag(n)``), so the rows can be cut into consecutive buckets and each bucket
+computed on its own, as long as it also sees the ``lookback`` rows of its
+first group just before it (the *halo*).
+
+There is one path at every size:
+
+1. ``range_rows`` range-partitions all rows on (group, order columns, a row id
+   that separates exact copies), so every bucket holds about the same number
+   of rows whatever the sizes of the groups and however their rows lie in
+   time.  The bucket is the range partition id.  The rows are written once to
+   the shared checkpoint folder, so that body and halo see the same buckets
+   even after a recomputation.  This step runs a job; the rest is lazy.
+2. ``bounded_window_frame`` runs the windows per (group, bucket) over those
+   rows and the halo, then drops the halo.
+
+A bucket's halo lies at the ends of the buckets before it, so the last
+``lookback`` rows of each bucket (a partial ``WindowGroupLimit`` cuts them
+before the shuffle) and the first row of each bucket, which names the group
+that goes on, are enough: at most ``(lookback + 1) * buckets`` rows, however
+many groups there are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from touchline.session import write_scratch
 
-StageFn = Callable[[Window, Window], list[Column]]
-
-# Hot groups are collected to the driver to size the range partitioning; this
-# caps that list (it is the top groups by size, so anything left unsplit holds
-# at most 1/MAX_HOT_GROUPS of all rows).  Results are exact either way: a group
-# that is not split simply runs on the plain window path.
-MAX_HOT_GROUPS = 10_000
-
-# At most this many buckets per shuffle partition of the session.  A third of
-# 10^12 rows at 2M rows per bucket would ask for ~166k range partitions, i.e.
-# (map tasks x 166k) shuffle blocks; past the cap buckets grow beyond
-# split_rows but stay even, so no task holds a hot group.
-BUCKETS_PER_SHUFFLE_PARTITION = 4
-
-_B, _H, _NB, _ID = "__bucket", "__halo", "__nb", "__rowid"
-
-
-def _apply(df: DataFrame, partition, order_cols, preceding, stages) -> DataFrame:
-    w_order = Window.partitionBy(*partition).orderBy(*order_cols)
+StageFn = Callable[[WindowSpec, WindowSpec], list[Column]]
+
+BUCKET, ROW_ID = "__bucket", "__rowid"
+_HALO = "__halo"
+
+
+def range_rows(df: DataFrame, partition: Sequence[str], order: Sequence[str],
+               buckets: int | None = None) -> DataFrame:
+    """``df`` cut into ``buckets`` even consecutive ranges of (partition, order),
+    written once, with the columns ``BUCKET`` and ``ROW_ID``.  ``buckets`` is
+    ``spark.sql.shuffle.partitions`` unless given; size it by the data (about
+    200 MB a bucket)."""
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*(F.col(c).asc_nulls_first() for c in [*partition, *order]), F.col(ROW_ID).asc()]
+    return write_scratch(df.withColumn(ROW_ID, F.monotonically_increasing_id())
+                         .repartitionByRange(n, *keys)
+                         .withColumn(BUCKET, F.spark_partition_id()), "ranged-rows")
+
+
+def _halo(ranged: DataFrame, partition: Sequence[str], order: Sequence[str], lookback: int) -> DataFrame:
+    """For the first group of every bucket, its ``lookback`` rows before the bucket."""
+    keys = [*partition, *order, ROW_ID]
+    in_bucket = Window.partitionBy(BUCKET)
+    backwards = in_bucket.orderBy(*(F.col(c).desc_nulls_last() for c in keys))
+    forwards = in_bucket.orderBy(*(F.col(c).asc_nulls_first() for c in keys))
+    tails = (ranged.withColumn("__n", F.row_number().over(backwards)).filter(F.col("__n") <= lookback)
+             .select(BUCKET, *keys, F.struct(*[c for c in ranged.columns if c != BUCKET]).alias("__row")))
+    heads = (ranged.select(BUCKET, *keys).withColumn("__n", F.row_number().over(forwards))
+             .filter(F.col("__n") == 1).drop("__n"))
+    # Between two heads of a group lies at least one of its tails, so twice
+    # `lookback` edge rows hold the `lookback` tails before a head.
+    edges = tails.unionByName(heads, allowMissingColumns=True)
+    before = (Window.partitionBy(*partition).orderBy(*(F.col(c).asc_nulls_first() for c in [*order, ROW_ID]),
+                                                     F.col("__row").isNotNull())
+              .rowsBetween(-2 * lookback, -1))
+    return (edges.withColumn("__before", F.collect_list("__row").over(before))
+            .filter(F.col("__row").isNull())
+            .select(BUCKET, F.explode(F.slice(F.reverse("__before"), 1, lookback)).alias("__r"))
+            .select("__r.*", BUCKET))
+
+
+def bounded_window_frame(ranged: DataFrame, partition: Sequence[str], order: Sequence[str],
+                         preceding: int, stages: Sequence[StageFn], lookback: int) -> DataFrame:
+    """Apply window ``stages`` over ``partition`` ordered by ``order`` (ascending,
+    NULLs first), where no stage looks back more than ``lookback`` rows.
+    ``ranged`` is a result of ``range_rows`` over the same columns, or a part
+    of one chosen by a filter."""
+    body = ranged.withColumn(_HALO, F.lit(False))
+    halo = _halo(ranged, partition, order, lookback).withColumn(_HALO, F.lit(True))
+    out = body.unionByName(halo)
+    w_order = (Window.partitionBy(*partition, BUCKET)
+               .orderBy(*(F.col(c).asc_nulls_first() for c in order), F.col(ROW_ID).asc()))
     w_rows = w_order.rowsBetween(-preceding, Window.currentRow)
     for stage in stages:
-        df = df.select("*", *stage(w_rows, w_order))
-    return df
-
-
-def hot_groups(df: DataFrame, partition: Sequence[str], split_rows: int,
-               max_groups: int = MAX_HOT_GROUPS) -> tuple[DataFrame, int] | None:
-    """Groups with more than ``split_rows`` rows and their bucket count
-    ``__nb = ceil(rows / split_rows)``, plus the total bucket count; or None.
-
-    One partial/final aggregation (a few bytes per group per map task) and a
-    bounded top-``max_groups`` collect.
-    """
-    stats = (df.groupBy(*partition)
-             .agg(F.count(F.lit(1)).alias("cnt"))
-             .filter(F.col("cnt") > split_rows)
-             .orderBy(F.col("cnt").desc())
-             .limit(max_groups))
-    rows = stats.collect()
-    if not rows:
-        return None
-    key_fields = [df.schema[c] for c in partition]
-    schema = StructType([*key_fields, StructField(_NB, LongType())])
-    data = [(*[r[c] for c in partition], int(-(-r["cnt"] // split_rows))) for r in rows]
-    return df.sparkSession.createDataFrame(data, schema), sum(d[-1] for d in data)
-
-
-# A hot_groups probe result: (hot table, total buckets); (None, 0) = probed, none hot.
-HotGroups = tuple[DataFrame | None, int]
-
-
-def split_hot_rows(df: DataFrame, partition: Sequence[str], order: Sequence[str],
-                   split_rows: int,
-                   hot: HotGroups | None = None) -> tuple[DataFrame, DataFrame] | None:
-    """``(cold rows, hot rows with __rowid and __bucket)``, or None if no group
-    is hot.  Buckets are consecutive ranges of (group, order, __rowid): about
-    ``split_rows`` rows each, capped at ``BUCKETS_PER_SHUFFLE_PARTITION`` x
-    ``spark.sql.shuffle.partitions`` buckets in all.
-
-    ``hot`` is a ``hot_groups`` result computed earlier (e.g. once for several
-    tables over the same rows); which groups are split never changes the
-    result, only how the work is spread."""
-    found = hot if hot is not None else hot_groups(df, partition, split_rows)
-    if found is None or found[0] is None:
-        return None
-    hot, n_buckets = found
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n_buckets = max(1, min(n_buckets, BUCKETS_PER_SHUFFLE_PARTITION * width))
-    hk = [f"__hk{i}" for i in range(len(partition))]
-    hot = hot.toDF(*hk, _NB)
-    # The hot table has at most MAX_HOT_GROUPS rows: a proven broadcast bound.
-    # Null-safe, so a hot NULL group is split too.
-    cond = [df[c].eqNullSafe(hot[h]) for c, h in zip(partition, hk)]
-    tagged = df.join(F.broadcast(hot), on=cond, how="left").drop(*hk)
-    cold = tagged.filter(F.col(_NB).isNull()).drop(_NB)
-
-    keys = [*(F.col(c).asc_nulls_first() for c in partition),
-            *(F.col(c).asc_nulls_first() for c in order), F.col(_ID).asc()]
-    hot_rows = write_scratch(
-        tagged.filter(F.col(_NB).isNotNull()).drop(_NB)
-        .withColumn(_ID, F.monotonically_increasing_id())
-        .repartitionByRange(n_buckets, *keys)
-        .withColumn(_B, F.spark_partition_id().cast("bigint")), "hot-buckets")
-    return cold, hot_rows
-
-
-def bounded_window_frame(df: DataFrame, partition: Sequence[str], order: Sequence[str],
-                         preceding: int, stages: Sequence[StageFn], lookback: int,
-                         split_rows: int | None = None, hot: HotGroups | None = None) -> DataFrame:
-    """Apply window ``stages`` over ``partition`` ordered by ``order`` (ascending,
-    NULLs first), where no stage looks back more than ``lookback`` rows."""
-    order_cols = [F.col(c).asc_nulls_first() for c in order]
-    split = None if split_rows is None else split_hot_rows(df, partition, order, split_rows, hot)
-    if split is None:
-        return _apply(df, partition, order_cols, preceding, stages)
-    cold, hot_rows = split
-    cols = hot_rows.columns
-
-    hot_order = [*order_cols, F.col(_ID).asc()]
-    rev = [*(F.col(c).desc_nulls_last() for c in order), F.col(_ID).desc()]
-    # Last `lookback` rows of every bucket (partial WindowGroupLimit: at most
-    # `lookback` rows per bucket per map task cross the shuffle).
-    tails = (hot_rows
-             .withColumn("__rn", F.row_number().over(Window.partitionBy(*partition, _B).orderBy(*rev)))
-             .filter(F.col("__rn") <= lookback).drop("__rn"))
-    # In the tails of one group, in order, the `lookback` rows before the first
-    # tail row of a bucket are exactly the rows just before that bucket (empty
-    # buckets are simply absent).  A group's tails are `lookback / split_rows`
-    # of its rows, so this window stays small for any group size.
-    w = Window.partitionBy(*partition).orderBy(*hot_order)
-    row = F.struct(*[F.col(c) for c in cols if c != _B])
-    halo = (tails
-            .select(_B, F.collect_list(row).over(w.rowsBetween(-lookback, -1)).alias("__prev"),
-                    F.lag(_B, 1).over(w).alias("__prev_b"))
-            .filter(F.col("__prev_b").isNull() | (F.col("__prev_b") != F.col(_B)))
-            .select(F.explode("__prev").alias("__r"), _B)
-            .select("__r.*", _B, F.lit(True).alias(_H)))
-
-    body = hot_rows.withColumn(_H, F.lit(False))
-    hot_out = (_apply(body.unionByName(halo), [*partition, _B], hot_order, preceding, stages)
-               .filter(~F.col(_H)).drop(_B, _H, _ID))
-    cold_out = _apply(cold, partition, order_cols, preceding, stages)
-    return cold_out.unionByName(hot_out)
+        out = out.select("*", *stage(w_rows, w_order))
+    return out.filter(~F.col(_HALO)).drop(BUCKET, ROW_ID, _HALO)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from touchline import fixtures as fx
 from touchline.functions.expressions import epoch_ms_to_ts, normalize_status
 from touchline.operators.dedup import keep_latest
-from touchline.operators.flatten import flatten_flat, flatten_nested, flatten_sources, flatten_standings
+from touchline.operators.flatten import flatten_flat, flatten_matches, flatten_nested, flatten_standings
 from touchline.operators.form import add_result_points, build_team_form, finished, to_perspectives
 from touchline.operators.quality import (
     FORM_RESULTS,
@@ -48,7 +48,7 @@ from touchline.operators.reports import (
 )
 from touchline.operators.results import match_results
 from touchline.operators.rivalry import head_to_head, pair_matches, pair_matches_exact, pair_tally
-from touchline.operators.setops import team_names, teams, unify_sources
+from touchline.operators.setops import team_names, teams
 from touchline.operators.snapshots import (
     compare_latest,
     read_as_of,
@@ -66,7 +66,7 @@ from touchline.plans.pipelines import (
     gold_models,
     run_full,
 )
-from touchline.schemas import RAW_MATCH, STANDINGS_DOC
+from touchline.schemas import PAYLOAD_META, RAW_MATCH, STANDINGS_DOC
 from touchline.session import ensure_utc, scratch_dir
 from touchline.sources.messages import parse_messages, to_messages
 from touchline.sources.raw import read_raw, write_raw
@@ -103,8 +103,7 @@ def _gold_form(spark, sf):
 
 def _form_rows(spark, sf, keep_unscored):
     """The rows of a team-form table without its window columns: enough for
-    anything that only aggregates them (standings, KPIs, names), and it skips
-    the window's hot-team pre-pass."""
+    anything that only aggregates them (standings, KPIs, names)."""
     return add_result_points(to_perspectives(finished(_m(spark, sf)), keep_unscored=keep_unscored))
 
 
@@ -119,7 +118,7 @@ def _versions(spark, sf):
 
 def _unified(spark, sf):
     ensure_utc(spark)
-    return unify_sources(*flatten_sources(fx.raw_matches(spark, sf), fallback_check=False))
+    return flatten_matches(fx.raw_matches(spark, sf))
 
 
 def _bronze(spark, sf, kind):
@@ -259,6 +258,13 @@ def q_unify_sources(spark, sf):
     return _unified(spark, sf)
 
 
+def q_unknown_sources(spark, sf):
+    """No row has a known source: all are read as the nested shape."""
+    unknown = fx.nested_payload(_versions(spark, sf))
+    elsewhere = F.col(PAYLOAD_META).withField("source", F.lit("elsewhere"))
+    return flatten_matches(unknown.withColumn(PAYLOAD_META, elsewhere))
+
+
 def q_quality_flag(spark, sf):
     return add_quality_flag(_unified(spark, sf))
 
@@ -379,10 +385,7 @@ def q_check_gold(spark, sf):
 
 def q_check_not_null(spark, sf):
     m = _m(spark, sf)
-    models = gold_models(m, only=("team_form", "match_results", "gold_head_to_head",
-                                  "gold_league_standings"))
-    models["gold_team_form"] = models["team_form"]
-    models["gold_match_results"] = models["match_results"]
+    models = gold_models(m, only=tuple(GOLD_NOT_NULL))
     parts = [run_checks(models[name], name, [not_null(c) for c in cols])
              for name, cols in GOLD_NOT_NULL.items()]
     return reduce(DataFrame.unionByName, parts)

@@ -449,6 +449,7 @@ SELECT match_id, raw_status,
             ELSE lower(raw_status) END AS status
 FROM raw"""
     sql["flatten_nested"] = f"WITH {M},\n{VERSIONS}\nSELECT {SILVER_COLS} FROM fl WHERE source = {NESTED}"
+    sql["unknown_sources"] = sql["flatten_nested"]
     sql["flatten_flat"] = f"WITH {M},\n{VERSIONS}\nSELECT {SILVER_COLS} FROM fl WHERE source = {FLAT}"
     sql["unify_sources"] = f"WITH {M},\n{VERSIONS}\nSELECT {SILVER_COLS} FROM fl"
     sql["quality_flag"] = f"WITH {M},\n{VERSIONS}\nSELECT {SILVER_COLS}, quality_flag FROM flq"

@@ -12,18 +12,16 @@ from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from touchline.operators.dedup import keep_latest
-from touchline.operators.flatten import flatten_sources, flatten_standings
+from touchline.operators.flatten import flatten_matches, flatten_standings
 from touchline.operators.form import (
-    add_result_points,
     build_team_form,
-    finished,
-    form_hot_groups,
-    to_perspectives,
+    form_rows,
+    ranged_form_rows,
 )
 from touchline.operators.quality import (
     GOLD_ACCEPTED,
@@ -39,7 +37,7 @@ from touchline.operators.quality import (
 )
 from touchline.operators.results import match_results
 from touchline.operators.rivalry import head_to_head
-from touchline.operators.setops import teams, unify_sources
+from touchline.operators.setops import teams
 from touchline.operators.snapshots import write_snapshot
 from touchline.operators.standings import league_standings
 from touchline.schemas import RAW_MATCH, STANDINGS_DOC
@@ -49,10 +47,13 @@ from touchline.streaming.land import land_raw, read_landed, read_topics
 from touchline.operators.reports import has_fresh_files
 
 
-def build_silver_matches(raw: DataFrame) -> DataFrame:
-    """Flatten both shapes, union, flag quality, keep the newest version per match."""
-    unified = add_quality_flag(unify_sources(*flatten_sources(raw)))
-    return keep_latest(unified, ["match_id"], ["ingested_at"])
+def build_silver_matches(raw: DataFrame, observation: Observation | None = None,
+                         keys: Sequence[str] = ("match_id",)) -> DataFrame:
+    """Flatten both shapes, flag quality, keep the newest version per ``keys``
+    (``("source", "match_id")`` where the sources' ids may collide).
+    ``observation`` counts the rows of unknown source."""
+    unified = add_quality_flag(flatten_matches(raw, observation))
+    return keep_latest(unified, list(keys), ["ingested_at"])
 
 
 def build_silver_standings(docs: DataFrame) -> DataFrame:
@@ -68,7 +69,7 @@ def build_match_results(matches: DataFrame, keep_unscored: bool = True) -> DataF
 class LakeConfig:
     root: str                         # shared folder: bronze/, silver/, gold/, checkpoints/
     fresh_minutes: int = 10
-    split_rows: int | None = 2_000_000
+    buckets: int | None = None        # parts of the form windows (default: shuffle partitions)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -78,32 +79,28 @@ GOLD_MODEL_NAMES = ("team_form", "match_results", "silver_teams", "gold_team_for
                     "gold_match_results", "gold_head_to_head", "gold_league_standings")
 
 
-def gold_models(matches: DataFrame, split_rows: int | None = 2_000_000,
+def gold_models(matches: DataFrame, buckets: int | None = None,
                 only: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """The gold tables of both definitions, built from silver matches.
 
     ``only`` names the models wanted; the others are not built (a team-form
-    build runs its hot-team probe when it is built, not when it is read).
-    When both team-form variants are built they share one probe."""
+    build writes its ranged rows when it is built, not when it is read).  When
+    both team-form variants are built they share one such table."""
     wanted = set(GOLD_MODEL_NAMES if only is None else only)
-    hot = None
-    if {"team_form", "gold_team_form"} <= wanted and split_rows is not None:
-        hot = form_hot_groups(matches, split_rows)
-
-    def form_model_rows():
-        # standings aggregate the form rows only; the windows are not needed for them
-        return add_result_points(to_perspectives(finished(matches), keep_unscored=False))
+    ranged = None
+    if {"team_form", "gold_team_form"} <= wanted:
+        ranged = ranged_form_rows(matches, buckets=buckets)
 
     builders = {
         "team_form": lambda: build_team_form(matches, strict=False, keep_unscored=True,
-                                             split_rows=split_rows, hot=hot),
+                                             buckets=buckets, ranged=ranged),
         "match_results": lambda: build_match_results(matches, keep_unscored=True),
         "silver_teams": lambda: teams(matches),
         "gold_team_form": lambda: build_team_form(matches, strict=True, keep_unscored=False,
-                                                  split_rows=split_rows, hot=hot),
+                                                  buckets=buckets, ranged=ranged),
         "gold_match_results": lambda: build_match_results(matches, keep_unscored=False),
         "gold_head_to_head": lambda: head_to_head(build_match_results(matches, keep_unscored=False)),
-        "gold_league_standings": lambda: league_standings(form_model_rows()),
+        "gold_league_standings": lambda: league_standings(form_rows(matches)),
     }
     return {name: build() for name, build in builders.items() if name in wanted}
 
@@ -158,7 +155,7 @@ def run_full(spark: SparkSession, cfg: LakeConfig, committed_at: datetime) -> Da
     if silver is None:
         return spark.createDataFrame([], "model string, column_name string, check string, violations bigint, passed boolean")
     sid = _snapshot_id(committed_at)
-    models = gold_models(silver, cfg.split_rows)
+    models = gold_models(silver, cfg.buckets)
     stored = {}
     for name, model in models.items():
         write_snapshot(model, cfg.path("gold", name), f"gold.{name}", sid, committed_at)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     ArrayType,
-    BooleanType,
     IntegerType,
     LongType,
     MapType,
@@ -95,27 +94,65 @@ MESSAGE = _s(
 )
 
 # 2. silver / gold
-SILVER_MATCH_COLUMNS = (
-    "match_id", "competition_id", "utc_date", "status", "matchday", "stage",
-    "home_team_id", "home_team_name", "away_team_id", "away_team_name",
-    "home_score", "away_score", "ingested_at", "source",
-)
-SILVER_STANDINGS_COLUMNS = (
-    "team_id", "team_name", "position", "played_games", "won", "draw", "lost",
-    "points", "goals_for", "goals_against", "goal_difference", "ingested_at",
-)
-TEAM_FORM_COLUMNS = (
-    "match_id", "competition_id", "utc_date", "team_id", "team_name",
-    "opponent_id", "opponent_name", "venue", "goals_scored", "goals_conceded",
-    "result", "points", "goals_scored_rolling_avg_5", "goals_conceded_rolling_avg_5",
-    "points_last5", "form_trend",
+SILVER_MATCH = _s(
+    *[_f(n, StringType()) for n in ("match_id", "competition_id")],
+    _f("utc_date", TimestampNTZType()),
+    _f("status", StringType()),
+    _f("matchday", IntegerType()),
+    *[_f(n, StringType()) for n in ("stage", "home_team_id", "home_team_name",
+                                    "away_team_id", "away_team_name")],
+    _f("home_score", IntegerType()),
+    _f("away_score", IntegerType()),
+    _f("ingested_at", TimestampNTZType()),
+    _f("source", StringType()),
 )
-MATCH_RESULT_COLUMNS = (
-    "match_id", "competition_id", "utc_date", "matchday",
-    "home_team_id", "home_team_name", "away_team_id", "away_team_name",
-    "home_score", "away_score", "result", "source",
+SILVER_STANDING = _s(
+    *[_f(n, StringType()) for n in ("team_id", "team_name")],
+    *[_f(n, IntegerType()) for n in ("position", "played_games", "won", "draw", "lost", "points",
+                                     "goals_for", "goals_against", "goal_difference")],
+    _f("ingested_at", TimestampNTZType()),
 )
 
+# The field of each source that fills a silver column.
+NESTED_FIELDS = {
+    "match_id": "id",
+    "competition_id": "competition.code",
+    "utc_date": "utcDate",
+    "status": "status",
+    "matchday": "matchday",
+    "stage": "stage",
+    "home_team_id": "homeTeam.id",
+    "home_team_name": "homeTeam.name",
+    "away_team_id": "awayTeam.id",
+    "away_team_name": "awayTeam.name",
+    "home_score": "score.fullTime.home",
+    "away_score": "score.fullTime.away",
+}
+FLAT_FIELD_OF = {
+    "match_id": "idEvent",
+    "status": "strStatus",
+    "matchday": "intRound",
+    "home_team_id": "idHomeTeam",
+    "home_team_name": "strHomeTeam",
+    "away_team_id": "idAwayTeam",
+    "away_team_name": "strAwayTeam",
+    "home_score": "intHomeScore",
+    "away_score": "intAwayScore",
+}
+STANDING_FIELDS = {
+    "team_id": "team.id",
+    "team_name": "team.name",
+    "position": "position",
+    "played_games": "playedGames",
+    "won": "won",
+    "draw": "draw",
+    "lost": "lost",
+    "points": "points",
+    "goals_for": "goalsFor",
+    "goals_against": "goalsAgainst",
+    "goal_difference": "goalDifference",
+}
+
 SNAPSHOT_LEDGER = _s(
     _f("table_name", StringType(), False),
     _f("snapshot_id", LongType(), False),
@@ -123,11 +160,3 @@ SNAPSHOT_LEDGER = _s(
     _f("operation", StringType(), False),
     _f("summary", MapType(StringType(), StringType())),
 )
-
-CHECK_RESULT = _s(
-    _f("model", StringType()),
-    _f("column_name", StringType()),
-    _f("check", StringType()),
-    _f("violations", LongType()),
-    _f("passed", BooleanType()),
-)
