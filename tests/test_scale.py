@@ -10,7 +10,7 @@ from touchline.operators.flatten import flatten_matches
 from touchline.operators.form import build_team_form, form_rows, ranged_form_rows
 from touchline.operators.ranking import global_row_number
 from touchline.operators.reports import date_window, recent_form
-from touchline.operators.standings import league_standings
+from touchline.operators.standings import dashboard_standings, league_standings
 from touchline.schemas import PAYLOAD_META, RAW_MATCH
 
 
@@ -179,3 +179,10 @@ def test_silver_matches_scans_the_payloads_once(spark, tmp_path):
     out = flatten_matches(mixed, seen := Observation())
     lost = mixed.filter(F.col(PAYLOAD_META).isNull()).count()
     assert lost and out.count() == raw.count() - lost and seen.get["unknown_source"] == lost
+
+
+def test_standings_come_in_order_of_position(spark):
+    rows = form_rows(fx.matches(spark, SF_SMALL))
+    for table, column in ((league_standings(rows), "position"), (dashboard_standings(rows), "Pos")):
+        got = [r[column] for r in table.collect()]
+        assert got == list(range(1, len(got) + 1))

@@ -128,3 +128,9 @@ GOLD_ACCEPTED = {
     "gold_team_form": (("result", FORM_RESULTS), ("form_trend", FORM_TRENDS)),
     "gold_match_results": (("result", MATCH_RESULTS),),
 }
+
+
+def gold_ranges() -> dict[str, list[Check]]:
+    """Range rules of the gold models."""
+    return {"gold_team_form": [between("points_last5", 0, 15)],
+            "gold_match_results": [at_least("home_score", 0), at_least("away_score", 0)]}

@@ -20,7 +20,7 @@ def league_standings(form: DataFrame, by: Sequence[str] = ("team_id", "team_name
 
     Partial aggregation before the shuffle; position is a distributed global
     row number by points, goal difference, goals for, then ``by`` (ties are
-    broken by the team key so the order is total).
+    broken by the team key so the order is total).  Rows come in that order.
     """
     res = F.col("result")
     agg = (form.groupBy(*by).agg(
@@ -32,7 +32,7 @@ def league_standings(form: DataFrame, by: Sequence[str] = ("team_id", "team_name
         F.sum("goals_scored").alias("goals_for"),
         F.sum("goals_conceded").alias("goals_against"))
         .withColumn("goal_difference", F.col("goals_for") - F.col("goals_against")))
-    return global_row_number(agg, _points_order(by), "position")
+    return global_row_number(agg, _points_order(by), "position").orderBy("position")
 
 
 def standings_by_name(form: DataFrame) -> DataFrame:
@@ -44,6 +44,15 @@ def standings_by_name(form: DataFrame) -> DataFrame:
                     F.col("position").alias("pos"))
 
 
+def dashboard_standings(form: DataFrame) -> DataFrame:
+    """The by-name table under the dashboard's headings, in order of position."""
+    s = standings_by_name(form)
+    return s.select(F.col("pos").alias("Pos"), F.col("team_name").alias("Team"), F.col("played").alias("P"),
+                    F.col("won").alias("W"), F.col("drawn").alias("D"), F.col("lost").alias("L"),
+                    F.col("gf").alias("GF"), F.col("gc").alias("GA"), F.col("gd").alias("GD"),
+                    F.col("pts").alias("Pts"))
+
+
 def _rank_key(pts, gd, gf, name):
     """Sort struct equal to ``pts DESC, gd DESC, gf DESC NULLS LAST, name``."""
     return F.struct(F.col(pts).isNull(), -F.col(pts), F.col(gd).isNull(), -F.col(gd),

@@ -58,7 +58,7 @@ from touchline.operators.snapshots import (
     snapshot_report,
     write_yearly_snapshots,
 )
-from touchline.operators.standings import league_kpis, league_standings, standings_by_name
+from touchline.operators.standings import dashboard_standings, league_kpis, league_standings, standings_by_name
 from touchline.plans.pipelines import (
     LakeConfig,
     build_silver_matches,
@@ -169,6 +169,10 @@ def q_league_standings_by_name(spark, sf):
     return standings_by_name(_form_rows(spark, sf, keep_unscored=True))
 
 
+def q_dashboard_standings(spark, sf):
+    return dashboard_standings(_form_rows(spark, sf, keep_unscored=True))
+
+
 def q_teams(spark, sf):
     return teams(_m(spark, sf))
 

@@ -334,7 +334,7 @@ def _ilike(col: str, name_sql: str) -> str:
 
 def _not_null_checks() -> str:
     from touchline.operators.quality import GOLD_NOT_NULL
-    srcs = {"gold_team_form": "tf", "gold_match_results": "rp", "gold_head_to_head": "h2h",
+    srcs = {"gold_team_form": "tfm", "gold_match_results": "rs", "gold_head_to_head": "h2h",
             "gold_league_standings": "ls"}
     parts = []
     for model, cols in GOLD_NOT_NULL.items():
@@ -378,6 +378,9 @@ FROM pairs GROUP BY team_a_id, team_a_name, team_b_id, team_b_name"""
                                + standings("tf", ("team_id", "team_name")))
     sql["league_standings_by_name"] = GOLD_FORM + standings("tf", ("team_name",),
                                                             ("pts", "gf", "gc", "gd", "pos"))
+    sql["dashboard_standings"] = ("SELECT pos AS Pos, team_name AS Team, played AS P, won AS W, drawn AS D, lost AS L, "
+                                  "gf AS GF, gc AS GA, gd AS GD, pts AS Pts "
+                                  f"FROM ({sql['league_standings_by_name']}) AS s")
     sql["teams"] = f"""{m_only}SELECT DISTINCT team_id, team_name, competition_id FROM (
   SELECT home_team_id AS team_id, home_team_name AS team_name, competition_id FROM m
   UNION ALL
@@ -489,9 +492,7 @@ FROM dm"""
     sql["check_points_range"] = f"{DIRTY_FORM}SELECT team_id, match_id, points_last5 FROM dtf WHERE {bad_pts}"
     sql["check_not_null"] = f"""WITH {M},
 {pr},
-{form(keep_unscored=True)},
 {form(strict=True, name='tfm')},
-{RESULTS_PY},
 {results_model()},
 h2h AS (SELECT LEAST(home_team_id, away_team_id) AS team_a_id, GREATEST(home_team_id, away_team_id) AS team_b_id
         FROM rs),

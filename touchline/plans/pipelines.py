@@ -31,6 +31,7 @@ from touchline.operators.quality import (
     add_quality_flag,
     check_gold,
     check_silver,
+    gold_ranges,
     not_null,
     run_checks,
     unique,
@@ -106,11 +107,13 @@ def gold_models(matches: DataFrame, buckets: int | None = None,
 
 
 def gold_checks(models: dict[str, DataFrame]) -> DataFrame:
-    """The declared tests of the four gold models as one report."""
+    """The declared tests of the four gold models and their range rules as one report."""
     parts = []
+    ranges = gold_ranges()
     for model, cols in GOLD_NOT_NULL.items():
         checks = [not_null(c) for c in cols]
         checks += [accepted(c, v) for c, v in GOLD_ACCEPTED.get(model, ())]
+        checks += ranges.get(model, [])
         checks += [unique(*GOLD_UNIQUE[model])] if model in GOLD_UNIQUE else []
         parts.append(run_checks(models[model], model, checks))
     return reduce(DataFrame.unionByName, parts)
