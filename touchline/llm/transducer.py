@@ -4,8 +4,9 @@ Compiled from a model file:
 
 * the normaliser, which puts the dummy space before a text and writes spaces as
   the model's space mark;
-* a lexicon of pieces, from each position to the positions behind the pieces
-  that the text has there, weighted by the pieces' scores;
+* a lexicon transducer whose states are the beginnings of pieces: reading a
+  character moves to the longest beginning that the text now ends with, and
+  gives the arcs of all pieces that end here, weighted by their scores;
 * byte fallback, the path of byte pieces over a character that no piece has.
 
 A text composed with this is a lattice; its shortest path in the tropical
@@ -57,7 +58,7 @@ class Transducer:
         self.strings = [p for p, _ in pieces]
         self.scores = [s for _, s in pieces]
         self.lexicon = {p: i for i, p in enumerate(self.strings) if normal[i]}
-        self.longest = max(map(len, self.lexicon), default=1)
+        self.prefixes = {p[:n] for p in self.lexicon for n in range(len(p) + 1)} | {""}
         self.byte_ids, self.kind, self.dummy_space = byte_ids, kind, dummy_space
         spelled = [p.replace(SPACE_MARK, " ").encode() if normal[i] else b"" for i, p in enumerate(self.strings)]
         for value, i in enumerate(byte_ids):
@@ -67,9 +68,7 @@ class Transducer:
         self.cut_at_lines = not any("\n" in p for p in self.lexicon)
         self.unknown_weight = UNKNOWN_PENALTY - min(self.scores, default=0.0)
         self._apart: dict[int, bool] = {}
-        self._span: dict[str, int] = {}  # longest piece that ends in these two characters
-        for p in self.lexicon:
-            self._span[p[-2:]] = max(self._span.get(p[-2:], 1), len(p))
+        self._moves: dict[str, tuple[str, tuple[tuple[int, int], ...]]] = {}
 
     @classmethod
     def from_file(cls, path: str) -> Transducer:
@@ -120,46 +119,53 @@ class Transducer:
 
     # composition and shortest path
 
-    def shortest_path(self, text: str) -> list[tuple[int, str]]:
-        """(id, characters) along the shortest path over a normalised text; id UNKNOWN for byte fallback."""
-        n = len(text)
-        state, back = [UNKNOWN] * (n + 1), list(range(-1, n))  # at first: every character by byte fallback
-        (self._only_path if self.kind == BYTE_PAIRS else self._least_path)(text, state, back)
-        path, at = [], n
-        while at:
-            path.append((state[at], text[back[at]:at]))
-            at = back[at]
-        return path[::-1]
+    def move(self, read: str) -> tuple[str, tuple[tuple[int, int], ...]]:
+        """The lexicon's next state and its arcs (length and id of the pieces that
+        end here, longest first) for ``read``, a state and the character behind it."""
+        if len(self._moves) > 1_000_000:
+            self._moves.clear()
+        state = read
+        while state not in self.prefixes:
+            state = state[1:]
+        endings = [state[i:] for i in range(len(state))]
+        found = self._moves[read] = state, tuple((len(e), self.lexicon[e]) for e in endings if e in self.lexicon)
+        return found
 
     def _least_path(self, text: str, state: list[int], back: list[int]) -> None:
         """Relaxation over the lexicon's arcs, weighted by the pieces' scores."""
-        weight = [0.0]
-        for end in range(1, len(text) + 1):
+        weight, at = [0.0], ""
+        for end, char in enumerate(text, 1):
+            at, arcs = self._moves.get(at + char) or self.move(at + char)
             weight.append(weight[end - 1] + self.unknown_weight)
-            for start in range(max(0, end - self.longest), end):
-                piece = self.lexicon.get(text[start:end])
-                if piece is not None and weight[start] - self.scores[piece] < weight[end]:
-                    weight[end], state[end], back[end] = weight[start] - self.scores[piece], piece, start
+            for length, piece in arcs:
+                if weight[end - length] - self.scores[piece] < weight[end]:
+                    weight[end], state[end], back[end] = weight[end - length] - self.scores[piece], piece, end - length
 
     def _only_path(self, text: str, state: list[int], back: list[int]) -> None:
         """With weights 0 and infinity: at each position the one arc that the acceptor has."""
-        get, known, span, size = self.lexicon.get, self._apart.get, self._span.get, len(self.strings)
-        for end in range(1, len(text) + 1):
-            for start in range(max(0, end - span(text[max(0, end - 2):end], 1)), end):
-                piece = get(text[start:end])
-                if piece is not None:
-                    ok = known((state[start] + 1) * size + piece)
-                    if ok or ok is None and self.apart(state[start], piece):
-                        state[end], back[end] = piece, start
-                        break
+        moves, known, size, at = self._moves.get, self._apart.get, len(self.strings), ""
+        for end, char in enumerate(text, 1):
+            at, arcs = moves(at + char) or self.move(at + char)
+            for length, piece in arcs:
+                before = state[end - length]
+                ok = known((before + 1) * size + piece)
+                if ok or ok is None and self.apart(before, piece):
+                    state[end], back[end] = piece, end - length
+                    break
 
     def ids_of(self, normalised: str) -> list[int]:
+        """Ids along the shortest path over a normalised text."""
+        at = len(normalised)
+        state, back = [UNKNOWN] * (at + 1), list(range(-1, at))  # at first: every character by byte fallback
+        (self._only_path if self.kind == BYTE_PAIRS else self._least_path)(normalised, state, back)
         out: list[int] = []
-        for piece, chars in self.shortest_path(normalised):
-            if piece != UNKNOWN:
-                out.append(piece)
+        while at:
+            if state[at] != UNKNOWN:
+                out.append(state[at])
             else:
-                out.extend(self.byte_ids[b] for b in chars.encode())
+                out.extend(self.byte_ids[b] for b in reversed(normalised[at - 1].encode()))
+            at = back[at]
+        out.reverse()
         return out
 
     def encode(self, text: str) -> list[int]:
