@@ -99,12 +99,16 @@ def repeats(docs: DataFrame) -> DataFrame:
     document, with ``sources``, the ids of the documents that keep them."""
     plain = keyed(docs).select(F.col("__id").alias("id"), F.col("__hash").alias("hash"), text_or_empty().alias("text"))
     chunks = write_scratch(chunk_table(plain), "chunks")
-    at = F.struct("id", "hash", "place")
-    kept = (chunks.groupBy("digest").agg(F.min(at).alias("kept"), F.count("*").alias("n"))
-            .filter("n > 1").select("digest", "kept"))
-    again = chunks.join(kept, "digest").filter(at != F.col("kept"))
+    first = (chunks.groupBy("digest").agg(F.min("id").alias("source"), F.count("*").alias("n"))
+             .filter("n > 1").select("digest", "source"))
+    shared = write_scratch(chunks.join(first, "digest"), "shared-chunks")
+    # under the least id itself, the first by text hash and place is the one that stays
+    at, own = F.struct("hash", "place"), shared.filter("id = source")
+    twice = own.join(own.groupBy("digest").agg(F.min(at).alias("kept")), "digest").filter(at != F.col("kept"))
+    columns = ("id", "hash", "place", "source")
+    again = shared.filter("id > source").select(*columns).unionAll(twice.select(*columns))
     return again.groupBy("id", "hash").agg(F.array_sort(F.collect_set("place")).alias("places"),
-                                           F.array_sort(F.collect_set(F.col("kept.id"))).alias("sources"))
+                                           F.array_sort(F.collect_set("source")).alias("sources"))
 
 
 def removed_spans(texts: Texts, places: list) -> tuple[list, list]:
@@ -133,9 +137,10 @@ def removed_spans(texts: Texts, places: list) -> tuple[list, list]:
     return spans, new
 
 
-def _with_repeats(docs: DataFrame) -> DataFrame:
+def _with_repeats(docs: DataFrame, *columns: str) -> DataFrame:
+    """The given columns of the documents with ``places`` and ``sources`` (null: no repeat)."""
     found = repeats(docs).withColumnsRenamed({"id": "__id", "hash": "__hash"})
-    return keyed(docs).join(found, ["__id", "__hash"], "left")
+    return keyed(docs).select("__id", "__hash", *columns).join(found, ["__id", "__hash"], "left")
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -158,7 +163,7 @@ def removals(docs: DataFrame) -> DataFrame:
                 pa.array([found if row else [] for found, row in zip(batch.column("sources").to_pylist(), spans, strict=True)], pa.list_(pa.int64())),
             ], ["doc_id", "text", "removed_chars", "removed_spans", "source_ids"])
 
-    rows = _with_repeats(docs.select("doc_id", "text")).select("doc_id", text_or_empty().alias("text"), "places", "sources")
+    rows = _with_repeats(docs.select("doc_id", "text"), "doc_id", "text").select("doc_id", text_or_empty().alias("text"), "places", "sources")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, text string, removed_chars long, "
                                 "removed_spans array<struct<start: long, end: long>>, source_ids array<long>")
@@ -168,8 +173,8 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """The documents without their repeated runs, ``n_chars`` counted anew; a
     document of which no word is left goes, unless it had none before."""
     names = docs.columns
-    wrapped = _with_repeats(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row")))
-    changed = wrapped.filter("places is not null").select("__row", "text", "places")
+    wrapped = _with_repeats(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row")), "__row")
+    changed = wrapped.filter("places is not null").select("__row", F.col("__row.text").alias("text"), "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
