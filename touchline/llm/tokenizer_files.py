@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -43,39 +44,43 @@ class PieceEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[int, int] = {}
+        self.keys, self.rank = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted hashes; the piece of each
         self.pool, self.used = np.zeros(1 << 16, np.int32), 0
-        self.begin = np.zeros(1 << 16, np.int64)  # piece r has the ids from begin[r] to begin[r + 1]
-
-    def _learn(self, hashes: list[int], strings: list[str]) -> None:
-        room = len(self.known) + len(hashes) + 1
-        if room > len(self.begin):
-            self.begin = np.concatenate([self.begin, np.zeros(max(room, len(self.begin)), np.int64)])
-        for key, ids in zip(hashes, self.encode(strings), strict=True):
-            end = self.used + len(ids)
-            if end > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros(max(end, len(self.pool)), np.int32)])
-            self.pool[self.used:end] = ids
-            self.known[key] = rank = len(self.known)
-            self.begin[rank + 1] = self.used = end
+        self.begin = np.zeros(1, np.int64)  # piece r has the ids from begin[r] to begin[r + 1]
+
+    def _learn(self, keys: np.ndarray, strings: list[str]) -> None:
+        lists = self.encode(strings)
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        end = self.used + int(sizes.sum())
+        if end > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(end, len(self.pool)), np.int32)])
+        self.pool[self.used:end] = np.fromiter(chain.from_iterable(lists), np.int32, end - self.used)
+        rank = np.concatenate([self.rank, len(self.begin) - 1 + np.arange(len(lists))])
+        self.begin = np.concatenate([self.begin, self.used + np.cumsum(sizes)])
+        self.used = end
+        keys = np.concatenate([self.keys, keys])
+        order = np.argsort(keys, kind="stable")  # two sorted runs
+        self.keys, self.rank = keys[order], rank[order]
 
     def pieces(self, texts: Texts, starts: np.ndarray, ends: np.ndarray, led: np.ndarray | None = None, lead: str = "") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The pool of ids, and where in it each piece's ids begin and end.  The
         pieces marked in ``led`` are encoded with ``lead`` before them."""
-        if len(self.known) > self.MOST_PIECES or self.used > self.MOST_IDS:
+        if len(self.keys) > self.MOST_PIECES or self.used > self.MOST_IDS:
             self._clear()
         hashes = span_hashes(texts.byte_prefix(), starts, ends)
         if led is not None:
             hashes[led] = mix(hashes[led])
         keys, at, which = np.unique(hashes, return_index=True, return_inverse=True)
-        known, keys = self.known, keys.tolist()
-        new = [i for i, k in enumerate(keys) if k not in known]
-        if new:
+        place = np.searchsorted(self.keys, keys)
+        held = place < len(self.keys)
+        held[held] = self.keys[place[held]] == keys[held]
+        new = np.flatnonzero(~held)
+        if len(new):
             raw, first = texts.buf.tobytes(), at[new]
             before = [lead if x else "" for x in led[first]] if led is not None else [""] * len(new)
-            self._learn([keys[i] for i in new], [x + raw[a:b].decode() for x, a, b in
-                                                 zip(before, starts[first].tolist(), ends[first].tolist(), strict=True)])
-        rank = np.fromiter((known[k] for k in keys), np.int64, len(keys))[which]
+            self._learn(keys[new], [x + raw[a:b].decode() for x, a, b in
+                                    zip(before, starts[first].tolist(), ends[first].tolist(), strict=True)])
+        rank = self.rank[np.searchsorted(self.keys, keys)][which]
         return self.pool, self.begin[rank], self.begin[rank + 1]
 
 
