@@ -374,6 +374,48 @@ def test_classes_equal_brute_force(spark):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted({r + 100 for r in root})
 
 
+def test_pairs_inside_a_template_family(spark):
+    """Texts that share three quarters of their words with all others, among them
+    pairs of a similarity a little above the bar: every pair is one class."""
+    rng = np.random.default_rng(31)
+    template = [f"t{i}" for i in range(150)]
+    texts = []
+    for pair in range(200):
+        own = [f"o{pair}x{i}" for i in range(50)]
+        other = list(own)
+        for at in rng.choice(4, 3, replace=False):
+            other[6 + 12 * at] = f"c{pair}x{at}"
+        texts += [" ".join(template + own), " ".join(template + other)]
+    one = Texts.of(texts[:4])
+    starts, ends, first = one.words()
+    words = np.split(nearduplicates.span_hashes(one.byte_prefix(), starts, ends), first[1:-1])
+    assert 0.8 <= nearduplicates.similar(words[0], words[1]) < 0.87 and nearduplicates.similar(words[0], words[2]) == 0
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in nearduplicates.near_duplicate_classes(docs).collect()}
+    assert {d: (r["class_id"], r["class_size"]) for d, r in rows.items()} == {d: (d - d % 2, 2) for d in range(400)}
+
+
+def test_exact_join_equals_brute_force(spark):
+    """All pairs at the window similarity, from texts of many lengths with shared passages."""
+    rng = np.random.default_rng(32)
+    base = [f"b{x}" for x in rng.integers(0, 300, 120)]
+    texts = ["one two", "one two three", "alone"]
+    for i in range(150):
+        words = list(base[:int(rng.integers(20, 120))])
+        for _ in range(int(rng.integers(0, 4))):
+            words[rng.integers(0, len(words))] = f"n{i}"
+        texts.append(" ".join(words + [f"e{i}x{k}" for k in range(int(rng.integers(0, 12)))]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    keyed = docs.select(nearduplicates.content_key(docs["text"]).alias("content"))
+    words = nearduplicates.word_sequences(docs, keyed.distinct()).cache()
+    none = spark.createDataFrame([], "a struct<x: long, y: long>, b struct<x: long, y: long>")
+    found = {(tuple(r["a"]), tuple(r["b"])) for r in nearduplicates.exact_pairs(words, keyed.distinct(), none).collect()}
+    held = sorted(((tuple(r["content"]), np.frombuffer(r["words"], np.uint64)) for r in words.collect()), key=lambda r: r[0])
+    want = {(held[i][0], held[j][0]) for j in range(len(held)) for i in range(j)
+            if nearduplicates.shared_windows(held[i][1], held[j][1]) >= 0.8}
+    assert len(want) > 100 and want <= found and len(found) < 2 * len(want)
+
+
 def test_near_duplicate_edges(edges, empty):
     rows = nearduplicates.near_duplicate_classes(edges).collect()
     assert len(rows) == len(EDGES)

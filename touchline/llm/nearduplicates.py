@@ -8,7 +8,11 @@ that agree on a sketch meet in a bucket, and texts that agree on two or four
 neighbouring sketches also in a finer bucket.  Each bucket's members are
 compared with one hub, the member that meets most others over all its buckets,
 so candidates grow with the rows and not with the square of a bucket.  Where a
-member does not match its hub, the bucket meets further hubs.  A candidate is a link when
+member does not match its hub, the bucket meets further hubs.  The texts of the
+buckets that are still not of one class after PASSES hubs are joined exactly: no
+pair of them that reaches the window similarity and is not in one class yet is
+left out.  They meet on rare five-word windows (see ``exact_pairs``).  A candidate
+is a link when
 
 * the sets of their five-word windows have a Jaccard similarity of at least 0.8, and
 * a banded alignment of their words gives an edit similarity of at least 0.8.
@@ -47,6 +51,11 @@ LEVELS = (1, 2, 4)
 #: Hubs that the members of a bucket meet, one after the other, while some do not match.
 PASSES = 3
 
+#: Least window counts of the length bands of the exact join: a band spans about 5 %.
+BANDS = np.unique(np.ceil(1.05 ** np.arange(500)).astype(np.int64))
+#: Rows of the exact join that a task holds before it gives them on.
+PREFIX_ROWS = 1 << 16
+
 _U = np.uint64
 _MAX = _U(0xFFFFFFFFFFFFFFFF)
 _ORDERS = mix(np.arange(1, SKETCHES + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
@@ -255,10 +264,123 @@ def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     return joined.mapInArrow(verify, "a struct<x: long, y: long>, b struct<x: long, y: long>, similarity double")
 
 
+def window_sets(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Text number and hash of every distinct window that ``shared_windows`` compares, by text."""
+    at, window = word_windows(words, first, KMER_WORDS)
+    short = np.flatnonzero((np.diff(first) > 0) & (np.diff(first) < KMER_WORDS))
+    row = np.concatenate([row_of(first)[at], short])
+    window = np.concatenate([window, span_hashes(prefix_sums(words), first[short], first[short + 1])])
+    order = np.lexsort((window, row))
+    row, window = row[order], window[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (window[1:] != window[:-1])
+    return row[new], window[new]
+
+
+def window_rows(words: DataFrame) -> DataFrame:
+    """``(content, n, window)``: the distinct windows of every content, and how many they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "words"):
+            sequences = Texts(batch.column("words"))
+            row, window = window_sets(np.frombuffer(sequences.buf.tobytes(), _U), sequences.off // 8)
+            rows = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("content").take(rows), pa.array(np.bincount(row, minlength=sequences.n)[row].astype(np.int32)),
+                 pa.array(window.view(np.int64))], ["content", "n", "window"])
+
+    return words.select("content", "words").mapInArrow(run, "content struct<x: long, y: long>, n int, window long")
+
+
+def prefixes(n: int) -> list[tuple[int, int, int]]:
+    """Own band, other band and prefix length of a set of ``n`` windows: two sets
+    that reach SIMILARITY have a window of both prefixes in common, whatever the
+    order in which both are sorted."""
+    least, most = int(np.ceil(SIMILARITY * n - 1e-9)), int(n / SIMILARITY + 1e-9)
+    own, lowest, highest = (int(b) for b in np.searchsorted(BANDS, [n, least, most], "right") - 1)
+    out = []
+    for other in range(lowest, highest + 1):
+        size = max(int(BANDS[other]), least)
+        overlap = int(np.ceil(SIMILARITY / (1 + SIMILARITY) * (n + size) - 1e-9))
+        out.append((own, other, n - overlap + 1))
+    return out
+
+
+def prefix_rows(ranked: DataFrame) -> DataFrame:
+    """``(key, content, root, n, place, low, high)`` of the windows of every prefix
+    that other contents have too.  ``ranked`` holds a content's shared windows in
+    the common order, rarest first; the ones of its own come before them.  ``key``
+    is the window with the two bands; ``low`` and ``high`` tell which the content is in."""
+
+    names = ["key", "place", "low", "high"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(batch, index, parts):
+            rows = pa.array(np.repeat(index, [len(p[0]) for p in parts]))
+            columns = [pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)]
+            return pa.RecordBatch.from_arrays([*columns, *[batch.column(c).take(rows) for c in ("content", "root", "n")]],
+                                              [*names, "content", "root", "n"])
+
+        for batch in batches:
+            index, parts, held = [], [], 0
+            for i in range(batch.num_rows):
+                n, windows = batch.column("n")[i].as_py(), batch.column("windows")[i].values.to_numpy().view(_U)
+                alone = n - len(windows)
+                for own, other, length in prefixes(n):
+                    part = windows[:max(0, length - alone)]
+                    if len(part):
+                        bands = _U(1 + min(own, other) * len(BANDS) + max(own, other))
+                        index.append(i)
+                        parts.append((mix(part + bands * _ORDERS[0]).view(np.int64), np.arange(alone, alone + len(part), dtype=np.int32),
+                                      np.full(len(part), own <= other), np.full(len(part), own >= other)))
+                        held += len(part)
+                if held > PREFIX_ROWS or (parts and i == batch.num_rows - 1):
+                    yield out(batch, index, parts)
+                    index, parts, held = [], [], 0
+
+    pair = "struct<x: long, y: long>"
+    return ranked.select("content", "root", "n", "windows").mapInArrow(
+        run, f"key long, place int, low boolean, high boolean, content {pair}, root {pair}, n int")
+
+
+def exact_pairs(words: DataFrame, left: DataFrame, found: DataFrame) -> DataFrame:
+    """All pairs ``(a, b)`` of the contents in ``left`` that can reach SIMILARITY in
+    their windows and are not connected by ``found`` yet.
+
+    Every text's windows are sorted by how many texts of ``left`` have them, so
+    two similar texts share one among their rarest (prefix filter).  The prefix is
+    as long as the lengths of the two ask for: a key is a window with the length
+    bands of both, so windows that many texts carry are keys only of texts with
+    too little of their own to differ by it.  The place of the first shared window
+    bounds what two texts can share (positional filter).  Texts of one class are
+    not compared with each other, so a large class makes no square of pairs."""
+    windows = write_scratch(window_rows(words.join(left, "content", "left_semi")), "windows")
+    counts = windows.groupBy("window").agg(F.count("*").alias("texts")).filter("texts > 1")
+    ranked = (windows.join(counts, "window").groupBy("content", "n")
+              .agg(F.array_sort(F.collect_list(F.struct("texts", "window")))["window"].alias("windows"))
+              .filter(F.col("n") - F.size("windows") <= F.col("n") * (1 - SIMILARITY) + 1e-6))
+    roots = components(found.select("a", "b"))
+    rooted = ranked.join(roots, ranked["content"] == roots["node"], "left").select(
+        "content", "n", "windows", F.coalesce("root", "content").alias("root"))
+    keyed = write_scratch(prefix_rows(rooted), "prefixes")
+    mixed = keyed.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("key")
+    keyed = write_scratch(keyed.join(mixed, "key"), "mixed-prefixes")
+    # classes meet before their members do: a key's rows of one class are not compared
+    of_key = keyed.select("key", "root").distinct()
+    meeting = (of_key.withColumnRenamed("root", "root_a").join(of_key.withColumnRenamed("root", "root_b"), "key").filter("root_a < root_b"))
+    for side in "ab":
+        meeting = meeting.join(keyed.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("content", "root", "n", "place", "low", "high")]),
+                               ["key", f"root_{side}"])
+    sharable = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    able = sharable >= (F.col("n_a") + F.col("n_b")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-6
+    return (meeting.filter(((F.col("low_a") & F.col("high_b")) | (F.col("high_a") & F.col("low_b"))) & able)
+            .select(F.least("content_a", "content_b").alias("a"), F.greatest("content_a", "content_b").alias("b")).distinct())
+
+
 def links(docs: DataFrame) -> DataFrame:
     """Verified links ``(a, b, similarity)`` between contents.  In each pass all
     members of a bucket meet its next hub; a bucket whose members all match their
-    hub is done."""
+    hub is done.  The members of the buckets left after the passes are joined exactly."""
     sketched = write_scratch(sketch_documents(docs).dropDuplicates(["content"]), "sketches")
     shared = write_scratch(shared_buckets(sketched), "buckets")
     words = write_scratch(word_sequences(docs, shared.select("content").distinct()), "words")
@@ -277,7 +399,11 @@ def links(docs: DataFrame) -> DataFrame:
                      .join(found.select("a", "b"), ["a", "b"], "left_anti").select("bucket").distinct())
         members = write_scratch(meeting.join(unmatched, "bucket", "left_semi").select(
             "bucket", "content", "met", (F.col("was_hub") | (F.col("content") == F.col("hub"))).alias("was_hub")), "members")
-    return found
+    if members.isEmpty():
+        return found
+    pairs = exact_pairs(words, members.select("content").distinct(), found)
+    pairs = write_scratch(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+    return found.unionAll(write_scratch(verified(pairs, words), "verified"))
 
 
 def classes(docs: DataFrame) -> DataFrame:
