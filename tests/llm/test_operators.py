@@ -224,6 +224,17 @@ def test_classifier_on_held_out_rows(spark, edges, empty):
     assert classifier.score(empty.select("doc_id", "text"), model).count() == 0
 
 
+def test_sample_size_is_the_same_for_every_class_size(spark):
+    for n in (classifier.SAMPLE_PER_CLASS + 1, 10**6, 1_100_000_000, 3 * 10**9, 10**13):
+        share = (classifier.sample_bar(n) + 1) / 2**63
+        assert abs(n * share / classifier.SAMPLE_PER_CLASS - 1) < 1e-3
+    assert classifier.sample_bar(1) == classifier.sample_bar(classifier.SAMPLE_PER_CLASS) == 2**63 - 1
+    docs = spark.range(40_000).selectExpr("id as doc_id", "'x' as text")
+    labels = docs.selectExpr("doc_id", "int(doc_id < 1500) as label")
+    sizes = Counter(r["label"] for r in classifier.training_sample(docs, labels).collect())
+    assert sizes[1] == 1500 and abs(sizes[0] - 2000) < 200
+
+
 def test_classifier_without_usable_labels(spark, edges):
     labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (3, None)], "doc_id long, label int")
     model = classifier.train(edges, labels)

@@ -122,16 +122,22 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
     return Model(vectors @ (layer[1] - layer[0]), float(bias[1] - bias[0]))
 
 
+def sample_bar(n: int) -> int:
+    """The greatest 63-bit hash that is sampled of a class of ``n`` documents: the
+    expected sample is SAMPLE_PER_CLASS whatever ``n`` is, or all when they are fewer."""
+    return min(1 << 63, (SAMPLE_PER_CLASS << 63) // n) - 1
+
+
 def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``text``, ``label``: at most about SAMPLE_PER_CLASS documents of
-    each class, chosen by a hash of ``doc_id`` below a bar set from the class counts."""
+    each class, chosen by a hash of ``doc_id`` up to a bar set from the class counts."""
     clean = (labels.filter("doc_id is not null and label in (0, 1)").groupBy("doc_id")
              .agg(F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other").drop("other"))
     sizes = {r["label"]: r["count"] for r in clean.groupBy("label").count().collect()}  # two rows
-    bar = F.lit(0)
+    bar = F.lit(-1)
     for label, n in sizes.items():
-        bar = F.when(F.col("label") == label, min(1_000_000, int(1_000_000 * SAMPLE_PER_CLASS / n))).otherwise(bar)
-    chosen = clean.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < bar)
+        bar = F.when(F.col("label") == label, F.lit(sample_bar(n))).otherwise(bar)
+    chosen = clean.filter(F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 63) - 1)) <= bar)
     # the sample's ids are bounded by twice SAMPLE_PER_CLASS (about), so they are broadcast and texts stay in place
     return docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id")
 
