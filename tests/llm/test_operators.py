@@ -171,6 +171,19 @@ def test_chunk_removal_equals_brute_force(spark, real):
     assert {r["doc_id"]: r["text"] for r in substrings.op4_chunk_dedup(spark, SF_SMALL).collect()} == want
 
 
+def test_equal_rows_keep_one_copy(spark):
+    """Rows equal in id and text, also without ids: one keeps its text."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 99999, 60)) for _ in range(3)]
+    rows = [(None, texts[0])] * 40 + [(7, texts[1])] * 3 + [(8, texts[2]), (9, texts[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = substrings.removals(docs).collect()
+    assert len(found) == len(rows) and Counter(r["text"] for r in found if r["text"]) == Counter(texts)
+    assert all(bool(r["text"]) == (r["removed_chars"] == 0) for r in found)
+    kept = substrings.deduplicate(docs).collect()
+    assert Counter(tuple(r) for r in kept) == Counter([(None, texts[0]), (7, texts[1]), (8, texts[2])])
+
+
 def test_substring_edges(edges, empty):
     assert substrings.removals(edges).count() == len(EDGES)
     kept = substrings.deduplicate(edges)

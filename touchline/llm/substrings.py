@@ -12,9 +12,9 @@ occurrence of every chunk stays.
 
 Edge cases: a null text is empty in the result's measures and stays null in
 ``deduplicate``; an empty or short text has at most one chunk.  Null ids come
-last in the order.  Rows equal in ``doc_id`` and text are one document here
-and get the same result.  An empty table gives an empty result; extra columns
-pass through ``deduplicate``.
+last in the order.  Of rows equal in ``doc_id`` and text one comes first, and
+the others repeat it from end to end.  An empty table gives an empty result;
+extra columns pass through ``deduplicate``.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ LOOK, LONGEST, MIN_WORDS = 3, 32, 25
 GEAR_SHIFT = 16
 
 _KEEP_LAST = 1 << 62
+#: A place that stands for all chunks of a text.
+_ALL = -1
 
 
 def chunk_starts(words: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -121,6 +123,8 @@ def removed_spans(texts: Texts, places: list) -> tuple[list, list]:
         cut = []
         if where:
             at = np.asarray(where, np.int64)
+            if at[0] == _ALL:
+                at = np.arange(chunks.begin[i + 1] - chunks.begin[i])
             at = at[at < chunks.begin[i + 1] - chunks.begin[i]] + chunks.begin[i]
             breaks = np.flatnonzero(np.diff(at) != 1) + 1
             for run in np.split(at, breaks):
@@ -140,7 +144,18 @@ def removed_spans(texts: Texts, places: list) -> tuple[list, list]:
 def _with_repeats(docs: DataFrame, *columns: str) -> DataFrame:
     """The given columns of the documents with ``places`` and ``sources`` (null: no repeat)."""
     found = repeats(docs).withColumnsRenamed({"id": "__id", "hash": "__hash"})
-    return keyed(docs).select("__id", "__hash", *columns).join(found, ["__id", "__hash"], "left")
+    order = ["__id", "__hash"]
+    rows = keyed(docs).select(*order, *columns)
+    equal = write_scratch(rows.groupBy(*order).count().filter("count > 1").select(*order), "equal-rows")
+    if equal.isEmpty():
+        return rows.join(found, order, "left")
+    # rows that are equal in id and text get numbers, once; the least of a group is the first
+    group = write_scratch(rows.join(equal, order, "left_semi").withColumn("__number", F.monotonically_increasing_id()), "equal-texts")
+    first = group.groupBy(*order).agg(F.min("__number").alias("__number")).select("__number")
+    single = rows.join(equal, order, "left_anti").unionByName(group.join(first, "__number", "left_semi").drop("__number"))
+    copies = group.join(first, "__number", "left_anti").drop("__number").withColumns(
+        {"places": F.array(F.lit(_ALL)), "sources": F.array("__id")})
+    return single.join(found, order, "left").unionByName(copies)
 
 
 def removals(docs: DataFrame) -> DataFrame:
