@@ -290,6 +290,19 @@ def test_counts_equal_library(spark, real, edges, empty):
     assert tokencounts.count_tokens(empty, BYTE_BPE).count() == 0
 
 
+def test_counts_around_the_chunk_length(spark, real):
+    """Texts a little shorter and longer than a chunk: spliced or in pieces, the library's counts."""
+    t, spliced = tokenizer(BYTE_BPE), [x for x in real[1].values() if x and len(x) > tokencounts.CHUNK_CHARS]
+    assert len(spliced) >= 5  # ordinary long documents are spliced
+    whole = "\n".join(x for _, x in sorted(real[1].items()) if x)
+    texts = [whole[at:at + tokencounts.CHUNK_CHARS + more] for at in range(0, 40_000, 5_003) for more in (-600, -1, 0, 1, 600, 9_000)]
+    want = {i: len(t.encode(x, add_special_tokens=False).ids) for i, x in enumerate(texts)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    assert {r["doc_id"]: r["n_tokens"] for r in tokencounts.count_tokens(docs, BYTE_BPE).collect()} == want
+    for i, x in enumerate(texts):  # both paths on every text
+        assert len(tokencounts.encode_long(lambda y: t.encode(y, add_special_tokens=False), x)) == want[i]
+
+
 def test_overlaps_resynchronise():
     t = tokenizer(BYTE_BPE)
 

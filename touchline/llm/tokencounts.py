@@ -35,7 +35,7 @@ from .textarrays import SPACE, Texts, counts_between, slices
 from .tokenizer_files import piece_encoder, tokenizer, vocabulary
 
 #: Characters of a chunk and of the first overlap; characters before a chunk's end that are not trusted.
-CHUNK_CHARS, OVERLAP_CHARS, GUARD_CHARS = 1 << 16, 1 << 9, 64
+CHUNK_CHARS, OVERLAP_CHARS, GUARD_CHARS = 1 << 13, 1 << 9, 64
 #: Contract: a text with more tokens is over the limit.
 TOKEN_LIMIT = 1024
 
