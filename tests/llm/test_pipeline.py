@@ -33,16 +33,17 @@ def test_registered_queries():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13 and "pipeline" in names
 
 
-def test_url_rules_match_sql(spark):
+def test_queries_match_sql(spark):
     import duckdb
 
     from touchline.llm.queries import ORACLE_SQL, QUERIES
 
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{SF_SMALL}/pages.parquet')")
+    for name in ("pages", "documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF_SMALL}/{name}.parquet')")
     for key, sql in ORACLE_SQL.items():
         got = QUERIES[key](spark, SF_SMALL)
         found = con.execute(sql)

@@ -9,7 +9,10 @@ slices of bounded bytes first (a single longer text is a slice of its own).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import sys
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +70,35 @@ def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(_U) * _U(0xA24BAED4963EE407))
 
 
+def free_memory() -> None:
+    """Give memory that Arrow and the C library hold for later back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(run: Callable, tokenizers: bool = False) -> Callable:
+    """``run`` for ``mapInArrow``, with what a reused worker holds kept small: a
+    task that needs no tokenizer drops those of earlier stages, and memory is
+    given back when a task ends."""
+
+    @wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = sys.modules.get("touchline.llm.tokenizer_files")
+        if held is not None and not tokenizers:
+            held.forget()
+        try:
+            yield from run(batches)
+        finally:
+            for name in _powers:
+                _powers[name] = np.ones(1, _U)
+            free_memory()
+
+    return task
+
+
 def counts_between(mask: np.ndarray, off: np.ndarray) -> np.ndarray:
     """How many entries of ``mask`` are set in each [off[i], off[i+1])."""
     total = np.zeros(len(mask) + 1, np.int64)
@@ -104,7 +136,10 @@ class Texts:
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of all words (byte positions in ``buf``) and the word
         number at which each text begins (length n + 1)."""
-        solid = ~SPACE[self.buf]
+        return self.spans(~SPACE[self.buf])
+
+    def spans(self, solid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for the longest runs of the bytes marked in ``solid``."""
         filled = np.flatnonzero(np.diff(self.off))
         before = np.zeros_like(solid)
         before[1:] = solid[:-1]

@@ -90,6 +90,12 @@ def piece_encoder(path: str) -> PieceEncoder:
     return PieceEncoder(lambda strings: [x.ids for x in held.encode_batch_fast(strings, add_special_tokens=False)])
 
 
+def forget() -> None:
+    """Drop all tokenizers and pieces of this worker."""
+    tokenizer.cache_clear()
+    piece_encoder.cache_clear()
+
+
 def gather(pool: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """The ids of all pieces, one after the other."""
     size = end - begin
