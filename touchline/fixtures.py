@@ -21,7 +21,9 @@ from touchline.schemas import (
     SOURCE_FLAT,
     SOURCE_NESTED,
     STANDINGS_DOC,
+    as_sent,
 )
+from touchline.sources.raw import stamp_metadata
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -190,12 +192,20 @@ def nested_payload(versions: DataFrame) -> DataFrame:
                  F.col("away_team_name").alias("name")).alias("awayTeam"),
         F.struct(F.struct(F.col("home_score").alias("home"),
                           F.col("away_score").alias("away")).alias("fullTime")).alias("score"),
-        F.struct(_iso_z(F.col("ingested_ts")).alias("ingested_at"),
-                 F.lit(SOURCE_NESTED).alias("source"),
-                 F.when(k % 4 == 0, F.lit(None).cast("string"))
-                  .otherwise(F.col("competition_id")).alias("competition_id")).alias(PAYLOAD_META),
+        *_STAMP,
     )
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in NESTED_MATCH.fields])
+    return _sent(out, NESTED_MATCH, SOURCE_NESTED, _iso_z)
+
+
+# What a payload's metadata is stamped with.
+_STAMP = ("k", "competition_id", "ingested_ts")
+
+
+def _sent(payload: DataFrame, schema: StructType, source: str, iso) -> DataFrame:
+    """The payload as its publisher sends it, stamped; every fourth has no competition."""
+    competition = F.when(F.col("k") % 4 != 0, F.col("competition_id"))
+    stamped = stamp_metadata(payload, source, competition, iso(F.col("ingested_ts")))
+    return stamped.select(*[F.col(f.name).cast(f.dataType) for f in as_sent(schema).fields])
 
 
 def flat_payload(versions: DataFrame) -> DataFrame:
@@ -223,17 +233,14 @@ def flat_payload(versions: DataFrame) -> DataFrame:
         F.when(k % 19 == 0, F.when(F.col("home_score").isNotNull(), F.lit("x")))
          .otherwise(F.col("home_score").cast("string")).alias("intHomeScore"),
         F.col("away_score").cast("string").alias("intAwayScore"),
-        F.struct(_iso_offset(F.col("ingested_ts")).alias("ingested_at"),
-                 F.lit(SOURCE_FLAT).alias("source"),
-                 F.when(k % 4 == 0, F.lit(None).cast("string"))
-                  .otherwise(F.col("competition_id")).alias("competition_id")).alias(PAYLOAD_META),
+        *_STAMP,
     )
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in FLAT_MATCH.fields])
+    return _sent(out, FLAT_MATCH, SOURCE_FLAT, _iso_offset)
 
 
 def raw_matches(spark: SparkSession, sf_dir: str, n_teams: int = N_TEAMS,
                 with_date: bool = False) -> DataFrame:
-    """Both shapes in one superset-schema relation, as they sit in the bronze folder.
+    """Both shapes in one superset-schema relation, as they are read from the bronze folder.
 
     ``with_date`` adds the ingest day used as the landing partition.
     """
@@ -249,11 +256,12 @@ def raw_matches(spark: SparkSession, sf_dir: str, n_teams: int = N_TEAMS,
 
 
 def standings_docs(spark: SparkSession, sf_dir: str, n_teams: int = N_TEAMS,
-                   with_date: bool = False) -> DataFrame:
+                   with_date: bool = False, sent: bool = False) -> DataFrame:
     """One standings document per match: TOTAL (both teams), HOME and AWAY tables.
 
     Unscored matches carry empty tables.  Documents land in one run, ``k %
-    86400`` seconds after ``STANDINGS_INGEST``.
+    86400`` seconds after ``STANDINGS_INGEST``.  ``sent`` gives them as they are
+    published (ids are numbers) instead of as they are read.
     """
     m = _keyed_matches(spark, sf_dir, n_teams)
     hs, as_ = F.col("home_score"), F.col("away_score")
@@ -284,11 +292,11 @@ def standings_docs(spark: SparkSession, sf_dir: str, n_teams: int = N_TEAMS,
             F.struct(F.lit("HOME").alias("type"), table(home_row).alias("table")),
             F.struct(F.lit("AWAY").alias("type"), table(away_row).alias("table")),
         ).alias("standings"),
-        F.struct(_iso_z(ingested).alias("ingested_at"), F.lit(SOURCE_NESTED).alias("source"),
-                 F.col("competition_id").alias("competition_id")).alias(PAYLOAD_META),
-        F.to_date(ingested).alias("date"),
+        F.to_date(ingested).alias("date"), "competition_id", ingested.alias("ingested_ts"),
     )
-    cols = [F.col(f.name).cast(f.dataType) for f in STANDINGS_DOC.fields]
+    doc = stamp_metadata(doc, SOURCE_NESTED, F.col("competition_id"), _iso_z(F.col("ingested_ts")))
+    schema = as_sent(STANDINGS_DOC) if sent else STANDINGS_DOC
+    cols = [F.col(f.name).cast(f.dataType) for f in schema.fields]
     if with_date:
         cols.append(F.col("date"))
     return doc.select(*cols)

@@ -68,7 +68,7 @@ from touchline.plans.pipelines import (
 )
 from touchline.schemas import PAYLOAD_META, RAW_MATCH, STANDINGS_DOC
 from touchline.session import ensure_utc, scratch_dir
-from touchline.sources.messages import parse_messages, to_messages
+from touchline.sources.messages import COMPETITION_KEY, parse_messages, to_messages
 from touchline.sources.raw import read_raw, write_raw
 from touchline.sources.tables import ensure_namespaces, list_tables, materialize
 from touchline.streaming.land import land_raw, read_landed, read_topics
@@ -315,9 +315,11 @@ def q_silver_standings(spark, sf):
 
 
 def q_to_messages(spark, sf):
+    """Matches by their id on one topic, standings documents by competition on another."""
     v = _versions(spark, sf)
-    return to_messages(fx.nested_payload(v), "x-matches").unionByName(
-        to_messages(fx.flat_payload(v), "x-matches"))
+    standings = to_messages(fx.standings_docs(spark, sf, sent=True), "x-standings", COMPETITION_KEY)
+    return (to_messages(fx.nested_payload(v), "x-matches")
+            .unionByName(to_messages(fx.flat_payload(v), "x-matches")).unionByName(standings))
 
 
 def q_parse_messages(spark, sf):

@@ -229,6 +229,31 @@ FLAT_JSON = """CAST(to_json(struct_pack(
                              source := 'thesportsdb.com',
                              competition_id := CASE WHEN k % 4 = 0 THEN NULL ELSE competition_id END))) AS VARCHAR)"""
 
+
+
+def _standing(prefix: str, other: str, first: str) -> str:
+    own, against = f"{prefix}_score", f"{other}_score"
+    return f"""struct_pack(position := CASE WHEN {first} THEN 1 ELSE 2 END,
+      team := struct_pack(id := CAST({prefix}_team_id AS BIGINT), name := {prefix}_team_name), playedGames := matchday,
+      won := CAST({own} > {against} AS INTEGER), draw := CAST({own} = {against} AS INTEGER), lost := CAST({own} < {against} AS INTEGER),
+      points := 3 * CAST({own} > {against} AS INTEGER) + CAST({own} = {against} AS INTEGER),
+      goalsFor := {own}, goalsAgainst := {against}, goalDifference := {own} - {against})"""
+
+
+def _standings_json() -> str:
+    home = _standing("home", "away", "home_score >= away_score")
+    away = _standing("away", "home", "away_score > home_score")
+    scored = "home_score IS NOT NULL AND away_score IS NOT NULL"
+
+    def table(kind, *rows):
+        return f"struct_pack(type := '{kind}', \"table\" := CASE WHEN {scored} THEN [{', '.join(rows)}] ELSE [] END)"
+
+    tables = ", ".join([table("TOTAL", home, away), table("HOME", home), table("AWAY", away)])
+    return f"""CAST(to_json(struct_pack(standings := [{tables}],
+    _metadata := struct_pack(ingested_at := strftime(TIMESTAMP '2024-01-15 00:00:00' + to_seconds(k % 86400), '%Y-%m-%dT%H:%M:%SZ'),
+                             source := 'football-data.org', competition_id := competition_id))) AS VARCHAR)"""
+
+
 # ------------------------------------------------------------------ standings documents
 
 SD = """sd AS (
@@ -473,7 +498,9 @@ FROM v"""
 {VERSIONS}
 SELECT 'x-matches' AS topic, CAST(k AS VARCHAR) AS key, {NESTED_JSON} AS value FROM v WHERE source = {NESTED}
 UNION ALL
-SELECT 'x-matches', match_id, {FLAT_JSON} FROM v WHERE source = {FLAT}"""
+SELECT 'x-matches', match_id, {FLAT_JSON} FROM v WHERE source = {FLAT}
+UNION ALL
+SELECT 'x-standings', competition_id, {_standings_json()} FROM m"""
     sql["parse_messages"] = f"WITH {MSG}\nSELECT topic, key, value, timestamp FROM msg WHERE json_valid(value)"
     sql["stream_land_raw"] = LANDED
     sql["stream_restart"] = LANDED

@@ -93,6 +93,20 @@ MESSAGE = _s(
     _f("timestamp", TimestampNTZType()),
 )
 
+
+
+def as_sent(schema: StructType) -> StructType:
+    """The schema of a nested payload as its publisher sends it: ids are numbers.
+    Readers take them as text, so that ids of both sources are alike."""
+    def sent(name, dtype):
+        if isinstance(dtype, StructType):
+            return as_sent(dtype)
+        if isinstance(dtype, ArrayType):
+            return ArrayType(sent("", dtype.elementType), dtype.containsNull)
+        return LongType() if name == "id" else dtype
+    return StructType([StructField(f.name, sent(f.name, f.dataType), f.nullable) for f in schema.fields])
+
+
 # 2. silver / gold
 SILVER_MATCH = _s(
     *[_f(n, StringType()) for n in ("match_id", "competition_id")],

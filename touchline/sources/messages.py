@@ -7,12 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from touchline.schemas import PAYLOAD_META
+
+# Key of a standings document: its competition.
+COMPETITION_KEY = (f"{PAYLOAD_META}.competition_id",)
+
 
 def to_messages(df: DataFrame, topic: str, key_cols: Sequence[str] = ("id", "idEvent"),
                 default_key: str = "unknown") -> DataFrame:
     """``(topic, key, value)``: key is the first non-NULL key column (as text)
-    else ``default_key``; value is the whole row as JSON (NULL fields kept)."""
-    present = [c for c in key_cols if c in df.columns]
+    else ``default_key``; value is the whole row as JSON (NULL fields kept).
+    A key column may be a field of a struct (``COMPETITION_KEY``)."""
+    present = [c for c in key_cols if c.split(".")[0] in df.columns]
     key = F.coalesce(*[F.col(c).cast("string") for c in present], F.lit(default_key))
     return df.select(F.lit(topic).alias("topic"), key.alias("key"),
                      F.to_json(F.struct(*[F.col(c) for c in df.columns]),

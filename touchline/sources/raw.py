@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -28,12 +28,14 @@ def read_raw(spark: SparkSession, path: str, schema: StructType, multi_line: boo
     return df
 
 
-def stamp_metadata(df: DataFrame, source: str, competition_id: str, at: datetime | str) -> DataFrame:
-    """Attach ``{ingested_at, source, competition_id}`` as the payload's metadata."""
-    ts = at.isoformat() if isinstance(at, datetime) else str(at)
-    return df.withColumn(PAYLOAD_META, F.struct(F.lit(ts).alias("ingested_at"),
-                                                F.lit(source).alias("source"),
-                                                F.lit(competition_id).alias("competition_id")))
+def stamp_metadata(df: DataFrame, source: str, competition_id: str | Column, at: datetime | str | Column) -> DataFrame:
+    """Attach ``{ingested_at, source, competition_id}`` as the payload's metadata.
+    Values that differ from row to row are given as columns."""
+    at = at.isoformat() if isinstance(at, datetime) else at
+    def value(x):
+        return (x if isinstance(x, Column) else F.lit(x)).cast("string")
+    return df.withColumn(PAYLOAD_META, F.struct(value(at).alias("ingested_at"), F.lit(source).alias("source"),
+                                                value(competition_id).alias("competition_id")))
 
 
 def is_empty(df: DataFrame) -> bool:
