@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
@@ -22,20 +23,40 @@ def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") ->
     return spark.table(name_or_path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, asked of the Hadoop file system (no
-    failing read, so no failed query reaches the session's listeners)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception:  # pragma: no cover - Spark Connect: fall back to a read
-        try:
-            spark.read.format("binaryFile").load(path).limit(0).collect()
-            return True
-        except Exception:
+    failing read, so no failed query reaches the session's listeners).  A path
+    that cannot be read for another reason is an error, not a missing one."""
+    if hasattr(spark, "_jsparkSession"):
+        fs, p = _file_system(spark, path)
+        return bool(fs.exists(p))
+    try:  # pragma: no cover - Spark Connect: no JVM here
+        spark.read.format("binaryFile").load(path).limit(0).collect()
+        return True
+    except AnalysisException as error:  # pragma: no cover
+        if error.getCondition() == "PATH_NOT_FOUND":
             return False
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(conf).exists(p))
+        raise
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``, sorted; none when it does not exist."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a table that newer files of the same table replace."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
 
 
 def ensure_namespaces(spark: SparkSession, names: Sequence[str], location_root: str | None = None) -> None:
