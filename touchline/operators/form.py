@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.expressions import form_points, form_result
-from touchline.operators.windows import bounded_window_frame, range_rows
+from touchline.operators.windows import RangedRows, bounded_window_frame, range_rows
 
 PERSPECTIVE_COLUMNS = (
     "match_id", "competition_id", "utc_date", "team_id", "team_name",
@@ -51,16 +51,16 @@ def add_result_points(df: DataFrame) -> DataFrame:
               .withColumn("points", form_points("goals_scored", "goals_conceded")))
 
 
-def add_form_windows(df: DataFrame, entity: str = "team_id",
+def add_form_windows(ranged: RangedRows, entity: str = "team_id",
                      order: Sequence[str] = ("utc_date", "match_id"), n: int = 5,
-                     strict: bool = False, extra_partition: Sequence[str] = ()) -> DataFrame:
+                     strict: bool = False, extra_partition: Sequence[str] = (), keep_buckets: bool = False) -> DataFrame:
     """Rolling goals averages and points over the current and ``n-1`` previous
     rows, and the trend against the sum ``n`` rows earlier.
 
     Trend: no earlier sum -> improving; ``>=`` (``strict=False``) or ``>``
     (``strict=True``) -> improving; else declining.  Order ties are broken by
     ``match_id`` so results are deterministic.  All windows share one
-    partitioning and one sort.  ``df`` comes from ``range_rows`` over the same
+    partitioning and one sort.  ``ranged`` comes from ``range_rows`` over the same
     partition and order, so a hot team never lands in a single task.
     """
     gs, gc = f"goals_scored_rolling_avg_{n}", f"goals_conceded_rolling_avg_{n}"
@@ -81,8 +81,8 @@ def add_form_windows(df: DataFrame, entity: str = "team_id",
                  .otherwise(F.lit("declining")).alias("form_trend")]
 
     return bounded_window_frame(
-        df, partition=[entity, *extra_partition], order=list(order),
-        preceding=n - 1, stages=[frame_fn, trend_fn], lookback=2 * n - 1)
+        ranged, partition=[entity, *extra_partition], order=list(order),
+        preceding=n - 1, stages=[frame_fn, trend_fn], lookback=2 * n - 1, keep_buckets=keep_buckets)
 
 
 def valid_rows(matches: DataFrame, valid_only: bool) -> DataFrame:
@@ -99,16 +99,17 @@ def form_rows(matches: DataFrame, keep_unscored: bool = False, valid_only: bool
 
 
 def ranged_form_rows(matches: DataFrame, keep_unscored: bool = True, valid_only: bool = False,
-                     extra_partition: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
-    """Form rows cut into even ranges of (team, time) and written once.  With
-    unscored matches kept they serve every variant of ``build_team_form``."""
+                     extra_partition: Sequence[str] = (), buckets: int | None = None) -> RangedRows:
+    """Form rows cut into even ranges of (team, time).  With unscored matches
+    kept they serve every variant of ``build_team_form``."""
     return range_rows(form_rows(matches, keep_unscored, valid_only),
                       ["team_id", *extra_partition], ["utc_date", "match_id"], buckets)
 
 
 def build_team_form(matches: DataFrame, strict: bool = False, keep_unscored: bool = False,
                     n: int = 5, extra_partition: Sequence[str] = (), valid_only: bool = False,
-                    buckets: int | None = None, ranged: DataFrame | None = None) -> DataFrame:
+                    buckets: int | None = None, ranged: RangedRows | None = None,
+                    keep_buckets: bool = False) -> DataFrame:
     """Finished matches -> perspectives -> result/points -> windows (16 columns).
 
     ``strict``/``keep_unscored`` select the variant: the DataFrame builder is
@@ -116,11 +117,11 @@ def build_team_form(matches: DataFrame, strict: bool = False, keep_unscored: boo
     keep_unscored=False``.  ``valid_only`` skips rows flagged ``incomplete``
     (the reference computes the flag and never uses it, so it is off by
     default); ``extra_partition`` (e.g. competition) stops windows crossing it.
-    ``ranged`` reuses a ``ranged_form_rows`` table of the same matches and
-    options; without it one is written here, in ``buckets`` parts.
+    ``ranged`` reuses the ranges of ``ranged_form_rows`` over the same matches and
+    options; without it the keys are sampled here, for ``buckets`` parts.
     """
     if ranged is None:
         ranged = ranged_form_rows(matches, keep_unscored, valid_only, extra_partition, buckets)
     if not keep_unscored:
-        ranged = ranged.filter(F.col("goals_scored").isNotNull())
-    return add_form_windows(ranged, n=n, strict=strict, extra_partition=extra_partition)
+        ranged = ranged.where(F.col("goals_scored").isNotNull())
+    return add_form_windows(ranged, n=n, strict=strict, extra_partition=extra_partition, keep_buckets=keep_buckets)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.operators.dedup import keep_latest
-from touchline.operators.rivalry import _name_match, pair_condition
+from touchline.operators.rivalry import name_match, pair_condition
 from touchline.operators.standings import _rank_key
 
 FORM_REPORT_COLUMNS = ("team_name", "utc_date", "venue", "goals_scored", "goals_conceded",
@@ -33,7 +33,7 @@ def recent_form(form: DataFrame, team=None, exact: bool = False, n: int = 20) ->
     keeps its own top ``n`` and only those move."""
     r = _form_report(form)
     if team is not None:
-        r = r.filter(_name_match(F.col("team_name"), team, exact))
+        r = r.filter(name_match(F.col("team_name"), team, exact))
     return r.orderBy(*_newest()).limit(n).select(*FORM_REPORT_COLUMNS)
 
 

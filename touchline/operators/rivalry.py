@@ -21,7 +21,8 @@ def head_to_head(results: DataFrame) -> DataFrame:
         F.round(F.avg(F.col("home_score") + F.col("away_score")), 2).alias("avg_total_goals")))
 
 
-def _name_match(col: Column, name, exact: bool) -> Column:
+def name_match(col: Column, name, exact: bool) -> Column:
+    """Literal case-insensitive substring match, or equality when ``exact``."""
     if isinstance(name, Column):
         if exact:
             return col == name
@@ -36,8 +37,8 @@ def pair_condition(a, b, exact: bool = False, home="home_team_name", away="away_
     """(home ~ a and away ~ b) or (home ~ b and away ~ a); ``~`` is a literal
     case-insensitive substring match, or equality when ``exact``."""
     h, w = F.col(home), F.col(away)
-    return ((_name_match(h, a, exact) & _name_match(w, b, exact))
-            | (_name_match(h, b, exact) & _name_match(w, a, exact)))
+    return ((name_match(h, a, exact) & name_match(w, b, exact))
+            | (name_match(h, b, exact) & name_match(w, a, exact)))
 
 
 def pair_matches(results: DataFrame, a, b, exact: bool = False) -> DataFrame:

@@ -8,84 +8,150 @@ first group just before it (the *halo*).
 
 There is one path at every size:
 
-1. ``range_rows`` range-partitions all rows on (group, order columns, a row id
-   that separates exact copies), so every bucket holds about the same number
-   of rows whatever the sizes of the groups and however their rows lie in
-   time.  The bucket is the range partition id.  The rows are written once to
-   the shared checkpoint folder, so that body and halo see the same buckets
-   even after a recomputation.  This step runs a job; the rest is lazy.
-2. ``bounded_window_frame`` runs the windows per (group, bucket) over those
-   rows and the halo, then drops the halo.
-
-A bucket's halo lies at the ends of the buckets before it, so the last
-``lookback`` rows of each bucket (a partial ``WindowGroupLimit`` cuts them
-before the shuffle) and the first row of each bucket, which names the group
-that goes on, are enough: at most ``(lookback + 1) * buckets`` rows, however
-many groups there are.
+1. ``range_rows`` takes a random sample of the keys (group, order columns) and
+   cuts it into even parts: the bounds, one key per bucket, are the only thing
+   that is kept.  A row's bucket is an expression, the number of bounds at or
+   below its key (a binary search), so every use of the rows sees the same
+   buckets, also after a recomputation, and nothing is written.  A group that
+   holds a third of all rows, or has them at one instant, is cut like any
+   other; only rows equal in the whole key stay together.
+2. ``bounded_window_frame`` runs the windows per (bucket, group) over the rows
+   and the halo, then drops the halo: one exchange of all rows.
+
+A bucket's lower bound names the group that goes on in it.  Its halo lies at
+the ends of the buckets before it, so the last ``lookback`` rows of each bucket
+are enough (a partial ``WindowGroupLimit`` cuts them before they move): at most
+``lookback`` rows a bucket, however many groups there are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
-
-from touchline.session import write_scratch
+from pyspark.sql.types import StructType
 
 StageFn = Callable[[WindowSpec, WindowSpec], list[Column]]
 
-BUCKET, ROW_ID = "__bucket", "__rowid"
+BUCKET, TIE = "__bucket", "__tie"
 _HALO = "__halo"
+#: Sampled keys for each bucket; seed of the sample.
+SAMPLE_PER_BUCKET, SEED = 64, 7
+
+
+@dataclass
+class RangedRows:
+    """Rows with the column ``BUCKET``, and the lowest key of every bucket but the first."""
+
+    rows: DataFrame
+    keys: tuple[str, ...]
+    bounds: list[Row]
+
+    def where(self, condition: Column) -> RangedRows:
+        return RangedRows(self.rows.filter(condition), self.keys, self.bounds)
+
+    def bounds_table(self) -> DataFrame:
+        """``BUCKET`` and key of every bound: one row per bucket."""
+        schema = StructType([self.rows.schema[c] for c in (BUCKET, *self.keys)])
+        return self.rows.sparkSession.createDataFrame([(i + 1, *b) for i, b in enumerate(self.bounds)], schema)
+
+
+def sample_bounds(df: DataFrame, keys: Sequence[str], buckets: int) -> list[Row]:
+    """Keys that cut ``df`` into ``buckets`` parts of about the same number of rows:
+    every SAMPLE_PER_BUCKET-th of a sorted random sample.  The driver gets one
+    key per bucket."""
+    sample = df.select(*keys).orderBy(F.rand(SEED)).limit(SAMPLE_PER_BUCKET * buckets)
+    order = [F.col(c).asc_nulls_first() for c in keys]
+    ranked = sample.select(*keys, F.row_number().over(Window.orderBy(*order)).alias("__n"),
+                           F.count(F.lit(1)).over(Window.partitionBy()).alias("__of"))
+    part = F.floor((F.col("__n") - 1) * buckets / F.col("__of"))
+    firsts = ranked.withColumn("__part", part).groupBy("__part").agg(F.min("__n").alias("__n")).filter("__part > 0")
+    found = ranked.join(F.broadcast(firsts.select("__n")), "__n").select(*keys).distinct()  # one row per bucket
+    return found.orderBy(*order).collect()
+
+
+def bucket_of(df: DataFrame, keys: Sequence[str], bounds: Sequence[Row]) -> Column:
+    """How many of the sorted ``bounds`` are at or below a row's key (NULLs first)."""
+    if not bounds:
+        return F.lit(0)
+    def key(values):
+        return F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(keys, values, strict=True)])
+    held, own = F.array(*[key(b) for b in bounds]), F.struct(*[F.col(c).alias(c) for c in keys])
+
+    def halve(span: Column, _: Column) -> Column:
+        """One step of the search: bounds below ``lo`` are at or below the key, from ``hi`` on above it."""
+        middle = F.floor((span["lo"] + span["hi"]) / 2).cast("int")
+        below = F.get(held, middle) <= own
+        ended = span["lo"] >= span["hi"]
+        return F.struct(F.when(~ended & below, middle + 1).otherwise(span["lo"]).alias("lo"),
+                        F.when(ended | below, span["hi"]).otherwise(middle).alias("hi"))
+
+    steps = F.array(*[F.lit(i) for i in range(len(bounds).bit_length())])
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+    return F.aggregate(steps, start, halve)["lo"]
 
 
 def range_rows(df: DataFrame, partition: Sequence[str], order: Sequence[str],
-               buckets: int | None = None) -> DataFrame:
-    """``df`` cut into ``buckets`` even consecutive ranges of (partition, order),
-    written once, with the columns ``BUCKET`` and ``ROW_ID``.  ``buckets`` is
-    ``spark.sql.shuffle.partitions`` unless given; size it by the data (about
-    200 MB a bucket)."""
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*(F.col(c).asc_nulls_first() for c in [*partition, *order]), F.col(ROW_ID).asc()]
-    return write_scratch(df.withColumn(ROW_ID, F.monotonically_increasing_id())
-                         .repartitionByRange(n, *keys)
-                         .withColumn(BUCKET, F.spark_partition_id()), "ranged-rows")
-
-
-def _halo(ranged: DataFrame, partition: Sequence[str], order: Sequence[str], lookback: int) -> DataFrame:
-    """For the first group of every bucket, its ``lookback`` rows before the bucket."""
-    keys = [*partition, *order, ROW_ID]
-    in_bucket = Window.partitionBy(BUCKET)
-    backwards = in_bucket.orderBy(*(F.col(c).desc_nulls_last() for c in keys))
-    forwards = in_bucket.orderBy(*(F.col(c).asc_nulls_first() for c in keys))
-    tails = (ranged.withColumn("__n", F.row_number().over(backwards)).filter(F.col("__n") <= lookback)
-             .select(BUCKET, *keys, F.struct(*[c for c in ranged.columns if c != BUCKET]).alias("__row")))
-    heads = (ranged.select(BUCKET, *keys).withColumn("__n", F.row_number().over(forwards))
-             .filter(F.col("__n") == 1).drop("__n"))
-    # Between two heads of a group lies at least one of its tails, so twice
-    # `lookback` edge rows hold the `lookback` tails before a head.
-    edges = tails.unionByName(heads, allowMissingColumns=True)
-    before = (Window.partitionBy(*partition).orderBy(*(F.col(c).asc_nulls_first() for c in [*order, ROW_ID]),
-                                                     F.col("__row").isNotNull())
-              .rowsBetween(-2 * lookback, -1))
-    return (edges.withColumn("__before", F.collect_list("__row").over(before))
-            .filter(F.col("__row").isNull())
-            .select(BUCKET, F.explode(F.slice(F.reverse("__before"), 1, lookback)).alias("__r"))
-            .select("__r.*", BUCKET))
-
-
-def bounded_window_frame(ranged: DataFrame, partition: Sequence[str], order: Sequence[str],
-                         preceding: int, stages: Sequence[StageFn], lookback: int) -> DataFrame:
+               buckets: int | None = None, bounds: Sequence[Row] | None = None) -> RangedRows:
+    """``df`` cut into ``buckets`` even consecutive ranges of (partition, order), or
+    into those of given ``bounds``.  ``buckets`` is ``spark.sql.shuffle.partitions``
+    unless given; size it by the data (about 200 MB a bucket)."""
+    keys = (*partition, *order)
+    if bounds is None:
+        bounds = sample_bounds(df, keys, buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return RangedRows(df.withColumn(BUCKET, bucket_of(df, keys, bounds)), keys, list(bounds))
+
+
+def _with_tie(df: DataFrame) -> DataFrame:
+    """Rows equal in the key are ordered by their other columns."""
+    return df.withColumn(TIE, F.xxhash64(*[F.col(c) for c in df.columns]))
+
+
+def halo_rows(ranged: RangedRows, partition: Sequence[str], lookback: int) -> DataFrame:
+    """For the group that goes on in each bucket, its ``lookback`` rows before the bucket."""
+    rows = _with_tie(ranged.rows)
+    backwards = Window.partitionBy(BUCKET).orderBy(*[F.col(c).desc_nulls_last() for c in (*ranged.keys, TIE)])
+    tails = (rows.withColumn("__n", F.row_number().over(backwards)).filter(F.col("__n") <= lookback)
+             .select(*ranged.keys, TIE, F.struct(*ranged.rows.columns).alias("__row")))
+    heads = ranged.bounds_table().select(F.col(BUCKET).alias("__to"), *ranged.keys)
+    # a head stands before the rows of its own key, which are in its bucket
+    before = (Window.partitionBy(*partition).orderBy(*[F.col(c).asc_nulls_first() for c in (*ranged.keys, TIE)])
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    edges = (tails.unionByName(heads, allowMissingColumns=True)
+             .withColumn("__seen", F.count("__row").over(before).cast("int")))
+    # a group's edges, at most (lookback + 1) for each bucket, in one row: read once, not joined
+    groups = edges.groupBy(*partition).agg(
+        F.array_sort(F.collect_list(F.when(F.col("__row").isNotNull(), F.struct("__seen", "__row")))).alias("tails"),
+        F.collect_list(F.when(F.col("__to").isNotNull(), F.struct("__seen", "__to"))).alias("heads"))
+
+    def last_tails(head: Column) -> Column:
+        first = F.greatest(F.lit(1), head["__seen"] - lookback + 1)
+        rows = F.slice("tails", first, F.least(F.lit(lookback), head["__seen"]))
+        return F.transform(rows, lambda tail: F.struct(tail["__row"].alias("__row"), head["__to"].alias("__to")))
+
+    return (groups.select(F.explode(F.flatten(F.transform("heads", last_tails))).alias("__r"))
+            .select("__r.__row.*", F.col("__r.__to").alias("__to")).withColumn(BUCKET, F.col("__to")).drop("__to"))
+
+
+def bounded_window_frame(ranged: RangedRows, partition: Sequence[str], order: Sequence[str],
+                         preceding: int, stages: Sequence[StageFn], lookback: int, keep_buckets: bool = False) -> DataFrame:
     """Apply window ``stages`` over ``partition`` ordered by ``order`` (ascending,
     NULLs first), where no stage looks back more than ``lookback`` rows.
-    ``ranged`` is a result of ``range_rows`` over the same columns, or a part
-    of one chosen by a filter."""
-    body = ranged.withColumn(_HALO, F.lit(False))
-    halo = _halo(ranged, partition, order, lookback).withColumn(_HALO, F.lit(True))
-    out = body.unionByName(halo)
-    w_order = (Window.partitionBy(*partition, BUCKET)
-               .orderBy(*(F.col(c).asc_nulls_first() for c in order), F.col(ROW_ID).asc()))
+    ``ranged`` is a result of ``range_rows`` over the same columns, or a part of
+    one.  ``keep_buckets`` leaves ``BUCKET`` in the result, whose partitions then
+    hold whole buckets, each sorted by key."""
+    out = ranged.rows.withColumn(_HALO, F.lit(False))
+    if ranged.bounds:
+        out = out.unionByName(halo_rows(ranged, partition, lookback).withColumn(_HALO, F.lit(True)))
+    out = _with_tie(out)
+    if keep_buckets:
+        out = out.repartition(F.col(BUCKET))
+    w_order = (Window.partitionBy(BUCKET, *partition)
+               .orderBy(*(F.col(c).asc_nulls_first() for c in order), F.col(TIE).asc()))
     w_rows = w_order.rowsBetween(-preceding, Window.currentRow)
     for stage in stages:
         out = out.select("*", *stage(w_rows, w_order))
-    return out.filter(~F.col(_HALO)).drop(BUCKET, ROW_ID, _HALO)
+    out = out.filter(~F.col(_HALO)).drop(TIE, _HALO)
+    return out if keep_buckets else out.drop(BUCKET)
