@@ -9,7 +9,7 @@ order key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -18,6 +18,7 @@ from touchline.schemas import (
     NESTED_MATCH,
     PAYLOAD_META,
     RAW_MATCH,
+    SNAPSHOT_LEDGER,
     SOURCE_FLAT,
     SOURCE_NESTED,
     STANDINGS_DOC,
@@ -86,6 +87,20 @@ def matches(spark: SparkSession, sf_dir: str, n_teams: int = N_TEAMS) -> DataFra
     return _keyed_matches(spark, sf_dir, n_teams).drop("k")
 
 
+def matches_before(spark: SparkSession, sf_dir: str, n_teams: int = N_TEAMS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """An earlier state of ``matches``, the rows of it that are gone since, and the
+    rows that are new: late arrivals (k % 50 = 0), corrected scores (1), corrected
+    kick-off times (2), and copies under another id that were deleted (3)."""
+    m = _keyed_matches(spark, sf_dir, n_teams)
+    case = F.col("k") % 50
+    old = (m.withColumn("match_id", F.when(case == 3, F.concat("match_id", F.lit("x"))).otherwise(F.col("match_id")))
+            .withColumn("home_score", F.when(case == 1, F.col("home_score") + 1).otherwise(F.col("home_score")).cast("int"))
+            .withColumn("utc_date", F.when(case == 2, F.timestamp_add("DAY", F.lit(3), F.col("utc_date"))).otherwise(F.col("utc_date"))))
+    removed = old.filter(case.isin(1, 2, 3)).drop("k")
+    added = m.filter(case.isin(0, 1, 2)).drop("k")
+    return m.filter(~case.isin(0, 1, 2)).drop("k").unionByName(removed), removed, added
+
+
 def dirty_matches(spark: SparkSession, sf_dir: str, n_teams: int = N_TEAMS) -> DataFrame:
     """Matches with injected violations for the data-quality checks.
 
@@ -302,6 +317,40 @@ def standings_docs(spark: SparkSession, sf_dir: str, n_teams: int = N_TEAMS,
     return doc.select(*cols)
 
 
+# ---------------------------------------------------------------- snapshots
+
+def write_yearly_snapshots(df: DataFrame, path: str, table_name: str, ts_col: str) -> None:
+    """One cumulative snapshot per calendar year of ``ts_col`` (rows up to the
+    end of that year), committed at the start of the next year.
+
+    All snapshots are written by one job: each row is fanned out to every
+    snapshot year at or after its own.  The list of years is collected (it is
+    bounded by the calendar); rows with a NULL time are in no snapshot.
+    """
+    spark = df.sparkSession
+    year = F.year(F.col(ts_col))
+    years = [r[0] for r in df.select(year.alias("y")).filter("y IS NOT NULL").distinct()
+             .orderBy("y").collect()]
+    fan = F.explode(F.filter(F.array(*[F.lit(y).cast("bigint") for y in years]), lambda y: y >= year))
+    (df.withColumn("snapshot_id", fan)
+       .write.mode("overwrite").partitionBy("snapshot_id").parquet(f"{path}/data"))
+    counts = df.groupBy(year.alias("y")).agg(F.count(F.lit(1)).alias("n")).filter("y IS NOT NULL")
+    w = Window.orderBy("y").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ledger = (counts.select("y", F.sum("n").over(w).alias("total"),
+                            F.row_number().over(Window.orderBy("y")).alias("seq"))
+              .select(F.lit(table_name).alias("table_name"), F.col("y").cast("bigint").alias("snapshot_id"),
+                      F.make_timestamp_ntz(F.col("y") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0),
+                                           F.lit(0)).alias("committed_at"),
+                      F.when(F.col("seq") == 1, F.lit("append")).otherwise(F.lit("overwrite"))
+                      .alias("operation"),
+                      F.create_map(F.lit("added-records"), F.col("total").cast("string"),
+                                   F.lit("total-records"), F.col("total").cast("string"),
+                                   F.lit("schema"), F.lit(df.schema.json()))
+                      .alias("summary")))
+    ledger.select(*[F.col(f.name).cast(f.dataType) for f in SNAPSHOT_LEDGER.fields]) \
+        .write.mode("overwrite").parquet(f"{path}/ledger")
+
+
 # ---------------------------------------------------------------- message feed
 
 # Event type -> topic of the message feed.

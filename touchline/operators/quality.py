@@ -1,7 +1,7 @@
 """Data-quality flag and checks.
 
-Every check counts violating rows (0 = pass).  All row-level checks of one
-table run as a single aggregation pass; ``unique`` is one grouped count.
+Every check counts violating rows (0 = pass).  All checks of one table run in
+one scan with one shuffle of the keys of its ``unique`` rules.
 """
 
 from __future__ import annotations
@@ -65,26 +65,36 @@ def _count(cond: Column) -> Column:
 
 
 def run_checks(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
-    """One row per check: ``model, column_name, check, violations, passed``."""
-    parts = []
-    row_checks = [c for c in checks if c.kind != "unique"]
-    if row_checks:
-        agg = df.agg(*[_count(c.violation).alias(f"v{i}") for i, c in enumerate(row_checks)])
-        stacked = F.inline(F.array(*[
-            F.struct(F.lit(c.column).alias("column_name"), F.lit(c.kind).alias("check"),
-                     F.col(f"v{i}").alias("violations")) for i, c in enumerate(row_checks)]))
-        parts.append(agg.select(stacked))
-    for c in checks:
-        if c.kind != "unique":
-            continue
-        dup = (df.filter(all_not_null(c.key)).groupBy(*c.key).count()
-                 .filter(F.col("count") > 1)
-                 .agg(F.count(F.lit(1)).cast("bigint").alias("violations")))
-        parts.append(dup.select(F.lit(c.column).alias("column_name"), F.lit(c.kind).alias("check"),
-                                "violations"))
-    out = reduce(DataFrame.unionByName, parts)
-    return out.select(F.lit(model).alias("model"), "column_name", "check", "violations",
-                      (F.col("violations") == 0).alias("passed"))
+    """One row per check: ``model, column_name, check, violations, passed``.
+
+    A row gives its key for every ``unique`` rule, and its violations of the row
+    rules under no key, which a task adds up before anything moves.  Counted by
+    (rule, key) once, a key that occurs more than once violates its rule."""
+    row_checks = [(i, c) for i, c in enumerate(checks) if c.kind != "unique"]
+    keys = [(i, c) for i, c in enumerate(checks) if c.kind == "unique"]
+    bad = [F.when(c.violation, 1).otherwise(0).cast("bigint").alias(f"v{i}") for i, c in row_checks]
+    if not keys:
+        totals = df.agg(*[_count(c.violation).alias(f"v{i}") for i, c in row_checks])
+    else:
+        none = [F.lit(0).cast("bigint").alias(f"v{i}") for i, _ in row_checks]
+        entries = [F.struct(F.lit(i).alias("rule"), F.when(all_not_null(c.key), F.to_json(F.struct(*c.key))).alias("key"), *none)
+                   for i, c in keys]
+        if row_checks:
+            entries.append(F.struct(F.lit(-1).alias("rule"), F.lit("").alias("key"), *bad))
+        rows = df.select(F.inline(F.array(*entries))).filter(F.col("key").isNotNull())
+        sums = [F.sum(f"v{i}").alias(f"v{i}") for i, _ in row_checks]
+        counted = rows.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("n"), *sums)
+        totals = counted.agg(*[_sum0(f"v{i}").alias(f"v{i}") for i, _ in row_checks],
+                             *[_count((F.col("rule") == i) & (F.col("n") > 1)).alias(f"v{i}") for i, _ in keys])
+    stacked = F.inline(F.array(*[
+        F.struct(F.lit(c.column).alias("column_name"), F.lit(c.kind).alias("check"), F.col(f"v{i}").alias("violations"))
+        for i, c in enumerate(checks)]))
+    return totals.select(stacked).select(F.lit(model).alias("model"), "column_name", "check", "violations",
+                                         (F.col("violations") == 0).alias("passed"))
+
+
+def _sum0(column: str) -> Column:
+    return F.coalesce(F.sum(column), F.lit(0)).cast("bigint")
 
 
 def violations(df: DataFrame, checks: Sequence[Check], columns: Sequence[str]) -> DataFrame:

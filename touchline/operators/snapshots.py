@@ -4,7 +4,9 @@ A table lives at ``<path>/data/snapshot_id=<n>/`` (one full refresh per
 snapshot) with a ledger at ``<path>/ledger`` holding ``table_name,
 snapshot_id, committed_at, operation, summary``.  Data is written first and
 the ledger row second; readers only trust snapshots in the ledger, so a write
-that died half way is invisible.  Reads of one snapshot prune partitions.
+that died half way is invisible.  The ledger also has each snapshot's schema
+and row count: a read opens the folder of its snapshot and nothing else, and
+counts are not taken from the data.
 
 With an Iceberg catalog on the classpath the same calls map to
 ``df.writeTo(table).createOrReplace()`` (write), ``<table>.snapshots`` (ledger)
@@ -14,15 +16,20 @@ available here, so the Parquet layout is the one implemented and tested.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from touchline.schemas import SNAPSHOT_LEDGER
 from touchline.sources.tables import path_exists
 
 SID = "snapshot_id"
+# Entries of a snapshot's summary.
+ADDED, TOTAL, SCHEMA = "added-records", "total-records", "schema"
 
 
 def _data(path: str) -> str:
@@ -33,105 +40,92 @@ def _ledger(path: str) -> str:
     return f"{path.rstrip('/')}/ledger"
 
 
+def _folder(path: str, snapshot_id: int) -> str:
+    return f"{_data(path)}/{SID}={snapshot_id}"
+
+
 def write_snapshot(df: DataFrame, path: str, table_name: str, snapshot_id: int,
-                   committed_at: datetime, operation: str | None = None) -> int:
+                   committed_at: datetime, operation: str | None = None, notes: Mapping[str, str] | None = None) -> int:
     """Full refresh as snapshot ``snapshot_id``; returns the row count (taken
     by an Observation during the write, no second job).  A snapshot that the
-    ledger already holds is left as it is, so a rerun changes nothing."""
-    spark = df.sparkSession
-    if path_exists(spark, _ledger(path)):
-        done = read_ledger(spark, path).filter(F.col(SID) == int(snapshot_id)).first()
-        if done is not None:
-            return int(done["summary"]["total-records"])
-    obs = Observation(f"snap_{snapshot_id}")
-    (df.observe(obs, F.count(F.lit(1)).alias("n"))
-       .write.mode("overwrite").parquet(f"{_data(path)}/{SID}={snapshot_id}"))
-    n = int(obs.get["n"])
-    first = not path_exists(spark, _ledger(path)) or read_ledger(spark, path).isEmpty()
-    op = operation or ("append" if first else "overwrite")
-    row = (table_name, int(snapshot_id), committed_at, op,
-           {"added-records": str(n), "total-records": str(n)})
-    spark.createDataFrame([row], SNAPSHOT_LEDGER).write.mode("append").parquet(_ledger(path))
+    ledger already holds is left as it is, so a rerun changes nothing.
+    ``notes`` go into the ledger's summary."""
+    done = snapshot_row(df.sparkSession, path, snapshot_id)
+    if done is not None:
+        return int(done["summary"][TOTAL])
+    n = stage_snapshot(df, path, snapshot_id)
+    commit_snapshot(df.sparkSession, path, table_name, snapshot_id, committed_at, n, df.schema, operation, notes)
     return n
 
 
-def write_yearly_snapshots(df: DataFrame, path: str, table_name: str, ts_col: str) -> None:
-    """One cumulative snapshot per calendar year of ``ts_col`` (rows up to the
-    end of that year), committed at the start of the next year.
-
-    All snapshots are written by one job: each row is fanned out to every
-    snapshot year at or after its own.  The list of years is collected (it is
-    bounded by the calendar); rows with a NULL time are in no snapshot.
-    """
-    spark = df.sparkSession
-    year = F.year(F.col(ts_col))
-    years = [r[0] for r in df.select(year.alias("y")).filter("y IS NOT NULL").distinct()
-             .orderBy("y").collect()]
-    fan = F.explode(F.filter(F.array(*[F.lit(y).cast("bigint") for y in years]), lambda y: y >= year))
-    (df.withColumn(SID, fan)
-       .write.mode("overwrite").partitionBy(SID).parquet(_data(path)))
-    counts = df.groupBy(year.alias("y")).agg(F.count(F.lit(1)).alias("n")).filter("y IS NOT NULL")
-    w = Window.orderBy("y").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ledger = (counts.select("y", F.sum("n").over(w).alias("total"),
-                            F.row_number().over(Window.orderBy("y")).alias("seq"))
-              .select(F.lit(table_name).alias("table_name"), F.col("y").cast("bigint").alias(SID),
-                      F.make_timestamp_ntz(F.col("y") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0),
-                                           F.lit(0)).alias("committed_at"),
-                      F.when(F.col("seq") == 1, F.lit("append")).otherwise(F.lit("overwrite"))
-                      .alias("operation"),
-                      F.create_map(F.lit("added-records"), F.col("total").cast("string"),
-                                   F.lit("total-records"), F.col("total").cast("string"))
-                      .alias("summary")))
-    ledger.select(*[F.col(f.name).cast(f.dataType) for f in SNAPSHOT_LEDGER.fields]) \
-        .write.mode("overwrite").parquet(_ledger(path))
+def stage_snapshot(df: DataFrame, path: str, snapshot_id: int) -> int:
+    """Write a snapshot's data, which no reader sees yet; returns its row count."""
+    obs = Observation(f"snap_{snapshot_id}")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(_folder(path, snapshot_id))
+    return int(obs.get["n"])
+
+
+def read_staged(spark: SparkSession, path: str, snapshot_id: int, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(_folder(path, snapshot_id))
+
+
+def commit_snapshot(spark: SparkSession, path: str, table_name: str, snapshot_id: int, committed_at: datetime, n: int,
+                    schema: StructType, operation: str | None = None, notes: Mapping[str, str] | None = None) -> None:
+    """The ledger row that makes a staged snapshot the newest of its table."""
+    first = not path_exists(spark, _ledger(path)) or read_ledger(spark, path).isEmpty()
+    summary = {ADDED: str(n), TOTAL: str(n), SCHEMA: schema.json(), **(notes or {})}
+    row = (table_name, int(snapshot_id), committed_at, operation or ("append" if first else "overwrite"), summary)
+    spark.createDataFrame([row], SNAPSHOT_LEDGER).coalesce(1).write.mode("append").parquet(_ledger(path))
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SNAPSHOT_LEDGER).parquet(_ledger(path))
 
 
-def read_data(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.parquet(_data(path))
-    return df.withColumn(SID, F.col(SID).cast("bigint"))
+def snapshot_row(spark: SparkSession, path: str, snapshot_id: int | None = None, at=None) -> Row | None:
+    """The ledger row of a snapshot, of the newest one committed at or before an
+    instant, or of the newest of all; None when there is none."""
+    if not path_exists(spark, _ledger(path)):
+        return None
+    rows = read_ledger(spark, path)
+    if snapshot_id is not None:
+        rows = rows.filter(F.col(SID) == int(snapshot_id))
+    if at is not None:
+        rows = rows.filter(F.col("committed_at") <= F.lit(at).cast("timestamp_ntz"))
+    return rows.orderBy(F.col("committed_at").desc(), F.col(SID).desc()).first()
+
+
+def _read(spark: SparkSession, path: str, row: Row | None) -> DataFrame:
+    """The data of one snapshot; without one, an empty table of the newest schema."""
+    of = row or snapshot_row(spark, path)
+    schema = StructType.fromJson(json.loads(of["summary"][SCHEMA]))
+    return read_staged(spark, path, row[SID], schema) if row else spark.createDataFrame([], schema)
 
 
 def snapshot_history(spark: SparkSession, path: str) -> DataFrame:
     """Snapshots newest first with added/total record counts."""
     return (read_ledger(spark, path)
             .select(SID, "committed_at", "operation",
-                    F.col("summary")["added-records"].alias("added_records"),
-                    F.col("summary")["total-records"].alias("total_records"))
+                    F.col("summary")[ADDED].alias("added_records"),
+                    F.col("summary")[TOTAL].alias("total_records"))
             .orderBy(F.col("committed_at").desc_nulls_last(), F.col(SID).desc()))
 
 
 def read_at(spark: SparkSession, path: str, snapshot_id) -> DataFrame:
     """The table as of snapshot ``snapshot_id`` (only if the ledger has it)."""
-    sid = F.lit(snapshot_id).cast("bigint")
-    known = read_ledger(spark, path).filter(F.col(SID) == sid).select(SID)
-    data = read_data(spark, path).filter(F.col(SID) == sid)
-    return data.join(known, on=SID, how="left_semi").drop(SID)
+    return _read(spark, path, snapshot_row(spark, path, snapshot_id))
 
 
 def read_as_of(spark: SparkSession, path: str, ts) -> DataFrame:
-    """The table as of an instant: the newest snapshot committed at or before it.
-
-    The snapshot id is a scalar subquery over the ledger, so the data scan is
-    pruned to that one partition."""
-    chosen = (read_ledger(spark, path)
-              .filter(F.col("committed_at") <= F.lit(ts).cast("timestamp_ntz"))
-              .agg(F.max_by(SID, F.struct("committed_at", SID)).alias(SID)))
-    return read_data(spark, path).filter(F.col(SID) == chosen.scalar()).drop(SID)
+    """The table as of an instant: the newest snapshot committed at or before it."""
+    return _read(spark, path, snapshot_row(spark, path, at=ts))
 
 
 def compare_latest(spark: SparkSession, path: str) -> DataFrame:
-    """Row counts of the two newest snapshots and their difference (one row)."""
-    top2 = (read_ledger(spark, path)
-            .withColumn("rk", F.row_number().over(
-                Window.orderBy(F.col("committed_at").desc(), F.col(SID).desc())))
-            .filter("rk <= 2").select(SID, "committed_at", "rk"))
-    counts = (read_data(spark, path).join(F.broadcast(top2.select(SID)), on=SID, how="left_semi")
-              .groupBy(SID).agg(F.count(F.lit(1)).alias("n")))
-    j = top2.join(counts, on=SID, how="left")
+    """Row counts of the two newest snapshots, from the ledger, and their difference (one row)."""
+    j = (read_ledger(spark, path)
+         .withColumn("rk", F.row_number().over(Window.orderBy(F.col("committed_at").desc(), F.col(SID).desc())))
+         .filter("rk <= 2").select(SID, "committed_at", "rk", F.col("summary")[TOTAL].cast("bigint").alias("n")))
 
     def pick(rk, col):
         return F.max(F.when(F.col("rk") == rk, F.col(col)))
@@ -146,10 +140,12 @@ def compare_latest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def snapshot_report(spark: SparkSession, tables: list[tuple[str, str]]) -> DataFrame:
-    """History of several tables with the row count actually stored in each snapshot."""
+    """History of several tables with the row count actually stored in each
+    snapshot: a read of no column, which takes the counts of the files' footers."""
     parts = []
+    only_ids = StructType([StructField(SID, LongType())])
     for name, path in tables:
-        counts = read_data(spark, path).groupBy(SID).agg(F.count(F.lit(1)).alias("rows_at_snapshot"))
+        counts = spark.read.schema(only_ids).parquet(_data(path)).groupBy(SID).agg(F.count(F.lit(1)).alias("rows_at_snapshot"))
         h = snapshot_history(spark, path).join(counts, on=SID, how="left")
         parts.append(h.select(F.lit(name).alias("table_name"), SID, "committed_at", "operation",
                               "added_records", "total_records",

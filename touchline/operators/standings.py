@@ -30,14 +30,23 @@ def league_standings(form: DataFrame, by: Sequence[str] = ("team_id", "team_name
         F.sum(F.when(res == "L", 1).otherwise(0)).alias("lost"),
         F.sum("points").alias("total_points"),
         F.sum("goals_scored").alias("goals_for"),
-        F.sum("goals_conceded").alias("goals_against"))
-        .withColumn("goal_difference", F.col("goals_for") - F.col("goals_against")))
-    return global_row_number(agg, _points_order(by), "position").orderBy("position")
+        F.sum("goals_conceded").alias("goals_against")))
+    return rank_standings(agg, by)
+
+
+def rank_standings(totals: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Totals of each team with goal difference and position, in order of position."""
+    totals = totals.withColumn("goal_difference", F.col("goals_for") - F.col("goals_against"))
+    return global_row_number(totals, _points_order(by), "position").orderBy("position")
 
 
 def standings_by_name(form: DataFrame) -> DataFrame:
     """The query-layer table keyed by name: ``pts, gf, gc, gd, pos``."""
-    s = league_standings(form, by=("team_name",))
+    return standings_report(league_standings(form, by=("team_name",)))
+
+
+def standings_report(s: DataFrame) -> DataFrame:
+    """Standings by name under the query layer's headings."""
     return s.select("team_name", "played", "won", "drawn", "lost",
                     F.col("total_points").alias("pts"), F.col("goals_for").alias("gf"),
                     F.col("goals_against").alias("gc"), F.col("goal_difference").alias("gd"),

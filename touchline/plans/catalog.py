@@ -21,6 +21,7 @@ from touchline.functions.expressions import epoch_ms_to_ts, normalize_status
 from touchline.operators.dedup import keep_latest
 from touchline.operators.flatten import flatten_flat, flatten_matches, flatten_nested, flatten_standings
 from touchline.operators.form import add_result_points, build_team_form, finished, to_perspectives
+from touchline.operators.form_store import read_form, refresh_form, store_form
 from touchline.operators.quality import (
     FORM_RESULTS,
     FORM_TRENDS,
@@ -37,6 +38,7 @@ from touchline.operators.quality import (
     unique,
     violations,
 )
+from touchline.operators.quarantine import match_rules, read_quarantine, write_quarantine
 from touchline.operators.reports import (
     date_window,
     form_series,
@@ -56,15 +58,24 @@ from touchline.operators.snapshots import (
     read_ledger,
     snapshot_history,
     snapshot_report,
-    write_yearly_snapshots,
 )
 from touchline.operators.standings import dashboard_standings, league_kpis, league_standings, standings_by_name
+from touchline.operators.totals import (
+    change_totals,
+    kept_head_to_head,
+    kept_standings,
+    kept_standings_by_name,
+    pair_totals,
+    read_totals,
+    store_totals,
+    team_totals,
+)
 from touchline.plans.pipelines import (
     LakeConfig,
     build_silver_matches,
     build_silver_standings,
+    full_run,
     gold_models,
-    run_full,
 )
 from touchline.schemas import PAYLOAD_META, RAW_MATCH, STANDINGS_DOC
 from touchline.session import ensure_utc, scratch_dir
@@ -72,7 +83,7 @@ from touchline.sources.messages import COMPETITION_KEY, parse_messages, to_messa
 from touchline.sources.raw import read_raw, write_raw
 from touchline.sources.tables import ensure_namespaces, list_tables, materialize
 from touchline.streaming.land import land_raw, read_landed, read_topics
-from touchline.streaming.upsert import upsert_stream
+from touchline.streaming.upsert import read_latest, upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +118,20 @@ def _form_rows(spark, sf, keep_unscored):
     return add_result_points(to_perspectives(finished(_m(spark, sf)), keep_unscored=keep_unscored))
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def _stored_form(spark, sf):
+    """Path of the team form that the reports read: written once for a session and
+    its tables, as a gold table is."""
+    of = (spark.sparkContext.applicationId, sf)
+    if of not in _STORED:
+        path = scratch_dir(spark, "gold-form")
+        store_form(_m(spark, sf), path)
+        _STORED[of] = path
+    return _STORED[of]
+
+
 def _gold_results(spark, sf):
     return match_results(_m(spark, sf), keep_unscored=True)
 
@@ -145,6 +170,17 @@ def q_team_form_unscored(spark, sf):
     return _gold_form(spark, sf)
 
 
+def q_form_refresh(spark, sf):
+    """The form of an earlier state, refreshed by late, corrected and deleted
+    matches: the rows of a full build."""
+    ensure_utc(spark)
+    before, removed, added = fx.matches_before(spark, sf)
+    path = scratch_dir(spark, "form")
+    store_form(before, path)
+    refresh_form(spark, path, removed, added)
+    return read_form(spark, path)
+
+
 def q_perspectives(spark, sf):
     return add_result_points(to_perspectives(finished(_m(spark, sf)), keep_unscored=True))
 
@@ -173,6 +209,31 @@ def q_dashboard_standings(spark, sf):
     return dashboard_standings(_form_rows(spark, sf, keep_unscored=True))
 
 
+def _kept(spark, sf, totals):
+    """Totals of an earlier state, kept up to date by late, corrected and deleted
+    matches, which arrive in two parts."""
+    ensure_utc(spark)
+    before, removed, added = fx.matches_before(spark, sf)
+    path = scratch_dir(spark, "totals")
+    store_totals(before, path, totals)
+    for part in range(2):
+        of_part = F.regexp_extract("match_id", r"^\d+", 0).cast("bigint") % 2 == part
+        change_totals(spark, path, totals, str(part), removed.filter(of_part), added.filter(of_part))
+    return read_totals(spark, path, totals)
+
+
+def q_league_standings_kept(spark, sf):
+    return kept_standings(_kept(spark, sf, team_totals()))
+
+
+def q_league_standings_by_name_kept(spark, sf):
+    return kept_standings_by_name(_kept(spark, sf, team_totals(("team_name",), keep_unscored=True)))
+
+
+def q_head_to_head_kept(spark, sf):
+    return kept_head_to_head(_kept(spark, sf, pair_totals()))
+
+
 def q_teams(spark, sf):
     return teams(_m(spark, sf))
 
@@ -184,11 +245,13 @@ def q_team_names(spark, sf):
 # ---------------------------------------------------------------- reports
 
 def q_team_form_recent(spark, sf):
-    return recent_form(_gold_form(spark, sf), team=TEAM, exact=False)
+    stored = read_form(spark, _stored_form(spark, sf), TEAM, newest=20)
+    return recent_form(stored, team=TEAM, exact=False)
 
 
 def q_team_form_recent_exact(spark, sf):
-    return recent_form(_gold_form(spark, sf), team=TEAM, exact=True)
+    stored = read_form(spark, _stored_form(spark, sf), TEAM, exact=True, newest=20)
+    return recent_form(stored, team=TEAM, exact=True)
 
 
 def q_pair_matches(spark, sf):
@@ -208,11 +271,11 @@ def q_league_kpis(spark, sf):
 
 
 def q_latest_form(spark, sf):
-    return latest_form(_gold_form(spark, sf))
+    return latest_form(read_form(spark, _stored_form(spark, sf), newest=1))
 
 
 def q_top_team_form(spark, sf):
-    return top_team_form(_gold_form(spark, sf))
+    return top_team_form(read_form(spark, _stored_form(spark, sf)))
 
 
 def q_top_two_history(spark, sf):
@@ -220,7 +283,7 @@ def q_top_two_history(spark, sf):
 
 
 def q_form_series(spark, sf):
-    return form_series(_gold_form(spark, sf), TEAM)
+    return form_series(read_form(spark, _stored_form(spark, sf), TEAM, exact=True, newest=20), TEAM)
 
 
 def q_date_window(spark, sf):
@@ -359,8 +422,21 @@ def q_stream_restart(spark, sf):
     return read_landed(spark, f"{root}/bronze")
 
 
+def q_stream_land_once(spark, sf):
+    """The feed is delivered three times, twice before a restart: every message lands once."""
+    ensure_utc(spark)
+    root = scratch_dir(spark, "once")
+    for times in (2, 1):
+        for _ in range(times):
+            _message_files(spark, sf, f"{root}/in")
+        q = land_raw(read_topics(spark, f"{root}/in"), f"{root}/bronze", f"{root}/ckpt", once_within="1 day")
+        q.awaitTermination()
+    return read_landed(spark, f"{root}/bronze")
+
+
 def q_stream_upsert(spark, sf):
-    """``lineitem`` arrives in three batches; each upserts its key buckets."""
+    """``lineitem`` arrives in batches that are appended as versions; every second
+    one compacts the key ranges that have grown.  The read joins base and deltas."""
     ensure_utc(spark)
     root = scratch_dir(spark, "upsert")
     li = fx.read_table(spark, sf, "lineitem")
@@ -368,10 +444,10 @@ def q_stream_upsert(spark, sf):
         li.filter(F.col("l_orderkey") % 3 == part).write.mode("append").parquet(f"{root}/in")
     # Micro-batch boundaries do not matter: keep-latest is idempotent and order-free.
     stream = spark.readStream.schema(li.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/in")
-    q = upsert_stream(stream, f"{root}/table", f"{root}/ckpt", LINEITEM_KEYS,
-                      [F.col(c).desc_nulls_last() for c in LINEITEM_ORDER])
+    order = [F.col(c).desc_nulls_last() for c in LINEITEM_ORDER]
+    q = upsert_stream(stream, f"{root}/table", f"{root}/ckpt", LINEITEM_KEYS, order, compact_every=2)
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/table").select(*li.columns)
+    return read_latest(spark, f"{root}/table", order).select(*li.columns)
 
 
 # ---------------------------------------------------------------- checks
@@ -426,11 +502,15 @@ def q_check_scores(spark, sf):
 
 # ---------------------------------------------------------------- snapshots
 
+def _standings_by_day(spark, sf):
+    return keep_latest(flatten_standings(fx.standings_docs(spark, sf)), ["team_id"], ["ingested_at"])
+
+
 def _snap(spark, sf, table="silver.matches"):
     path = scratch_dir(spark, "snap-" + table.replace(".", "-"))
-    df = {"silver.matches": _m, "gold.team_form": _gold_form,
-          "gold.match_results": _gold_results}[table](spark, sf)
-    write_yearly_snapshots(df, path, table, "utc_date")
+    df = {"silver.matches": _m, "gold.team_form": _gold_form, "gold.match_results": _gold_results,
+          "silver.standings": _standings_by_day}[table](spark, sf)
+    fx.write_yearly_snapshots(df, path, table, "ingested_at" if table == "silver.standings" else "utc_date")
     return path
 
 
@@ -440,7 +520,7 @@ def q_snapshot_history(spark, sf):
 
 def q_read_at_snapshot(spark, sf):
     path = _snap(spark, sf)
-    oldest = read_ledger(spark, path).agg(F.min("snapshot_id")).scalar()
+    oldest = read_ledger(spark, path).agg(F.min("snapshot_id")).first()[0]
     return read_at(spark, path, oldest)
 
 
@@ -453,7 +533,7 @@ def q_read_as_of(spark, sf):
 
 
 def q_snapshot_report(spark, sf):
-    tables = ["silver.matches", "gold.team_form", "gold.match_results"]
+    tables = ["silver.matches", "silver.standings", "gold.team_form", "gold.match_results"]
     return snapshot_report(spark, [(t, _snap(spark, sf, t)) for t in tables])
 
 
@@ -470,12 +550,32 @@ def q_list_tables(spark, sf):
     return list_tables(spark, ["silver", "gold"])
 
 
-def q_run_full(spark, sf):
+def _lake(spark, sf):
     ensure_utc(spark)
     root = scratch_dir(spark, "lake")
     write_raw(fx.raw_matches(spark, sf, with_date=True), f"{root}/bronze/kind=matches")
     write_raw(fx.standings_docs(spark, sf, with_date=True), f"{root}/bronze/kind=standings")
-    return run_full(spark, LakeConfig(root), committed_at=datetime(2024, 1, 15, 12, 0, 0))
+    return full_run(spark, LakeConfig(root), committed_at=datetime(2024, 1, 15, 12, 0, 0))
+
+
+def q_run_full(spark, sf):
+    """The checks of the backfill chain."""
+    return _lake(spark, sf).checks
+
+
+def q_run_full_history(spark, sf):
+    """The history that closes the backfill chain."""
+    return _lake(spark, sf).history.select("table_name", "operation", "added_records", "total_records", "rows_at_snapshot")
+
+
+def q_quarantine(spark, sf):
+    """All versions of all matches split into good and bad rows, as stored."""
+    rows, path = _unified(spark, sf), scratch_dir(spark, "quarantine")
+    write_quarantine(rows, path, match_rules())
+    good = read_quarantine(spark, path, rows.schema, "good").withColumn("reasons", F.array().cast("array<string>"))
+    bad = read_quarantine(spark, path, rows.schema, "bad")
+    return good.withColumn("verdict", F.lit("good")).unionByName(bad.withColumn("verdict", F.lit("bad"))).select(
+        "match_id", "source", "ingested_at", "verdict", F.array_join("reasons", ",").alias("reasons"))
 
 
 QUERIES: dict[str, Query] = {

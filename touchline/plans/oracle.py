@@ -377,6 +377,7 @@ def oracle_sql() -> dict[str, str]:
     sql["team_form"] = f"WITH {M},\n{pr},\n{form()}\nSELECT {TF_COLS} FROM tf"
     sql["team_form_strict"] = f"WITH {M},\n{pr},\n{form(strict=True)}\nSELECT {TF_COLS} FROM tf"
     sql["team_form_unscored"] = f"{GOLD_FORM}SELECT {TF_COLS} FROM tf"
+    sql["form_refresh"] = sql["team_form_unscored"]
     sql["perspectives"] = (f"WITH {M},\n{pr}\nSELECT match_id, competition_id, utc_date, team_id, team_name, "
                            "opponent_id, opponent_name, venue, goals_scored, goals_conceded, result, points FROM pr")
     sql["match_results"] = f"WITH {M},\n{RESULTS_PY}\nSELECT * FROM rp"
@@ -504,6 +505,10 @@ SELECT 'x-standings', competition_id, {_standings_json()} FROM m"""
     sql["parse_messages"] = f"WITH {MSG}\nSELECT topic, key, value, timestamp FROM msg WHERE json_valid(value)"
     sql["stream_land_raw"] = LANDED
     sql["stream_restart"] = LANDED
+    sql["stream_land_once"] = LANDED
+
+    for key in ("league_standings", "league_standings_by_name", "head_to_head"):
+        sql[f"{key}_kept"] = sql[key]
 
     # checks
     sql["check_silver"] = f"""WITH {M},
@@ -581,8 +586,72 @@ SELECT {M_COLS} FROM m WHERE year(utc_date) <= (
 {RESULTS_PY},
 {_snap_ledger('m').replace('yc AS', 'yc_m AS').replace('FROM yc)', 'FROM yc_m)').replace('cum AS', 'cum_m AS').replace('FROM cum)', 'FROM cum_m)').replace('led AS', 'led_m AS')},
 {_snap_ledger('tf').replace('yc AS', 'yc_f AS').replace('FROM yc)', 'FROM yc_f)').replace('cum AS', 'cum_f AS').replace('FROM cum)', 'FROM cum_f)').replace('led AS', 'led_f AS')},
-{_snap_ledger('rp').replace('yc AS', 'yc_r AS').replace('FROM yc)', 'FROM yc_r)').replace('cum AS', 'cum_r AS').replace('FROM cum)', 'FROM cum_r)').replace('led AS', 'led_r AS')}
+{_snap_ledger('rp').replace('yc AS', 'yc_r AS').replace('FROM yc)', 'FROM yc_r)').replace('cum AS', 'cum_r AS').replace('FROM cum)', 'FROM cum_r)').replace('led AS', 'led_r AS')},
+{SD},
+sl AS (SELECT COUNT(DISTINCT team_id) AS n FROM fs)
 SELECT 'silver.matches' AS table_name, * FROM led_m
+UNION ALL SELECT 'silver.standings', 2024, TIMESTAMP '2025-01-01 00:00:00', 'append', CAST(n AS VARCHAR), CAST(n AS VARCHAR), n FROM sl
 UNION ALL SELECT 'gold.team_form', * FROM led_f
 UNION ALL SELECT 'gold.match_results', * FROM led_r"""
+
+    # composed runs
+    sql["run_full"] = f"""{LAKE}
+SELECT model, column_name, "check", CAST(violations AS BIGINT) AS violations, violations = 0 AS passed FROM (
+  SELECT 'silver_matches' AS model, '*' AS column_name, 'validate_silver' AS "check",
+         {_cnt('match_id IS NULL')} + {_cnt('home_score < 0 OR away_score < 0')} AS violations FROM silver
+  UNION ALL {_zero('team_form', 'validate_gold', '*')}
+  UNION ALL SELECT 'gold_team_form', 'team_id', 'not_null', {_cnt('team_id IS NULL')} FROM own
+  UNION ALL SELECT 'gold_team_form', 'goals_conceded', 'not_null', {_cnt('conceded IS NULL')} FROM own
+  UNION ALL {_zero('gold_team_form', 'not_null', 'match_id', 'result', 'form_trend', 'goals_scored', 'points_last5')}
+  UNION ALL {_zero('gold_team_form', 'accepted_values', 'result', 'form_trend')}
+  UNION ALL {_zero('gold_team_form', 'between', 'points_last5')}
+  UNION ALL {_zero('gold_match_results', 'not_null', 'match_id', 'result', 'home_score', 'away_score')}
+  UNION ALL {_zero('gold_match_results', 'accepted_values', 'result')}
+  UNION ALL {_zero('gold_match_results', 'at_least', 'home_score', 'away_score')}
+  UNION ALL {_zero('gold_match_results', 'unique', 'match_id')}
+  UNION ALL SELECT 'gold_head_to_head', 'team_a_id', 'not_null', {_cnt('a IS NULL')} FROM pairs
+  UNION ALL SELECT 'gold_head_to_head', 'team_b_id', 'not_null', {_cnt('b IS NULL')} FROM pairs
+  UNION ALL SELECT 'gold_league_standings', 'team_id', 'not_null', {_cnt('team_id IS NULL')} FROM named
+  UNION ALL {_zero('gold_league_standings', 'not_null', 'position')}
+  UNION ALL SELECT 'gold_league_standings', 'team_id', 'unique', COUNT(*) FROM (
+    SELECT team_id FROM named WHERE team_id IS NOT NULL GROUP BY team_id HAVING COUNT(*) > 1))"""
+    sql["run_full_history"] = f"""{LAKE},
+{SD},
+sizes AS (
+  SELECT 'silver.matches' AS table_name, COUNT(*) AS n FROM silver
+  UNION ALL SELECT 'silver.standings', COUNT(DISTINCT team_id) FROM fs
+  UNION ALL SELECT 'gold.team_form', 2 * COUNT(*) FROM fin
+  UNION ALL SELECT 'gold.match_results', COUNT(*) FROM fin)
+SELECT table_name, 'append' AS operation, CAST(n AS VARCHAR) AS added_records, CAST(n AS VARCHAR) AS total_records, n AS rows_at_snapshot FROM sizes"""
+    needed = ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}:not_null' END" for c in ("match_id", "home_team_id", "away_team_id", "utc_date", "status"))
+    negative = ", ".join(f"CASE WHEN {c} < 0 THEN '{c}:at_least' END" for c in ("home_score", "away_score"))
+    sql["quarantine"] = f"""WITH {M},
+{VERSIONS}
+SELECT match_id, source, ingested_at, CASE WHEN reasons = '' THEN 'good' ELSE 'bad' END AS verdict, reasons
+FROM (SELECT *, concat_ws(',', {needed}, {negative}) AS reasons FROM fl)"""
     return sql
+
+
+# Silver from all landed versions, and what the gold models are built from.
+LAKE = f"""WITH {M},
+{VERSIONS},
+silver AS (
+  SELECT {SILVER_COLS} FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY match_id ORDER BY ingested_at DESC NULLS LAST, {SILVER_TIEBREAK}) AS rn
+    FROM flq) WHERE rn = 1),
+fin AS (SELECT * FROM silver WHERE status = 'finished'),
+own AS (
+  SELECT home_team_id AS team_id, home_team_name AS team_name, away_score AS conceded FROM fin WHERE home_score IS NOT NULL
+  UNION ALL
+  SELECT away_team_id, away_team_name, home_score FROM fin WHERE away_score IS NOT NULL),
+named AS (SELECT DISTINCT team_id, team_name FROM own),
+pairs AS (
+  SELECT DISTINCT LEAST(home_team_id, away_team_id) AS a, GREATEST(home_team_id, away_team_id) AS b,
+         CASE WHEN home_team_id < away_team_id THEN home_team_name ELSE away_team_name END AS a_name,
+         CASE WHEN home_team_id < away_team_id THEN away_team_name ELSE home_team_name END AS b_name
+  FROM fin WHERE home_score IS NOT NULL AND away_score IS NOT NULL)"""
+
+
+def _zero(model: str, check: str, *columns: str) -> str:
+    """Checks that the model's own definition rules out."""
+    return " UNION ALL ".join(f"SELECT '{model}', '{c}', '{check}', 0" for c in columns)

@@ -58,11 +58,26 @@ def landing_rows(stream: DataFrame, metrics_name: str | None = "landing") -> Dat
             .withColumn("date", F.date_format("timestamp", "yyyy-MM-dd")))
 
 
-def land_raw(stream: DataFrame, path: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
+def drop_repeats(stream: DataFrame, within: str) -> DataFrame:
+    """Messages that did not arrive before, with the same topic, key and value,
+    for at least ``within``.  The time that counts is that of arrival: no message
+    is late, whatever its own timestamp, and the state holds one digest for each
+    message of that span."""
+    arrived = stream.withColumns({"__arrived": F.current_timestamp(), "__digest": F.sha2("value", 256)})
+    return (arrived.withWatermark("__arrived", within)
+            .dropDuplicatesWithinWatermark(["topic", "key", "__digest"]).drop("__arrived", "__digest"))
+
+
+def land_raw(stream: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
+             once_within: str | None = None) -> StreamingQuery:
     """Start the landing query: each valid payload becomes one JSON line under
     ``<path>/kind=<kind>/date=<day>/`` (readable by ``read_raw``).
     ``trigger=None`` processes what is available now and stops (scheduled
-    runs); ``"30 seconds"`` keeps polling."""
+    runs); ``"30 seconds"`` keeps polling.  ``once_within`` ("1 day") lands a
+    message that a broker delivers again within that time once, also across
+    restarts on the same checkpoint."""
+    if once_within:
+        stream = drop_repeats(stream, once_within)
     writer = (landing_rows(stream).select("value", "kind", "date").writeStream.format("text")
               .option("path", path).option("checkpointLocation", checkpoint)
               .partitionBy("kind", "date").outputMode("append"))
