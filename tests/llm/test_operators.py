@@ -432,8 +432,11 @@ def test_pairs_inside_a_template_family(spark):
     assert {d: (r["class_id"], r["class_size"]) for d, r in rows.items()} == {d: (d - d % 2, 2) for d in range(400)}
 
 
-def test_exact_join_equals_brute_force(spark):
-    """All pairs at the window similarity, from texts of many lengths with shared passages."""
+@pytest.mark.parametrize("light", [0, 1, 4])
+def test_exact_join_equals_brute_force(spark, light, monkeypatch):
+    """All pairs at the window similarity, from texts of many lengths with shared
+    passages; also when every key is split in each round."""
+    monkeypatch.setattr(nearduplicates, "LIGHT", light)
     rng = np.random.default_rng(32)
     base = [f"b{x}" for x in rng.integers(0, 300, 120)]
     texts = ["one two", "one two three", "alone"]
@@ -453,6 +456,24 @@ def test_exact_join_equals_brute_force(spark):
     assert len(want) > 100 and want <= found and len(found) < 2 * len(want)
 
 
+def test_texts_of_common_passages_are_not_squared(spark):
+    """Every text is put together from common passages and has no window of its own:
+    the pairs that are left to compare grow with the texts."""
+    rng = np.random.default_rng(33)
+    passages = [" ".join(f"p{i}x{k}" for k in range(30)) for i in range(40)]
+    texts = {" ".join(passages[i] for i in sorted(rng.choice(40, 8, replace=False))) for _ in range(400)}
+    texts |= {t.replace("x7 ", "y7 ", 1) for t in sorted(texts)[:20]}  # one word changed in some
+    docs = spark.createDataFrame(list(enumerate(sorted(texts))), "doc_id long, text string")
+    keyed = docs.select(nearduplicates.content_key(docs["text"]).alias("content")).distinct()
+    words = nearduplicates.word_sequences(docs, keyed).cache()
+    none = spark.createDataFrame([], "a struct<x: long, y: long>, b struct<x: long, y: long>")
+    found = {(tuple(r["a"]), tuple(r["b"])) for r in nearduplicates.exact_pairs(words, keyed, none).collect()}
+    held = sorted(((tuple(r["content"]), np.frombuffer(r["words"], np.uint64)) for r in words.collect()), key=lambda r: r[0])
+    want = {(held[i][0], held[j][0]) for j in range(len(held)) for i in range(j)
+            if nearduplicates.shared_windows(held[i][1], held[j][1]) >= 0.8}
+    assert len(want) >= 20 and want <= found and len(found) < 10 * len(held)
+
+
 def test_near_duplicate_edges(edges, empty):
     rows = nearduplicates.near_duplicate_classes(edges).collect()
     assert len(rows) == len(EDGES)

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from .common import table, text_or_empty, write_scratch
 from .components import components
-from .textarrays import Texts, mix, prefix_sums, row_of, slices, span_hashes, word_windows
+from .textarrays import Texts, lean, mix, prefix_sums, row_of, slices, span_hashes, word_windows
 
 #: Words of a k-mer; sketches; k-mers that a sketch samples; least similarity of a link.
 KMER_WORDS, SKETCHES, SAMPLED, SIMILARITY = 5, 16, 3, 0.8
@@ -53,6 +53,8 @@ PASSES = 3
 
 #: Least window counts of the length bands of the exact join: a band spans about 5 %.
 BANDS = np.unique(np.ceil(1.05 ** np.arange(500)).astype(np.int64))
+#: Pairs for each member beyond which a key of the exact join is split; rounds of splitting.
+LIGHT, SPLITS = 64, 2
 #: Rows of the exact join that a task holds before it gives them on.
 PREFIX_ROWS = 1 << 16
 
@@ -127,7 +129,7 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("content").take(pa.array(some)), lists], ["content", "sketch"])
 
     docs = docs.select(content_key(text_or_empty()).alias("content"), F.lower(text_or_empty()).alias("text"))
-    return docs.mapInArrow(run, "content struct<x: long, y: long>, sketch array<long>")
+    return docs.mapInArrow(lean(run), "content struct<x: long, y: long>, sketch array<long>")
 
 
 def shared_buckets(sketched: DataFrame) -> DataFrame:
@@ -239,29 +241,38 @@ def word_sequences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 [batch.column("content"), pa.array([words[8 * i:8 * j] for i, j in zip(first[:-1], first[1:], strict=True)], pa.binary())],
                 ["content", "words"])
 
-    # one row stands for all copies of a content; the others are dropped before texts move
+    # one row stands for all copies of a content.  The semi join moves the texts of all
+    # documents, spread by content and id; only rows equal in both meet in one task
     content = content_key(text_or_empty()).alias("content")
     firsts = docs.select(content, "doc_id").join(wanted, "content").groupBy("content").agg(F.min("doc_id").alias("doc_id"))
     texts = docs.select(content, "doc_id", F.lower(text_or_empty()).alias("text"))
     same = (texts["content"] == firsts["content"]) & texts["doc_id"].eqNullSafe(firsts["doc_id"])
-    chosen = texts.join(firsts, same, "left_semi").mapInArrow(run, "content struct<x: long, y: long>, words binary")
+    chosen = texts.join(firsts, same, "left_semi").mapInArrow(lean(run), "content struct<x: long, y: long>, words binary")
     return chosen.dropDuplicates(["content"])
 
 
+def word_views(column: pa.Array) -> Iterator[np.ndarray]:
+    """The word hashes of each row of a binary column, without copies of the column."""
+    held = Texts(column)
+    for lo, hi in zip(held.off[:-1], held.off[1:], strict=True):
+        # a copy of one row: its place in the buffer need not be a multiple of eight
+        yield np.frombuffer(held.buf[lo:hi].tobytes(), _U)
+
+
 def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` that are links, with their similarity."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = np.array([similar(np.frombuffer(x, _U), np.frombuffer(y, _U)) for x, y in
-                              zip(batch.column("words_a").to_pylist(), batch.column("words_b").to_pylist(), strict=True)], float)
+            a, b = (word_views(batch.column(c)) for c in ("words_a", "words_b"))
+            score = np.array([similar(x, y) for x, y in zip(a, b, strict=True)], float)
             keep = pa.array(score >= SIMILARITY)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep),
                                               pa.array(score).filter(keep)], ["a", "b", "similarity"])
 
     joined = (pairs.join(words.select(F.col("content").alias("a"), F.col("words").alias("words_a")), "a")
               .join(words.select(F.col("content").alias("b"), F.col("words").alias("words_b")), "b"))
-    return joined.mapInArrow(verify, "a struct<x: long, y: long>, b struct<x: long, y: long>, similarity double")
+    return joined.mapInArrow(lean(verify), "a struct<x: long, y: long>, b struct<x: long, y: long>, similarity double")
 
 
 def window_sets(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -289,7 +300,7 @@ def window_rows(words: DataFrame) -> DataFrame:
                 [batch.column("content").take(rows), pa.array(np.bincount(row, minlength=sequences.n)[row].astype(np.int32)),
                  pa.array(window.view(np.int64))], ["content", "n", "window"])
 
-    return words.select("content", "words").mapInArrow(run, "content struct<x: long, y: long>, n int, window long")
+    return words.select("content", "words").mapInArrow(lean(run), "content struct<x: long, y: long>, n int, window long")
 
 
 def prefixes(n: int) -> list[tuple[int, int, int]]:
@@ -307,31 +318,33 @@ def prefixes(n: int) -> list[tuple[int, int, int]]:
 
 
 def prefix_rows(ranked: DataFrame) -> DataFrame:
-    """``(key, content, root, n, place, low, high)`` of the windows of every prefix
-    that other contents have too.  ``ranked`` holds a content's shared windows in
-    the common order, rarest first; the ones of its own come before them.  ``key``
-    is the window with the two bands; ``low`` and ``high`` tell which the content is in."""
+    """``(key, window, place, low, high)`` of the windows of every prefix that other
+    contents of the group have too, with ``group``, ``content``, ``root`` and ``n``.
+    ``ranked`` holds a content's shared windows in the group's order, rarest first;
+    the ones of its own come before them.  ``key`` is the window with the group and
+    the two bands; ``low`` and ``high`` tell which of them the content is in."""
 
-    names = ["key", "place", "low", "high"]
+    names, kept = ["key", "window", "place", "low", "high"], ["group", "content", "root", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(batch, index, parts):
             rows = pa.array(np.repeat(index, [len(p[0]) for p in parts]))
             columns = [pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)]
-            return pa.RecordBatch.from_arrays([*columns, *[batch.column(c).take(rows) for c in ("content", "root", "n")]],
-                                              [*names, "content", "root", "n"])
+            return pa.RecordBatch.from_arrays([*columns, *[batch.column(c).take(rows) for c in kept]], [*names, *kept])
 
         for batch in batches:
             index, parts, held = [], [], 0
             for i in range(batch.num_rows):
                 n, windows = batch.column("n")[i].as_py(), batch.column("windows")[i].values.to_numpy().view(_U)
+                group = mix(np.array([batch.column("group")[i].as_py()], np.int64).view(_U))
                 alone = n - len(windows)
                 for own, other, length in prefixes(n):
                     part = windows[:max(0, length - alone)]
                     if len(part):
-                        bands = _U(1 + min(own, other) * len(BANDS) + max(own, other))
+                        bands = np.array([1 + min(own, other) * len(BANDS) + max(own, other)], _U)
                         index.append(i)
-                        parts.append((mix(part + bands * _ORDERS[0]).view(np.int64), np.arange(alone, alone + len(part), dtype=np.int32),
+                        parts.append((mix(part + bands * _ORDERS[0] + group).view(np.int64), part.view(np.int64),
+                                      np.arange(alone, alone + len(part), dtype=np.int32),
                                       np.full(len(part), own <= other), np.full(len(part), own >= other)))
                         held += len(part)
                 if held > PREFIX_ROWS or (parts and i == batch.num_rows - 1):
@@ -339,42 +352,87 @@ def prefix_rows(ranked: DataFrame) -> DataFrame:
                     index, parts, held = [], [], 0
 
     pair = "struct<x: long, y: long>"
-    return ranked.select("content", "root", "n", "windows").mapInArrow(
-        run, f"key long, place int, low boolean, high boolean, content {pair}, root {pair}, n int")
+    return ranked.select(*kept, "windows").mapInArrow(
+        lean(run), f"key long, window long, place int, low boolean, high boolean, group long, content {pair}, root {pair}, n int")
+
+
+def _member_set(*columns: str) -> Column:
+    """A fingerprint of the set of rows of a group, for rows that are distinct."""
+    both = [F.sum(F.xxhash64(*columns, F.lit(i)).cast("decimal(38,0)")) for i in range(2)]
+    return F.struct(F.count("*").alias("members"), *[c.alias(f"sum_{i}") for i, c in enumerate(both)])
+
+
+def key_sizes(keyed: DataFrame) -> DataFrame:
+    """``(key, group, window, heavy)`` of the keys in which members of different
+    classes meet.  Of keys with the same members, the one that is first in their
+    texts stands for all: a pair that shares one of them shares that one.  A key is
+    heavy when it has more than LIGHT pairs for each member."""
+    by_root = keyed.groupBy("key", "group", "window", "root").agg(
+        F.sum(F.col("low").cast("long")).alias("low"), F.sum(F.col("high").cast("long")).alias("high"),
+        F.sum("place").alias("place"), _member_set("content", "low", "high").alias("set"))
+    keys = by_root.groupBy("key", "group", "window").agg(
+        F.sum("low").alias("low"), F.sum("high").alias("high"), F.sum(F.col("low") * F.col("high")).alias("within"), F.sum("place").alias("place"),
+        *[F.sum(f"set.{c}").alias(c) for c in ("members", "sum_0", "sum_1")])
+    pairs = F.col("low") * F.col("high") - F.col("within")
+    keys = keys.filter(pairs > 0).withColumn("heavy", pairs > LIGHT * F.col("members"))
+    same = keys.groupBy("group", "members", "sum_0", "sum_1", "low", "high")
+    return same.agg(F.min_by(F.struct("key", "window", "heavy"), F.struct("place", "key")).alias("k")).select(
+        "k.key", "group", "k.window", "k.heavy")
+
+
+def meeting_pairs(keyed: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of members of different classes that share a key and may share
+    enough windows: those before the shared one are not shared."""
+    names = ("content", "root", "n", "place", "high")
+    a, b = (keyed.filter(side).select("key", *[F.col(c).alias(f"{c}_{x}") for c in names]) for side, x in (("low", "a"), ("high", "b")))
+    sharable = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    able = sharable >= (F.col("n_a") + F.col("n_b")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-6
+    once = ~F.col("high_a") | (F.col("content_a") < F.col("content_b"))  # within one band both are low and high
+    met = a.join(b, (a["key"] == b["key"]) & (F.col("root_a") != F.col("root_b")) & able & once)
+    return met.select(F.least("content_a", "content_b").alias("a"), F.greatest("content_a", "content_b").alias("b")).distinct()
 
 
 def exact_pairs(words: DataFrame, left: DataFrame, found: DataFrame) -> DataFrame:
     """All pairs ``(a, b)`` of the contents in ``left`` that can reach SIMILARITY in
     their windows and are not connected by ``found`` yet.
 
-    Every text's windows are sorted by how many texts of ``left`` have them, so
-    two similar texts share one among their rarest (prefix filter).  The prefix is
-    as long as the lengths of the two ask for: a key is a window with the length
-    bands of both, so windows that many texts carry are keys only of texts with
-    too little of their own to differ by it.  The place of the first shared window
-    bounds what two texts can share (positional filter).  Texts of one class are
-    not compared with each other, so a large class makes no square of pairs."""
-    windows = write_scratch(window_rows(words.join(left, "content", "left_semi")), "windows")
-    counts = windows.groupBy("window").agg(F.count("*").alias("texts")).filter("texts > 1")
-    ranked = (windows.join(counts, "window").groupBy("content", "n")
-              .agg(F.array_sort(F.collect_list(F.struct("texts", "window")))["window"].alias("windows"))
-              .filter(F.col("n") - F.size("windows") <= F.col("n") * (1 - SIMILARITY) + 1e-6))
-    roots = components(found.select("a", "b"))
-    rooted = ranked.join(roots, ranked["content"] == roots["node"], "left").select(
-        "content", "n", "windows", F.coalesce("root", "content").alias("root"))
-    keyed = write_scratch(prefix_rows(rooted), "prefixes")
-    mixed = keyed.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("key")
-    keyed = write_scratch(keyed.join(mixed, "key"), "mixed-prefixes")
-    # classes meet before their members do: a key's rows of one class are not compared
-    of_key = keyed.select("key", "root").distinct()
-    meeting = (of_key.withColumnRenamed("root", "root_a").join(of_key.withColumnRenamed("root", "root_b"), "key").filter("root_a < root_b"))
-    for side in "ab":
-        meeting = meeting.join(keyed.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("content", "root", "n", "place", "low", "high")]),
-                               ["key", f"root_{side}"])
-    sharable = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-    able = sharable >= (F.col("n_a") + F.col("n_b")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-6
-    return (meeting.filter(((F.col("low_a") & F.col("high_b")) | (F.col("high_a") & F.col("low_b"))) & able)
-            .select(F.least("content_a", "content_b").alias("a"), F.greatest("content_a", "content_b").alias("b")).distinct())
+    Every text's windows are sorted by how many texts have them, so two similar
+    texts share one among their rarest (prefix filter).  The prefix is as long as
+    the lengths of the two ask for: a key is a window with the length bands of
+    both.  The place of the first shared window bounds what two texts can share
+    (positional filter).  Texts of one class are not compared with each other.
+
+    A window that many texts of different classes have among their rarest (texts
+    put together from common passages) makes a heavy key.  Its pairs are not
+    formed: its texts become a group, in which windows are counted and sorted anew.
+    What all of them share now comes last, and what tells them apart comes first,
+    so the prefixes of the group meet on other windows, in smaller groups, which
+    may be split again.  Any order of the windows is right for the prefix filter,
+    so no pair is lost.  After SPLITS rounds what is still heavy is joined as it
+    is: texts that have nearly all windows in common."""
+    rooted = components(found.select("a", "b"))
+    windows = window_rows(words.join(left, "content", "left_semi"))
+    windows = write_scratch(windows.join(rooted, windows["content"] == rooted["node"], "left").select(
+        "content", "n", "window", F.coalesce("root", "content").alias("root")), "windows")
+    rows, pairs = windows.withColumn("group", F.lit(0).cast("long")), None
+    for split in range(SPLITS + 1):
+        counts = rows.groupBy("group", "window").agg(F.count("*").alias("texts")).filter("texts > 1")
+        ranked = (rows.join(counts, ["group", "window"]).groupBy("group", "content", "root", "n")
+                  .agg(F.array_sort(F.collect_list(F.struct("texts", "window")))["window"].alias("windows"))
+                  .filter(F.col("n") - F.size("windows") <= F.col("n") * (1 - SIMILARITY) + 1e-6))
+        keyed = write_scratch(prefix_rows(ranked), "prefixes")
+        sizes = write_scratch(key_sizes(keyed), "key-sizes")
+        light = sizes if split == SPLITS else sizes.filter("not heavy")
+        met = write_scratch(meeting_pairs(keyed.join(light.select("key"), "key", "left_semi")), "meeting")
+        pairs = met if pairs is None else pairs.unionAll(met)
+        heavy = sizes.filter("heavy").select("group", "window").distinct()
+        if split == SPLITS or heavy.isEmpty():
+            return pairs.distinct()
+        members = write_scratch(keyed.join(heavy, ["group", "window"], "left_semi").select("group", "window", "content").distinct(), "heavy")
+        sets = members.groupBy("group", "window").agg(_member_set("content").alias("set"))
+        chosen = sets.groupBy("set").agg(F.min(F.struct("group", "window")).alias("w")).select("w.group", "w.window")
+        groups = members.join(chosen, ["group", "window"], "left_semi").select(F.xxhash64("group", "window").alias("group"), "content")
+        rows = write_scratch(groups.join(windows, "content").select("group", "content", "n", "window", "root"), "group-windows")
 
 
 def links(docs: DataFrame) -> DataFrame:
@@ -399,9 +457,13 @@ def links(docs: DataFrame) -> DataFrame:
                      .join(found.select("a", "b"), ["a", "b"], "left_anti").select("bucket").distinct())
         members = write_scratch(meeting.join(unmatched, "bucket", "left_semi").select(
             "bucket", "content", "met", (F.col("was_hub") | (F.col("content") == F.col("hub"))).alias("was_hub")), "members")
-    if members.isEmpty():
+    # a hub has met all members of its bucket, so only pairs of others are still untested
+    untested = members.filter("not was_hub")
+    open_buckets = untested.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    left = write_scratch(untested.join(open_buckets, "bucket", "left_semi").select("content").distinct(), "untested")
+    if left.isEmpty():
         return found
-    pairs = exact_pairs(words, members.select("content").distinct(), found)
+    pairs = exact_pairs(words, left, found)
     pairs = write_scratch(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
     return found.unionAll(write_scratch(verified(pairs, words), "verified"))
 
@@ -431,7 +493,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """One document of each class, the one with the least ``doc_id`` (of equal
     texts with equal ids, one), with all its columns."""
     kept = classes(docs).filter("keeper").select("content", F.col("class_id").alias("keeper_id"))
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own_id"), content_key(text_or_empty()).alias("content"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("own_id"), content_key(text_or_empty()).alias("content"))
     same = (keyed["content"] == kept["content"]) & keyed["own_id"].eqNullSafe(kept["keeper_id"])
     chosen = keyed.join(kept, same, "left_semi")
     # the same text under the same id may stand in several rows
