@@ -30,12 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import table, text_or_empty
-from .textarrays import Texts, mix, row_of, slices, span_hashes
+from .textarrays import Texts, lean, mix, row_of, slices, span_hashes
 
 #: Hash buckets (2 to this power), vector length, and character n-gram lengths.
 BUCKET_BITS, DIMENSIONS, CHAR_GRAMS = 18, 16, (3, 4)
-#: The documents of each class that training takes at most (the sample's bound).
-SAMPLE_PER_CLASS = 2000
+#: The bound of the training sample: about so many documents of each class, one row
+#: for each ``doc_id``, and of each so many characters.
+SAMPLE_PER_CLASS, SAMPLE_CHARS = 2000, 100_000
 #: Passes over the sample and the learning rates of vectors and output layer.
 EPOCHS, VECTOR_RATE, LAYER_RATE, SEED = 6, 40.0, 0.5, 17
 
@@ -89,16 +90,18 @@ class Model:
         return cls(np.frombuffer(rest, "<f4"), json.loads(head)["bias"])
 
 
-def fit(texts: list[str], labels: np.ndarray) -> Model:
-    """Train on the given documents; the order of the rows does not matter when
-    they are sorted by the caller."""
+def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets of a text and the share of its features that falls into each."""
+    groups = feature_groups(Texts.of([text]))
+    found, counts = np.unique(np.concatenate([b for b, _ in groups]), return_counts=True)
+    return found.astype(np.int32), (counts / max(1, counts.sum())).astype(np.float32)
+
+
+def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Model:
+    """Train on the given documents (each a ``bag``); the order of the rows does not
+    matter when they are sorted by the caller."""
     if not len(labels) or labels.min() == labels.max():
         return Model(np.zeros(1 << BUCKET_BITS, np.float32), 0.0)
-    bags = []
-    for text in texts:
-        one = Texts.of([text])
-        found, counts = np.unique(np.concatenate([b for b, _ in feature_groups(one)]), return_counts=True)
-        bags.append((found, (counts / max(1, counts.sum())).astype(np.float32)))
     rng = np.random.default_rng(SEED)
     vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (1 << BUCKET_BITS, DIMENSIONS)).astype(np.float32)
     layer, bias = np.zeros((2, DIMENSIONS), np.float32), np.zeros(2, np.float32)
@@ -138,21 +141,27 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     for label, n in sizes.items():
         bar = F.when(F.col("label") == label, F.lit(sample_bar(n))).otherwise(bar)
     chosen = clean.filter(F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 63) - 1)) <= bar)
-    # the sample's ids are bounded by twice SAMPLE_PER_CLASS (about), so they are broadcast and texts stay in place
-    return docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id")
+    # the sample's ids are bounded by twice SAMPLE_PER_CLASS (about), so they are broadcast and texts stay in place;
+    # of rows that repeat an id, each task keeps one before anything moves
+    text = F.left(text_or_empty(), F.lit(SAMPLE_CHARS))
+    rows = docs.select("doc_id", text.alias("text")).join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """A model of ``labels`` (``doc_id``, ``label`` 0 or 1) on ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted(row for b in batches for row in zip(*(b.column(c).to_pylist() for c in ("doc_id", "label", "text")), strict=True))
-        model = fit([text for _, _, text in rows], np.array([label for _, label, _ in rows], np.int64))
+        rows = []
+        for b in batches:  # texts are dropped batch by batch; what stays are their features
+            rows += [(b.column("doc_id")[i].as_py(), b.column("label")[i].as_py(), bag(b.column("text")[i].as_py())) for i in range(b.num_rows)]
+        rows.sort(key=lambda row: row[0])
+        model = fit([found for _, _, found in rows], np.array([label for _, label, _ in rows], np.int64))
         yield pa.RecordBatch.from_arrays([pa.array([model.to_bytes()], pa.binary())], ["model"])
 
     sample = training_sample(docs, labels).select("doc_id", F.col("label").cast("int").alias("label"), "text")
     # the sample is bounded, so one task may hold it; the folded model is 1 MB
-    trained = sample.repartition(1).mapInArrow(run, "model binary").first()
+    trained = sample.repartition(1).mapInArrow(lean(run), "model binary").first()
     return Model.from_bytes(trained["model"]) if trained else fit([], np.zeros(0, np.int64))
 
 
@@ -166,7 +175,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(held.scores(Texts(batch.column("text"))))],
                                              [*batch.schema.names, "score"])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("score", DoubleType())]))
+    return docs.mapInArrow(lean(run), StructType([*docs.schema.fields, StructField("score", DoubleType())]))
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -180,9 +189,14 @@ def quality_model(docs: DataFrame, labels: DataFrame) -> Model:
 
 def accepted_documents(docs: DataFrame, model: Model) -> DataFrame:
     """The documents with a score of at least 0.5, with their own columns."""
-    names = docs.columns
-    wrapped = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("text"))
-    return score(wrapped, model).filter("score >= 0.5").select("row.*")
+    packed = docs.sparkSession.sparkContext.broadcast(model.to_bytes())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Model.from_bytes(packed.value)
+        for batch in slices(batches):
+            yield batch.filter(pa.array(held.scores(Texts(batch.column("text"))) >= 0.5))
+
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op6_subword_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

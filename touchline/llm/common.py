@@ -12,10 +12,17 @@ import touchline
 from touchline.session import write_scratch
 
 
+#: Bytes of an Arrow batch between the JVM and Python, unless the session names a size of its own.
+BATCH_BYTES, _BATCH = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package's modules to the executors' Python workers, once per
-    application, so that functions run there wherever the driver was started."""
+    application, so that functions run there wherever the driver was started.
+    Arrow batches are bounded by BATCH_BYTES where the session has Spark's default."""
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH, "1b") == "1b":  # not set by the session's owner
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     name = "touchline.zip"
     if name in sc._python_includes:
         return

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table, write_scratch
-from .textarrays import Texts, row_of, slices
+from .textarrays import Texts, lean, row_of, slices
 from .tokenizer_files import piece_encoder, vocabulary
 
 #: Tokens of a sequence; the id that ends each document; tokens of a sequence that may stay empty.
@@ -120,7 +120,7 @@ def cut_pieces(docs: DataFrame, path: str) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, class int, number long, part int, powers array<long>")
+        lean(run, tokenizers=True), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, class int, number long, part int, powers array<long>")
 
 
 def pack(docs: DataFrame, path: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .textarrays import SPACE, Texts, counts_between, mix, prefix_sums, row_of, slices, span_hashes, word_windows
+from .textarrays import SPACE, Texts, counts_between, lean, mix, prefix_sums, row_of, slices, span_hashes, word_windows
 
 #: Window length in words -> largest share of a text's word characters that may
 #: lie inside repeated windows of that length.
@@ -105,7 +105,7 @@ def measure(docs: DataFrame) -> DataFrame:
                                              ["doc_id", *_names()])
 
     docs = docs.select("doc_id", "text")
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {MEASURES}")
+    return docs.mapInArrow(lean(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {MEASURES}")
 
 
 def filter_documents(docs: DataFrame) -> DataFrame:
@@ -115,7 +115,7 @@ def filter_documents(docs: DataFrame) -> DataFrame:
         for batch in slices(batches):
             yield batch.filter(pa.array(measure_texts(Texts(batch.column("text")))["kept"]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, text_or_empty, write_scratch
-from .textarrays import Texts, row_of, slices, span_hashes, prefix_sums
+from .textarrays import Texts, lean, row_of, slices, span_hashes, prefix_sums
 
 #: Neighbours on each side that a boundary's hash is least among; longest chunk; words of a removed run.
 LOOK, LONGEST, MIN_WORDS = 3, 32, 25
@@ -87,7 +87,7 @@ def chunk_table(docs: DataFrame) -> DataFrame:
                 [pa.array(chunks.digest.view(np.int64)), batch.column("id").take(rows), batch.column("hash").take(rows),
                  pa.array(place.astype(np.int32))], ["digest", "id", "hash", "place"])
 
-    return docs.mapInArrow(run, "digest long, id long, hash long, place int")
+    return docs.mapInArrow(lean(run), "digest long, id long, hash long, place int")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -180,7 +180,7 @@ def removals(docs: DataFrame) -> DataFrame:
 
     rows = _with_repeats(docs.select("doc_id", "text"), "doc_id", "text").select("doc_id", text_or_empty().alias("text"), "places", "sources")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, text string, removed_chars long, "
+    return rows.mapInArrow(lean(run), f"doc_id {kind}, text string, removed_chars long, "
                                 "removed_spans array<struct<start: long, end: long>>, source_ids array<long>")
 
 
@@ -197,7 +197,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("__row"), pa.array(new, pa.string())], ["__row", "__new"])
 
     row = docs.schema.simpleString()
-    done = changed.mapInArrow(run, f"__row {row}, __new string").filter(F.col("__new").rlike(r"[^\x20\x09-\x0D]"))
+    done = changed.mapInArrow(lean(run), f"__row {row}, __new string").filter(F.col("__new").rlike(r"[^\x20\x09-\x0D]"))
     own = {c: F.col(f"__row.`{c}`") for c in names}
     new = own | {"text": F.col("__new")}
     if "n_chars" in names:
