@@ -70,7 +70,7 @@ def test_changes_reach_over_small_ranges(spark):
         r[2] = day + timedelta(days=i)
     rows[20][2] = rows[21][2]  # a tie in time
     old = matches_df(spark, [tuple(r) for r in rows])
-    for at in (0, 13, 20, 40, 59):
+    for at in (0, 20, 59):
         path = scratch_dir(spark, "t-form")
         store_form(old, path, buckets=45)
         corrected = [list(r) for r in rows]
@@ -106,7 +106,17 @@ def test_replaced_matches(spark):
 
 
 def opened(df):
-    return {f.split("bucket=")[1].split("/")[0] for f in df.inputFiles()}
+    """How many files (one for each range) the scans of a read opened."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = df.select("*")
+        rows.collect()
+        leaves = rows._jdf.queryExecution().executedPlan().collectLeaves()
+        found = [leaves.apply(i).metrics().get("numFiles") for i in range(leaves.size())]
+        return sum(m.get().value() for m in found if m.isDefined())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_reports_open_few_ranges(spark):
@@ -115,18 +125,19 @@ def test_reports_open_few_ranges(spark):
     k = F.col("match_id").cast("bigint")
     m = m.withColumn("home_team_id", F.when(k % 3 != 0, "0").otherwise(F.col("home_team_id"))).withColumn(
         "home_team_name", F.when(k % 3 != 0, "Team 0").otherwise(F.col("home_team_name")))
+    m = m.filter("home_team_id <> away_team_id")
     path = scratch_dir(spark, "t-form")
     store_form(m, path, buckets=60)
     plain = build_team_form(m, keep_unscored=True).cache()
     assert len(files(path)) >= 50
     for team, exact, most in (("Team 0", True, 2), ("Team 7", True, 2), ("team 1", False, 24)):
         stored = read_form(spark, path, team, exact=exact, newest=20)
-        assert 1 <= len(opened(stored)) <= most
+        assert 1 <= opened(stored) <= most
         same(recent_form(stored, team, exact=exact), recent_form(plain, team, exact=exact))
-    assert len(opened(read_form(spark, path, "Team 0", exact=True))) >= 15  # all of them without a bound
+    assert opened(read_form(spark, path, "Team 0", exact=True)) >= 15  # all of them without a bound
     same(form_series(read_form(spark, path, "Team 0", exact=True, newest=20), "Team 0"), form_series(plain, "Team 0"))
     newest = read_form(spark, path, newest=1)
-    assert len(opened(newest)) <= 25
+    assert opened(newest) <= 25
     same(latest_form(newest), latest_form(plain))
     assert read_form(spark, path, "nobody", newest=20).isEmpty()
 

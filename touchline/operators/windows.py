@@ -105,8 +105,8 @@ def range_rows(df: DataFrame, partition: Sequence[str], order: Sequence[str],
 
 
 def _with_tie(df: DataFrame) -> DataFrame:
-    """Rows equal in the key are ordered by their other columns."""
-    return df.withColumn(TIE, F.xxhash64(*[F.col(c) for c in df.columns]))
+    """Rows equal in the key are ordered by their other columns, the same in every range."""
+    return df.withColumn(TIE, F.xxhash64(*[F.col(c) for c in df.columns if c not in (BUCKET, _HALO)]))
 
 
 def halo_rows(ranged: RangedRows, partition: Sequence[str], lookback: int) -> DataFrame:
