@@ -66,10 +66,13 @@ def sample_bounds(df: DataFrame, keys: Sequence[str], buckets: int) -> list[Row]
     order = [F.col(c).asc_nulls_first() for c in keys]
     ranked = sample.select(*keys, F.row_number().over(Window.orderBy(*order)).alias("__n"),
                            F.count(F.lit(1)).over(Window.partitionBy()).alias("__of"))
-    part = F.floor((F.col("__n") - 1) * buckets / F.col("__of"))
-    firsts = ranked.withColumn("__part", part).groupBy("__part").agg(F.min("__n").alias("__n")).filter("__part > 0")
-    found = ranked.join(F.broadcast(firsts.select("__n")), "__n").select(*keys).distinct()  # one row per bucket
-    return found.orderBy(*order).collect()
+
+    def part(n: Column) -> Column:
+        return F.floor(n * buckets / F.col("__of"))
+
+    firsts = ranked.filter((F.col("__n") > 1) & (part(F.col("__n") - 1) > part(F.col("__n") - 2)))
+    found = [r[:-1] for r in sorted(firsts.select(*keys, "__n").collect(), key=lambda r: r["__n"])]  # one row per bucket
+    return [Row(**dict(zip(keys, key, strict=True))) for i, key in enumerate(found) if i == 0 or key != found[i - 1]]
 
 
 def bucket_of(df: DataFrame, keys: Sequence[str], bounds: Sequence[Row]) -> Column:
