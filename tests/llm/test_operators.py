@@ -351,6 +351,18 @@ def test_packing_is_whole_and_tight(spark, real, edges, empty):
     assert packing.pack(empty, WORD_BPE).count() == 0
 
 
+def test_ids_of_pieces_equal_library():
+    """Words are cut at letters and marks and lower-cased before the library sees them: the ids stay its own."""
+    t, rng = tokenizer(WORD_BPE), np.random.default_rng(9)
+    parts = ["a", "Z", "Word", " ", "\n", "\u00a0", "é", "É", "×", "÷", "ß", "İ", "日本", "😀", "'s", "'S", "'", "'LL", "<|endoftext|>", "<|ENDOFTEXT|>",
+             "<|Endo", "|", "12", "7", ".", "!!", "(", "=", "H", "h", "K", "\u0331", "\u0338", "\u0301", "\u20e3", "Σ", "-'s", "\x00", "\u200d"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 60))) for _ in range(3000)]
+    texts += [a + b + c for a in parts for b in parts for c in ("", ".", "H", "\u0331")]
+    ids, off = packing.token_ids(Texts.of(texts), WORD_BPE)
+    for i, text in enumerate(texts):
+        assert ids[off[i]:off[i + 1]].tolist() == [*t.encode(text, add_special_tokens=False).ids, packing.END_ID], repr(text)
+
+
 def test_rests_are_cut_into_classes():
     for rest in range(1, packing.CAPACITY):
         parts = packing.split_rest(rest)

@@ -18,7 +18,7 @@ are, and such sequences need no padding.
 
 Edge cases: a null text is empty and has the end token alone; equal rows are
 packed each; an empty table gives an empty result; a document of any length is
-tokenized between white space, so memory is bounded by its ids.
+tokenized in pieces of words, so memory is bounded by its ids.
 """
 
 from __future__ import annotations
@@ -32,12 +32,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table, write_scratch
-from .textarrays import Texts, lean, row_of, slices
+from .textarrays import Texts, counts_between, lean, row_of, slices
 from .tokenizer_files import piece_encoder, vocabulary
 
 #: Tokens of a sequence; the id that ends each document; tokens of a sequence that may stay empty.
 CAPACITY, END_ID, SLACK = 4096, 2, 24
 
+#: ASCII letters, and ASCII marks but for the apostrophe and the bar.
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[b for b in range(128) if chr(b).isalpha()]] = True
+_MARK[[b for b in range(0x21, 0x7F) if not chr(b).isalnum() and chr(b) not in "'|"]] = True
+
 
 def split_rest(rest: int) -> list[tuple[int, int]]:
     """(length, class) of the pieces of a rest below CAPACITY."""
@@ -58,9 +63,40 @@ def binary_lengths(n: int) -> list[int]:
     return [1 << b for b in range(n.bit_length() - 1, -1, -1) if n >> b & 1]
 
 
+def pretoken_pieces(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the pieces that words are cut into, and the piece at
+    which each text begins.  The pre-tokenizer ends a run of letters at a mark and
+    a run of marks at a letter whatever stands around them, so words are cut there:
+    fewer distinct pieces.  An apostrophe may lead a contraction, and ``|`` stands
+    inside the special strings, so nothing is cut beside these.
+
+    A-Z in ``texts`` are lower-cased, as the vocabulary's normaliser does, but for
+    pieces with ``|`` (a special string is matched before that) and letters that a
+    combining character may follow (it composes them first)."""
+    buf = texts.buf
+    letter, mark = _LETTER[buf], _MARK[buf]
+    latin = letter.copy()
+    latin[1:] |= (buf[:-1] == 0xC3) & (buf[1:] != 0x97) & (buf[1:] != 0xB7)  # accented letters, without the two signs among them
+    cut = np.zeros(len(buf) + 1, bool)
+    cut[1:-1] = (latin[:-1] & mark[1:]) | (mark[:-1] & letter[1:])
+    starts, ends, _ = texts.words()
+    begins, stops = cut.copy(), cut
+    begins[starts] = True
+    stops[ends] = True
+    starts, ends = np.flatnonzero(begins), np.flatnonzero(stops)
+    as_is = np.zeros(len(buf) + 1, np.int8)
+    kept = counts_between(buf == ord("|"), np.append(starts, len(buf))) > 0 if len(starts) else np.zeros(0, bool)
+    as_is[starts[kept]] += 1
+    as_is[ends[kept]] -= 1
+    upper = (buf >= ord("A")) & (buf <= ord("Z")) & (np.cumsum(as_is[:-1], dtype=np.int8) == 0)
+    upper[:-1] &= buf[1:] < 0x80
+    texts.buf = np.where(upper, buf + np.uint8(32), buf)
+    return starts, ends, np.searchsorted(starts, texts.off)
+
+
 def token_ids(texts: Texts, path: str) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts, each ended by END_ID, and where each text's begin."""
-    starts, ends, first = texts.words()
+    starts, ends, first = pretoken_pieces(texts)
     pool, begin, end = piece_encoder(path).pieces(texts, starts, ends)
     size = end - begin
     per_text = np.bincount(row_of(first), weights=size, minlength=texts.n).astype(np.int64) + 1
