@@ -1,8 +1,7 @@
 """Token counts with overlap resynchronisation (operator 8).
 
-A text of up to CHUNK_CHARS is encoded in pieces cut at stable boundaries, each
-distinct piece of a worker once.  A longer one is encoded in
-chunks that overlap, each with token offsets, so memory stays bounded by the
+Every text is encoded in chunks of CHUNK_CHARS that overlap, each with token
+offsets, so memory stays bounded by the chunk; a text of no more is its single
 chunk.  Two neighbouring chunks are spliced at a boundary that both have and
 that is proven stable:
 
@@ -31,104 +30,99 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
-from .textarrays import SPACE, Texts, counts_between, slices
-from .tokenizer_files import piece_encoder, tokenizer, vocabulary
+from .textarrays import Texts, lean, slices
+from .tokenizer_files import tokenizer, vocabulary
 
 #: Characters of a chunk and of the first overlap; characters before a chunk's end that are not trusted.
-CHUNK_CHARS, OVERLAP_CHARS, GUARD_CHARS = 1 << 13, 1 << 9, 64
+CHUNK_CHARS, OVERLAP_CHARS, GUARD_CHARS = 1 << 13, 1 << 8, 64
 #: Contract: a text with more tokens is over the limit.
 TOKEN_LIMIT = 1024
 
 
-def _pretoken_starts(encoding) -> tuple[np.ndarray, np.ndarray]:
-    """Character offsets at which a pre-token (or special string) begins, and the token that begins there."""
-    offsets, words = encoding.offsets, encoding.word_ids
-    at, token, before, end = [], [], object(), 0
-    for i, ((start, stop), word) in enumerate(zip(offsets, words, strict=True)):
-        if word is None or word != before:
-            # a byte-level token may cover part of a character: such a place is no boundary
-            if start >= end:
-                at.append(start)
-                token.append(i)
-        before, end = (object() if word is None else word), max(end, stop)
-    return np.array(at, np.int64), np.array(token, np.int64)
-
-
-def stable_pieces(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and text numbers of pieces cut before white space that follows
-    a visible character.  No match of the pre-tokenizer's pattern and no special
-    string goes across such a place, and what follows is matched without regard to
-    what stands before, so the pieces' tokens are the text's.  The character before
-    must be ASCII or from the block of accented Latin letters; elsewhere the text
-    is simply not cut."""
-    buf = texts.buf
-    cut = np.zeros(len(buf), bool)
-    visible = (buf > 0x20) & (buf < 0x7F)
-    visible[1:] |= (buf[:-1] == 0xC3) & (buf[1:] >= 0x80)
-    cut[1:] = SPACE[buf[1:]] & visible[:-1]
-    cut[texts.off[:-1][np.diff(texts.off) > 0]] = True
-    starts = np.flatnonzero(cut)
-    return starts, np.append(starts[1:], len(buf)), np.searchsorted(texts.off, starts, "right") - 1
-
-
-def encode_long(encode, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS, guard: int = GUARD_CHARS) -> list[int]:
-    """Ids of a long text from overlapping chunks; ``encode`` gives an encoding with offsets."""
-    ids: list[int] = []
+def begins_pretoken(encoding, token: int) -> bool:
+    """Whether a pre-token or special string begins with this token, at the character where its offset begins."""
+    if token == 0:
+        return True
+    word = encoding.token_to_word(token)
+    # a byte-level token may cover part of a character: such a place is no boundary
+    return ((word is None or word != encoding.token_to_word(token - 1))
+            and encoding.token_to_chars(token)[0] >= encoding.token_to_chars(token - 1)[1])
+
+
+def pretoken_at(encoding, place: int) -> int | None:
+    """The token that begins a pre-token (or special string) at the character ``place``."""
+    token = encoding.char_to_token(place)
+    if token is None or encoding.token_to_chars(token)[0] != place or not begins_pretoken(encoding, token):
+        return None
+    return token
+
+
+def splice_at(current, following, back: int, last: int) -> tuple[int, int] | None:
+    """First place up to ``last`` (and the token of ``current`` there) where both
+    chunks begin a pre-token; ``following`` begins at the character ``back`` of ``current``."""
+    for token, (start, _) in enumerate(following.offsets):
+        place = back + start
+        if place > last:
+            break
+        if place > 0 and begins_pretoken(following, token) and (mine := pretoken_at(current, place)) is not None:
+            return place, mine
+    return None
+
+
+def spliced_chunks(encode, encode_last, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS,
+                   guard: int = GUARD_CHARS) -> Iterator[tuple[object, int]]:
+    """Encodings of a text's chunks with the number of their tokens up to the next
+    splice.  ``encode`` gives token offsets; a text's last (or only) chunk is
+    spliced with none after it and goes to ``encode_last``, which needs none."""
     begin = 0  # a sure pre-token start of the whole text
-    while True:
+    while begin + chunk < len(text):
         end = begin + chunk
-        current = encode(text[begin:end])
-        if end >= len(text):
-            return ids + current.ids
-        at, token = _pretoken_starts(current)
-        sure = at <= chunk - guard
-        at, token = at[sure], token[sure]
-        width = overlap
-        while True:
-            width = min(width, chunk)
+        current, width, splice = encode(text[begin:end]), min(overlap, chunk), None
+        while not splice:
             back = end - width
-            following = encode(text[back:end])
-            there = _pretoken_starts(following)[0] + (back - begin)
-            common = np.intersect1d(at[at > 0], there)
-            if len(common):
-                splice = int(common[0])
-                ids += current.ids[:int(token[np.searchsorted(at, splice)])]
-                begin += splice
+            splice = splice_at(current, encode(text[back:end]), back - begin, chunk - guard)
+            if not splice and width == chunk:
                 break
-            if width >= chunk:  # no boundary inside the whole chunk: take a longer one
-                chunk *= 2
-                break
-            width *= 2
+            width = min(2 * width, chunk)
+        if splice:
+            yield current, splice[1]
+            begin += splice[0]
+        else:  # no boundary inside the whole chunk: take a longer one
+            chunk *= 2
+    last = encode_last(text[begin:])
+    yield last, len(last)
+
+
+def encode_long(encode, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS, guard: int = GUARD_CHARS) -> list[int]:
+    """Ids of a text of any length from overlapping chunks; ``encode`` gives an encoding with offsets."""
+    return [i for encoding, n in spliced_chunks(encode, encode, text, chunk, overlap, guard) for i in encoding.ids[:n]]
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = TOKEN_LIMIT) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_tokens`` and ``over_limit`` of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, pieces = tokenizer(path), piece_encoder(path)
+        held = tokenizer(path)
 
         def encode(text: str):
             return held.encode(text, add_special_tokens=False)
 
+        def encode_last(text: str):
+            return held.encode_batch_fast([text], add_special_tokens=False)[0]  # without offsets
+
+        def count(text: str | None) -> int:
+            return sum(n for _, n in spliced_chunks(encode, encode_last, text or ""))
+
         for batch in slices(batches):
-            texts = Texts(batch.column("text"))
-            counts = np.zeros(texts.n, np.int64)
-            n_chars = counts_between(texts.char_starts(), texts.off)
-            long = np.flatnonzero(n_chars > CHUNK_CHARS)
-            for i in long:
-                counts[i] = len(encode_long(encode, batch.column("text")[int(i)].as_py()))
-            starts, ends, row = stable_pieces(texts)
-            if len(long):
-                short = ~np.isin(row, long)
-                starts, ends, row = starts[short], ends[short], row[short]
-            _, begin, end = pieces.pieces(texts, starts, ends)
-            counts += np.bincount(row, weights=end - begin, minlength=texts.n).astype(np.int64)
+            column = batch.column("text")
+            counts = np.fromiter((count(x.as_py()) for x in column), np.int64, len(column))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(texts.off)), pa.array(counts), pa.array(counts > limit)],
+                [batch.column("doc_id"), pa.array(np.diff(Texts(column).off)), pa.array(counts), pa.array(counts > limit)],
                 ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return docs.select("doc_id", "text").mapInArrow(
+        lean(run, tokenizers=True), f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
