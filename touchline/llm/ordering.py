@@ -1,21 +1,21 @@
 """Each document together with the next one, in descending order of ``doc_id``.
 
-The documents are dealt into ranges of ``doc_id`` whose bounds come from
-approximate quantiles of that column alone.  The first document of each range
+The documents are dealt into even ranges of (``doc_id``, text hash, row id),
+whose bounds come from a sample of these three, so that many rows of one id
+(all null ids, say) are many ranges.  The first document of each range
 is sent to the range before it as well, so a task that streams its range in
 order finds the successor of its last document there; the last document of all
 is followed by the first.  Whole texts are shuffled once, and nothing but one
-(doc_id, text hash) pair per range reaches the driver.
+(doc_id, text hash, row id) per range reaches the driver.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.operators.windows import bucket_of, sample_bounds
+
 from .common import shuffle_partitions, text_or_empty
 
 #: Ranges for each shuffle partition, so that hashing ranges to tasks stays even.
@@ -27,25 +27,24 @@ def with_successors(docs: DataFrame) -> DataFrame:
     """Columns ``range``, ``halo``, ``doc_id``, ``text``: partitioned by range and
     sorted by range, then own rows in descending order of ``doc_id``, then the
     halo row.  Null ids come last; rows with equal ids follow the order of their
-    text hash.  An empty table gives no row."""
+    text hash, equal rows that of the table.  An empty table gives no row."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    key = F.coalesce("doc_id", F.lit(LOWEST))
-    n = RANGES_PER_PARTITION * shuffle_partitions(spark)
-    cuts = docs.select(F.percentile_approx(key, [i / n for i in range(1, n)], 10_000)).first()[0] if n > 1 else None
-    keyed = docs.select(key.alias("k"), F.xxhash64("text").alias("h"), "doc_id", "text").withColumn("order", F.col("k").cast("double"))
-    cuts = sorted({float(c) for c in cuts or []})
-    ranges = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="order", outputCol="bucket", handleInvalid="keep")
-    keyed = (ranges.transform(keyed) if cuts else keyed.withColumn("bucket", F.lit(0.0))).withColumn("range", F.col("bucket").cast("int"))
-    heads = keyed.groupBy("range").agg(F.max(F.struct("k", "h")).alias("head")).orderBy("range").collect()
+    key = ("k", "h", "row")
+    keyed = docs.select(F.coalesce("doc_id", F.lit(LOWEST)).alias("k"), F.xxhash64("text").alias("h"),
+                        F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    bounds = sample_bounds(keyed, key, RANGES_PER_PARTITION * shuffle_partitions(spark))
+    keyed = keyed.withColumn("range", bucket_of(keyed, key, bounds).cast("int"))
+    heads = keyed.groupBy("range").agg(F.max(F.struct(*key)).alias("head")).orderBy("range").collect()
     if not heads:
         return keyed.select("range", F.lit(False).alias("halo"), "doc_id", "text")
     # one row per range: the next range up ends with this range's first document, the lowest with the first of all
     after = [(heads[(i + 1) % len(heads)]["range"], r["head"]["k"], r["head"]["h"]) for i, r in enumerate(heads)]
     heads = spark.createDataFrame(after, "goes_to int, k long, h long")
-    copies = keyed.join(F.broadcast(heads), ["k", "h"]).select(
-        F.col("goes_to").alias("range"), F.lit(True).alias("halo"), "k", "h", "doc_id", "text")
-    own = keyed.select("range", F.lit(False).alias("halo"), "k", "h", "doc_id", "text")
+    firsts = keyed.join(F.broadcast(heads.select("k", "h")), ["k", "h"], "left_semi").select("k", "h", "doc_id", "text").distinct()
+    copies = firsts.join(F.broadcast(heads), ["k", "h"]).select(
+        F.col("goes_to").alias("range"), F.lit(True).alias("halo"), "k", "h", F.lit(0).cast("long").alias("row"), "doc_id", "text")
+    own = keyed.select("range", F.lit(False).alias("halo"), *key, "doc_id", "text")
     return (own.unionAll(copies).repartition("range")
-            .sortWithinPartitions("range", "halo", F.desc("k"), F.desc("h"))
+            .sortWithinPartitions("range", "halo", *[F.desc(c) for c in key])
             .select("range", "halo", "doc_id", "text"))
