@@ -4,8 +4,9 @@ A rule (host, path, verdict) fits the urls of its host and all subdomains whose
 path starts with the rule's path.  With a canonical key of the reversed host
 labels followed by the path, the paths under one host that start with a rule's
 path are one interval of keys.  A url has one key for each suffix of its host
-(a host of d labels has d), so that rules for parent domains are met by the
-same interval search.
+that has as many labels as some rule's host, so that rules for parent domains
+are met by the same interval search, and a host of thousands of labels has no
+more keys than the rules have label counts.
 
 Rule intervals are nested or apart.  They are swept once, in key order: depth
 is the running sum of starts and ends, and the rule on top of the stack after
@@ -78,9 +79,11 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDICT) ->
     pages = write_scratch(pages.select("page_id", "url").select("page_id", host.alias("host"), path.alias("path"))
                           .withColumn("row", F.monotonically_increasing_id()), "urls")
     labels = F.split("host", r"\.", -1)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
-                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    keys = pages.select("row", F.explode(suffixes).alias("suffix"), "path").select(
+    # one row: the label counts that rules' hosts have; only suffixes of as many labels can meet a rule
+    depths = rules.agg(F.collect_set(F.size(F.split("host", r"\.", -1))).alias("depths"))
+    suffixes = F.transform(F.filter("depths", lambda d: d <= F.size(labels)),
+                           lambda d: F.array_join(F.slice(labels, -d, d), "."))
+    keys = pages.crossJoin(F.broadcast(depths)).select("row", F.explode(suffixes).alias("suffix"), "path").select(
         canonical_key(F.col("suffix"), F.col("path")).alias("key"), "row")
     found = segments(rules)
     merged = ranged(
