@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from edge_rows import EDGES, SF_SMALL
 
-from touchline.llm import classifier, fingerprints, nearduplicates, packing, repetition, sharding, substrings, tokencounts, transducer, urlfilters
+from touchline.llm import classifier, fingerprints, nearduplicates, ordering, packing, prefixsums, repetition, sharding, substrings, tokencounts, transducer, urlfilters
 from touchline.llm.textarrays import Texts
 from touchline.llm.tokenizer_files import tokenizer, vocabulary
 
@@ -71,6 +71,25 @@ def test_fingerprints_of_edges(edges, empty):
     assert fingerprints.fingerprint_edits(empty).count() == 0 and fingerprints.fingerprint(empty).count() == 0
 
 
+@pytest.mark.parametrize("copies", [False, True])
+def test_rows_of_one_id_are_many_ranges(spark, copies):
+    """A third of all rows without an id, with different texts or all with one: ranges stay even, successors right."""
+    rows = [(i, f"text {i}") for i in range(2000)] + [(None, "same" if copies else f"other {i}") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sizes = {r["range"]: r["count"] for r in ordering.with_successors(docs).groupBy("range").count().collect()}
+    assert len(sizes) > 20 and max(sizes.values()) < 3 * 3001 / len(sizes)
+    found = fingerprints.fingerprint_edits(docs).collect()
+    assert Counter(r["doc_id"] for r in found) == Counter(d for d, _ in rows)
+    following = {d: t for d, t in rows if d is not None}
+    for r in found:  # the edited text shows the next document's beginning
+        if r["doc_id"]:
+            text, after = f"text {r['doc_id']}", following[r["doc_id"] - 1]
+            assert r["edited_sha256"] == hashlib.sha256(fingerprints.edited(text, after).encode()).hexdigest()
+    if copies:  # all but the last copy are followed by a copy
+        one, last = (hashlib.sha256(fingerprints.edited("same", x).encode()).hexdigest() for x in ("same", "text 1999"))
+        assert Counter(r["edited_sha256"] for r in found if r["doc_id"] is None) == {one: 999, last: 1}
+
+
 def test_insertion_moves_few_chunks(real):
     text = max(real[1].values(), key=len)
     a, b = (fingerprints.Fingerprints(Texts.of([x])).strings()[0].as_py() for x in (text, "inserted " + text))
@@ -220,6 +239,26 @@ def test_shards_equal_brute_force(spark, real, edges, empty):
     assert sharding.shard(empty).count() == 0
 
 
+def test_equal_rows_are_many_ranges(spark, monkeypatch):
+    """A third of all rows equal in text and id: parts stay even, shards equal brute force."""
+    rows = [(i, f"text {i % 1500} " * 3) for i in range(2000)] + [(None, "the same text again and again")] * 1000
+    parts = []
+
+    def seen(*args):
+        parts.append(prefixsums.ranged(*args))
+        return parts[-1]
+
+    monkeypatch.setattr(sharding, "ranged", seen)
+    found = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    sizes = [r["count"] for r in parts[0].groupBy("part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.6 * len(rows) / 8
+
+    def plain(rows):
+        return sorted(rows, key=lambda r: tuple((x is not None, x) for x in r))
+
+    assert plain((r["doc_id"], r["size"], r["shard"], r["slot"]) for r in found) == plain(brute_shards(rows))
+
+
 # 6: classifier
 
 def test_classifier_on_held_out_rows(spark, edges, empty):
@@ -273,6 +312,8 @@ def test_url_rules_equal_brute_force(spark):
                if (host == h or host.endswith("." + h)) and path.startswith(p) and "://" in url]
         best = max(fit, default=(0, 0, None, urlfilters.DEFAULT_VERDICT))
         assert (r["host"], r["path"], r["rule"], r["verdict"]) == (host, path, best[2], best[3]), url
+    long = spark.createDataFrame([(1, "http://" + "a." * 20_000 + "a.com/x/"), (2, "http://" + "." * 20_000)], "page_id long, url string")
+    assert [(r["page_id"], r["rule"]) for r in urlfilters.judge(long, table).orderBy("page_id").collect()] == [(1, "a.com/x/"), (2, None)]
     assert urlfilters.judge(pages.limit(0), table).count() == 0
     assert {r["verdict"] for r in urlfilters.judge(pages, table.limit(0)).collect()} == {"allow"}
 
