@@ -60,6 +60,7 @@ def _write_ranges(form: DataFrame, path: str, into: str = "static") -> None:
     (form.withColumnRenamed(BUCKET, RANGE).sortWithinPartitions(RANGE, *KEYS)
          .write.mode("overwrite").option("partitionOverwriteMode", into)
          .option("parquet.bloom.filter.enabled#team_name", "true")
+         .option("parquet.bloom.filter.adaptive.enabled", "true")  # as large as the names need, not 1 MB a file
          .partitionBy(RANGE).parquet(f"{path}/rows"))
 
 
@@ -147,6 +148,7 @@ def refresh_form(spark: SparkSession, path: str, removed: DataFrame, added: Data
     held = spark.read.parquet(f"{path}/bounds").orderBy(RANGE)
     bounds = held.select(*KEYS).collect()  # one row per range
     gone, new = (range_rows(form_rows(m, keep_unscored=layout["keep_unscored"]), KEYS[:1], KEYS[1:], bounds=bounds).rows for m in (removed, added))
+    new = write_scratch(new, "changed-rows")  # filters on the range stop there, outside of the search
     points = write_scratch(gone.select(BUCKET, *KEYS).unionByName(new.select(BUCKET, *KEYS)).distinct(), "changed-keys")
     touched = [r[BUCKET] for r in points.select(BUCKET).distinct().collect()]
     if not touched:

@@ -31,12 +31,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 StageFn = Callable[[WindowSpec, WindowSpec], list[Column]]
 
 BUCKET, TIE = "__bucket", "__tie"
-_HALO = "__halo"
+_HALO, _BOUNDS = "__halo", "__bounds"
 #: Sampled keys for each bucket; seed of the sample.
 SAMPLE_PER_BUCKET, SEED = 64, 7
 
@@ -54,8 +54,15 @@ class RangedRows:
 
     def bounds_table(self) -> DataFrame:
         """``BUCKET`` and key of every bound: one row per bucket."""
-        schema = StructType([self.rows.schema[c] for c in (BUCKET, *self.keys)])
-        return self.rows.sparkSession.createDataFrame([(i + 1, *b) for i, b in enumerate(self.bounds)], schema)
+        schema = self.rows.schema
+        rows = _literals(schema, (BUCKET, *self.keys), [(i + 1, *b) for i, b in enumerate(self.bounds)])
+        return self.rows.sparkSession.range(1, numPartitions=1).select(F.inline(rows))
+
+
+def _literals(schema: StructType, columns: Sequence[str], rows: Sequence[Sequence]) -> Column:
+    """``rows`` as one array of structs, with the types of these columns (and NULLs allowed)."""
+    kind = StructType([StructField(c, schema[c].dataType) for c in columns])
+    return F.array(*[F.struct(*[F.lit(v) for v in row]) for row in rows]).cast(ArrayType(kind))
 
 
 def sample_bounds(df: DataFrame, keys: Sequence[str], buckets: int) -> list[Row]:
@@ -76,7 +83,8 @@ def sample_bounds(df: DataFrame, keys: Sequence[str], buckets: int) -> list[Row]
 
 
 def bucket_of(df: DataFrame, keys: Sequence[str], bounds: Sequence[Row]) -> Column:
-    """How many of the sorted ``bounds`` are at or below a row's key (NULLs first)."""
+    """How many of the sorted ``bounds`` are at or below a row's key (NULLs first), as
+    one expression; ``with_buckets`` is faster."""
     if not bounds:
         return F.lit(0)
     def key(values):
@@ -96,6 +104,25 @@ def bucket_of(df: DataFrame, keys: Sequence[str], bounds: Sequence[Row]) -> Colu
     return F.aggregate(steps, start, halve)["lo"]
 
 
+def with_buckets(df: DataFrame, keys: Sequence[str], bounds: Sequence[Row]) -> DataFrame:
+    """``df`` with the column ``BUCKET``: how many of the sorted ``bounds`` are at or
+    below a row's key (NULLs first).  A binary search whose steps are columns of
+    their own, so that Spark compiles them: the step of size s goes on by s when
+    the bound there is at or below the key (beyond the last bound it is NULL)."""
+    if not bounds:
+        return df.withColumn(BUCKET, F.lit(0))
+    # one type on both sides, or each step casts
+    held = _literals(df.schema, keys, bounds)
+    own = F.struct(*[F.col(c).alias(c) for c in keys]).cast(StructType([StructField(c, df.schema[c].dataType) for c in keys]))
+    at = F.lit(0)
+    out = df.withColumn(_BOUNDS, held)
+    for b in reversed(range(len(bounds).bit_length())):
+        step = 1 << b
+        out = out.withColumn(BUCKET, at + F.when(F.get(_BOUNDS, at + (step - 1)) <= own, step).otherwise(0))
+        at = F.col(BUCKET)
+    return out.drop(_BOUNDS)
+
+
 def range_rows(df: DataFrame, partition: Sequence[str], order: Sequence[str],
                buckets: int | None = None, bounds: Sequence[Row] | None = None) -> RangedRows:
     """``df`` cut into ``buckets`` even consecutive ranges of (partition, order), or
@@ -104,7 +131,7 @@ def range_rows(df: DataFrame, partition: Sequence[str], order: Sequence[str],
     keys = (*partition, *order)
     if bounds is None:
         bounds = sample_bounds(df, keys, buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return RangedRows(df.withColumn(BUCKET, bucket_of(df, keys, bounds)), keys, list(bounds))
+    return RangedRows(with_buckets(df, keys, bounds), keys, list(bounds))
 
 
 def _with_tie(df: DataFrame) -> DataFrame:
