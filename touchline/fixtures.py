@@ -324,19 +324,20 @@ def write_yearly_snapshots(df: DataFrame, path: str, table_name: str, ts_col: st
     end of that year), committed at the start of the next year.
 
     All snapshots are written by one job: each row is fanned out to every
-    snapshot year at or after its own.  The list of years is collected (it is
-    bounded by the calendar); rows with a NULL time are in no snapshot.
+    snapshot year at or after its own.  The rows of each year are counted and
+    collected before (a list bounded by the calendar), so ``df`` is computed twice;
+    rows with a NULL time are in no snapshot.
     """
     spark = df.sparkSession
     year = F.year(F.col(ts_col))
-    years = [r[0] for r in df.select(year.alias("y")).filter("y IS NOT NULL").distinct()
-             .orderBy("y").collect()]
+    counts = (df.groupBy(year.alias("y")).agg(F.count(F.lit(1)).alias("n"))
+              .filter("y IS NOT NULL").orderBy("y").collect())
+    years = [r["y"] for r in counts]
     fan = F.explode(F.filter(F.array(*[F.lit(y).cast("bigint") for y in years]), lambda y: y >= year))
     (df.withColumn("snapshot_id", fan)
        .write.mode("overwrite").partitionBy("snapshot_id").parquet(f"{path}/data"))
-    counts = df.groupBy(year.alias("y")).agg(F.count(F.lit(1)).alias("n")).filter("y IS NOT NULL")
     w = Window.orderBy("y").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ledger = (counts.select("y", F.sum("n").over(w).alias("total"),
+    ledger = (spark.createDataFrame(counts, "y int, n bigint").select("y", F.sum("n").over(w).alias("total"),
                             F.row_number().over(Window.orderBy("y")).alias("seq"))
               .select(F.lit(table_name).alias("table_name"), F.col("y").cast("bigint").alias("snapshot_id"),
                       F.make_timestamp_ntz(F.col("y") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0),
