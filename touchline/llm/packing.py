@@ -164,11 +164,15 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
     ``doc_tokens``, ``sequence_id``, ``offset`` and ``padded_length``."""
     pieces = write_scratch(cut_pieces(docs, path), "pieces")
 
-    # global numbers of the pieces of each class, from the counts of each task
+    # global numbers of the pieces of each class, from the counts of each task; written,
+    # as each use of them would count all pieces again
     counts = pieces.groupBy("class", "part").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("class").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    shift = counts.select("class", "part", F.coalesce(before, F.lit(0)).alias("shift"))
-    totals = counts.groupBy("class").agg(F.sum("n").alias("total"))  # one row per class, at most CAPACITY
+    of_class = Window.partitionBy("class")
+    before = F.sum("n").over(of_class.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    shifts = write_scratch(counts.select("class", "part", F.coalesce(before, F.lit(0)).alias("shift"),
+                                         F.sum("n").over(of_class).alias("total")).coalesce(16), "shifts")
+    shift = shifts.select("class", "part", "shift")
+    totals = shifts.select("class", "total").distinct()  # one row per class, at most CAPACITY
     numbered = (pieces.join(shift, ["class", "part"]).withColumn("number", F.col("number") + F.col("shift"))
                 .join(F.broadcast(totals), "class"))
     in_full = F.col("number") < F.col("total") - F.pmod("total", "class")
@@ -195,6 +199,7 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
                                 F.when((acc["mine"] < 0) & (at < acc["seen"] + p), acc["seen"]).otherwise(acc["mine"]).alias("mine")))["mine"]
     tail = F.col("n") >= F.col("whole")
     small = small.withColumn("bin", F.when(tail, F.col("whole") + group).otherwise(F.col("n") - F.col("n") % F.col("per")))
+    small = write_scratch(small.coalesce(16), "loose")
 
     # sequence ids: classes one after the other, then the powers of two
     base = F.sum(F.floor(F.col("total") / F.col("class"))).over(Window.orderBy("class").rowsBetween(Window.unboundedPreceding, -1))
