@@ -1,12 +1,14 @@
-"""What a full run holds on disk: compressed landings."""
+"""What a full run holds on disk: compressed landings, and no shuffle files of finished writes."""
 
 import glob
 import os
+import time
 
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from touchline import fixtures as fx
+from touchline.operators.snapshots import read_staged, stage_snapshot
 from touchline.schemas import RAW_MATCH, STANDINGS_DOC
 from touchline.session import scratch_dir
 from touchline.sources import raw
@@ -34,3 +36,24 @@ def test_landed_payloads_are_compressed_and_whole(spark, monkeypatch):
         # one task reads a compressed file: none may hold a whole day
         per_file = landed.groupBy(F.input_file_name()).count().agg(F.max("count"), F.count(F.lit(1))).first()
         assert per_file[0] <= 300 and per_file[1] >= landed.count() / 300
+
+
+def _shuffles(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {b for b in blocks.mkString(" ").split() if b.startswith("shuffle_")}
+
+
+def test_finished_writes_leave_no_shuffle_files(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    root, earlier, setting = scratch_dir(spark, "t-shuffles"), _shuffles(spark), spark.conf.get(key)
+    rows = spark.range(5000).withColumn("date", F.col("id") % 3)
+    counts = rows.groupBy("date").count()
+    assert stage_snapshot(counts, f"{root}/table", 1) == 3
+    raw.write_raw(rows, f"{root}/landed")
+    for _ in range(100):  # files are deleted in the background
+        left = _shuffles(spark) - earlier
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(key) == setting
+    _same(read_staged(spark, f"{root}/table", 1, counts.schema), counts)

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from touchline.schemas import SNAPSHOT_LEDGER
+from touchline.session import dropping_shuffles
 from touchline.sources.tables import path_exists
 
 SID = "snapshot_id"
@@ -61,7 +62,8 @@ def write_snapshot(df: DataFrame, path: str, table_name: str, snapshot_id: int,
 def stage_snapshot(df: DataFrame, path: str, snapshot_id: int) -> int:
     """Write a snapshot's data, which no reader sees yet; returns its row count."""
     obs = Observation(f"snap_{snapshot_id}")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(_folder(path, snapshot_id))
+    with dropping_shuffles(df.sparkSession):
+        df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(_folder(path, snapshot_id))
     return int(obs.get["n"])
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -40,6 +42,21 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@contextmanager
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query run inside are deleted when it ends.  Otherwise
+    they stay until the driver happens to collect its garbage, and those of
+    several finished writes fill the executors' disks at once.  For queries that
+    are run once, such as writes."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # Spark 4.1 on; unknown to older ones
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables."""
     root = None

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from touchline.schemas import PAYLOAD_META
+from touchline.session import dropping_shuffles
 
 #: Rows of a landed file at most, about 100 MB of text.
 ROWS_PER_FILE = 200_000
@@ -58,4 +59,5 @@ def write_raw(df: DataFrame, path: str, partition: str = "date") -> None:
     A compressed file is read by one task, so none has more than ROWS_PER_FILE rows.
     """
     writer = df.hint("rebalance", partition).write.mode("append").partitionBy(partition)
-    writer.options(**LANDED, maxRecordsPerFile=ROWS_PER_FILE).json(path)
+    with dropping_shuffles(df.sparkSession):
+        writer.options(**LANDED, maxRecordsPerFile=ROWS_PER_FILE).json(path)
